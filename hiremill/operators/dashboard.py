@@ -34,9 +34,10 @@ def company_counts(jobs: DataFrame, top_n: int = TOP_COMPANIES) -> DataFrame:
     """
     totals = company_totals(jobs)
     top = totals.orderBy(F.desc("count"), "company").limit(top_n)
-    all_jobs, employers = totals.agg(F.sum("count")).scalar(), totals.agg(F.count("*")).scalar()
-    others = top.agg(F.sum("count").alias("shown")).select(
-        (all_jobs - F.col("shown")).alias("count"), (employers - top_n).alias("employers")
+    # One subquery for both totals, so that it shares the shuffle of the groups.
+    every = totals.agg(F.struct(F.sum("count").alias("jobs"), F.count("*").alias("employers"))).scalar()
+    others = top.agg(F.sum("count").alias("shown"), F.count("*").alias("rows")).select(
+        (every["jobs"] - F.col("shown")).alias("count"), (every["employers"] - F.col("rows")).alias("employers")
     )
     label = F.format_string("Other (%d jobs, %d employers)", "count", "employers")
     return top.select(F.col("company").alias("label"), "count", F.lit(None).cast("string").alias("group")).unionByName(

@@ -109,7 +109,8 @@ def top_gaps(demand: DataFrame, sets: DataFrame, n: int = TOP_SKILLS, key: str =
     ranked = number_rows(demand, (-F.col("demand")), "skill", name="_position")
     head = ranked.filter(F.col("_position") < longest + n)
     candidates = head.agg(F.array_sort(F.collect_list(_by_demand("skill", "demand")))).scalar()
-    return sets.select(key, _as_demand(F.slice(_lacking(candidates, F.col("skills")), 1, n)).alias("top"))
+    asking = sets.select(key, "skills", candidates.alias("candidates"))
+    return asking.select(key, _as_demand(F.slice(_lacking(F.col("candidates"), F.col("skills")), 1, n)).alias("top"))
 
 
 def top_gap_rows(demand: DataFrame, sets: DataFrame, n: int = TOP_SKILLS, key: str = "resume_id") -> DataFrame:

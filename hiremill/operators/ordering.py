@@ -41,7 +41,8 @@ def number_rows(df: DataFrame, *order: Column | str, name: str = "row_index", ch
     most ``chunks + 1`` rows, which is also the size of what is broadcast.
     """
     key = F.struct(*[F.col(c).alias(c) if isinstance(c, str) else c.alias(f"o{i}") for i, c in enumerate(order)])
-    chunked = df.withColumn("_key", key).withColumn("_chunk", chunk_of(F.col("_key"), cut_points(df, key, chunks)))
+    placed = df.withColumns({"_key": key, "_cuts": cut_points(df, key, chunks)})
+    chunked = placed.withColumn("_chunk", chunk_of(F.col("_key"), F.col("_cuts"))).drop("_cuts")
     before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         chunked.groupBy("_chunk")

@@ -64,8 +64,10 @@ def upsert_actions(staged: DataFrame, prior: DataFrame, hot_rows: int = HOT_ROWS
         F.col("source_id").alias("_key"), F.lit(0).alias("_turn"), F.lit("").alias("doc_key"), "content_hash"
     )
     # The cuts are bounded by rows / hot_rows strings in all (see _hot_key_cuts).
+    # Keys are never NULL; saying so keeps both uses of the shuffle below alike, so it runs once.
     records = (
         standing.unionByName(arriving)
+        .filter(F.col("_key").isNotNull())
         .join(F.broadcast(_hot_key_cuts(staged, hot_rows)), "_key", "left")
         .withColumn("_hot", F.col("cuts").isNotNull())
         .withColumn(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from hiremill.functions.text import content_hash
 from hiremill.schemas import CONTENT_FIELDS
+from hiremill.sources.files import spread_small
 
 # The five kinds of event, in the order prior records take them.
 EVENT_TYPES = ["view", "click", "purchase", "signup", "error"]
@@ -90,7 +91,7 @@ def _escaped(c: str) -> Column:
 
 def html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Job pages built from ``documents``; some lack the company element."""
-    docs = table(spark, sf_dir, "documents").withColumn("title", first_line("text"))
+    docs = spread_small(table(spark, sf_dir, "documents")).withColumn("title", first_line("text"))
     company = F.when(F.col("doc_id") % 19 == 0, "").otherwise(
         F.concat(F.lit('<span data-automation="advertiser-name">'), _escaped("source"), F.lit("</span>"))
     )
@@ -122,7 +123,7 @@ def mhtml_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def native_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("doc_key"), "html")
+    return spread_small(table(spark, sf_dir, "pages")).select(F.col("page_id").cast("string").alias("doc_key"), "html")
 
 
 def resumes(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -15,6 +15,16 @@ def file_stem(path: Column) -> Column:
     return F.regexp_replace(F.url_decode(F.replace(F.substring_index(path, "/", -1), F.lit("+"), F.lit("%2B"))), r"\.[^.]*$", "")
 
 
+def spread_small(df: DataFrame) -> DataFrame:
+    """Redistribute a table of fewer files than cores ahead of work in Python.
+
+    A file may be one row group, which is one task. Larger tables have tasks
+    enough and are returned as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def _binary(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
     return files.select(file_stem(F.col("path")).alias("doc_key"), "content")
