@@ -403,8 +403,9 @@ def _market(spark, sf):
 
 
 def _sets(spark, sf):
+    """Demand and skill sets as written tables, since the gap operators read both several times."""
     demand, cvs, possessed = _market(spark, sf)
-    return demand, gaps.skill_sets(cvs, possessed)
+    return materialize(demand, "demand"), materialize(gaps.skill_sets(cvs, possessed), "skill-sets")
 
 
 @query
