@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from email import message_from_bytes, policy
 from functools import lru_cache
 from html import unescape
+from html.entities import html5
 from html.parser import HTMLParser
 
 import pandas as pd
@@ -112,8 +113,8 @@ class _FieldReader(HTMLParser):
         self.node.append(unescape(f"&#{name};"))
 
     def handle_entityref(self, name):
-        known = unescape(f"&{name};")
-        self.node.append(known if known != f"&{name};" else f"&{name}")
+        # An unknown name keeps its ampersand but not the semicolon.
+        self.node.append(html5.get(f"{name};", f"&{name}"))
 
     def _skip(self, _text):
         self.end_node()

@@ -75,7 +75,7 @@ def skill_sets(resumes: DataFrame, possessed: DataFrame, key: str = "resume_id")
 
 def missing_skills(demand: DataFrame, possessed: DataFrame) -> DataFrame:
     """``(skill, demand)`` that the jobs ask for and one résumé lacks."""
-    return demand.join(possessed.select("skill"), "skill", "left_anti").select("skill", "demand")
+    return demand.join(possessed.select("skill").distinct(), "skill", "left_anti").select("skill", "demand")
 
 
 def top_missing(demand: DataFrame, possessed: DataFrame, n: int = TOP_SKILLS) -> DataFrame:
@@ -98,19 +98,26 @@ def _as_demand(entries: Column) -> Column:
     return F.transform(entries, lambda v: F.struct(v["skill"].alias("skill"), (-v["rank"]).alias("demand")))
 
 
-def top_gaps(demand: DataFrame, sets: DataFrame, n: int = TOP_SKILLS, key: str = "resume_id") -> DataFrame:
-    """``(key, top)``: the ``n`` most demanded skills each résumé lacks.
+def _with_top(demand: DataFrame, sets: DataFrame, n: int, name: str) -> DataFrame:
+    """``sets`` with the first ``n`` skills each row lacks, in demand order.
 
     A résumé with m skills finds its ``n`` among the first ``m + n`` skills of
     the demand order, so the vocabulary is ranked once (in parallel) and only
-    its first ``max(m) + n`` entries travel to the résumés. Résumés are not shuffled.
+    its first ``max(m) + n`` entries travel to the résumés; the 3000 characters
+    of a résumé bound m. Résumés are not shuffled.
     """
     longest = sets.agg(F.coalesce(F.max(F.size("skills")), F.lit(0))).scalar()
     ranked = number_rows(demand, (-F.col("demand")), "skill", name="_position")
     head = ranked.filter(F.col("_position") < longest + n)
     candidates = head.agg(F.array_sort(F.collect_list(_by_demand("skill", "demand")))).scalar()
-    asking = sets.select(key, "skills", candidates.alias("candidates"))
-    return asking.select(key, _as_demand(F.slice(_lacking(F.col("candidates"), F.col("skills")), 1, n)).alias("top"))
+    asking = sets.withColumn("_candidates", candidates)
+    first = F.slice(_lacking(F.col("_candidates"), F.col("skills")), 1, n)
+    return asking.withColumn(name, _as_demand(first)).drop("_candidates")
+
+
+def top_gaps(demand: DataFrame, sets: DataFrame, n: int = TOP_SKILLS, key: str = "resume_id") -> DataFrame:
+    """``(key, top)``: the ``n`` most demanded skills each résumé lacks."""
+    return _with_top(demand, sets, n, "top").select(key, "top")
 
 
 def top_gap_rows(demand: DataFrame, sets: DataFrame, n: int = TOP_SKILLS, key: str = "resume_id") -> DataFrame:
@@ -213,19 +220,26 @@ def demand_summary(demand: DataFrame, possessed: DataFrame) -> DataFrame:
 
 
 def demand_summaries(demand: DataFrame, sets: DataFrame, key: str = "resume_id") -> DataFrame:
-    """:func:`demand_summary` for every résumé, from gap pieces that are merged before they are shuffled."""
-    sizes = F.size("missing").cast("bigint")
-    ranks = F.transform("missing", lambda v: v["rank"])
-    merged = gap_pieces(demand, sets, key).groupBy(key).agg(
-        F.sum(sizes).alias("gap_count"),
-        F.min(-F.array_max(ranks)).alias("min_demand"),
-        F.max(-F.array_min(ranks)).alias("max_demand"),
+    """:func:`demand_summary` for every résumé.
+
+    Gaps are counted as the market less the known skills of the résumé, and
+    their extremes are its first gap in demand order and in the reverse order,
+    so no gap list is built.
+    """
+    known = (
+        sets.select(key, F.explode("skills").alias("skill"))
+        .join(demand.select("skill"), "skill", "left_semi")
+        .groupBy(key)
+        .agg(F.count("*").alias("known"))
     )
-    return sets.join(merged, key, "left").select(
+    rising = demand.withColumn("demand", -F.col("demand"))
+    ends = _with_top(rising, _with_top(demand, sets, 1, "most"), 1, "least")
+    market = demand.agg(F.count("*")).scalar()
+    return ends.join(known, key, "left").select(
         key,
-        demand.agg(F.count("*")).scalar().alias("market_skills"),
+        market.alias("market_skills"),
         F.size("skills").cast("bigint").alias("resume_skills"),
-        F.coalesce("gap_count", F.lit(0)).alias("gap_count"),
-        "min_demand",
-        "max_demand",
+        (market - F.coalesce("known", F.lit(0))).alias("gap_count"),
+        (-F.get("least", F.lit(0))["demand"]).alias("min_demand"),
+        F.get("most", F.lit(0))["demand"].alias("max_demand"),
     )

@@ -13,24 +13,39 @@ from pyspark.sql import functions as F
 SAMPLES_PER_CHUNK = 16
 
 
-def every_nth(samples: Column, n: int) -> Column:
-    """Each ``n``-th element of a sorted sample array."""
-    return F.filter(samples, lambda _, i: i % n == n - 1)
+# A key is first placed among every 16th cut point, then among the 16 that follow it.
+CUTS_PER_GROUP = 16
 
 
-def chunk_of(key: Column, cuts: Column) -> Column:
+def every_nth(items: Column, n: int) -> Column:
+    """Each ``n``-th element of an array."""
+    return F.filter(items, lambda _, i: i % n == n - 1)
+
+
+def cut_table(samples: Column) -> Column:
+    """``(cuts, heads)`` from an array of sampled keys: what :func:`chunk_of` looks a key up in."""
+    cuts = every_nth(F.array_sort(samples), SAMPLES_PER_CHUNK)
+    return F.struct(cuts.alias("cuts"), every_nth(cuts, CUTS_PER_GROUP).alias("heads"))
+
+
+def chunk_of(key: Column, table: Column) -> Column:
     """Number of cut points at or below ``key``: grows with the key."""
-    return F.size(F.filter(cuts, lambda cut: cut <= key))
+
+    def below(points: Column) -> Column:
+        return F.size(F.filter(points, lambda point: point <= key))
+
+    passed = below(table["heads"]) * CUTS_PER_GROUP
+    return passed + below(F.slice(table["cuts"], passed + 1, CUTS_PER_GROUP))
 
 
 def cut_points(df: DataFrame, key: Column, chunks: int) -> Column:
-    """About ``chunks`` evenly spread cut points of ``key``, as a scalar subquery.
+    """The cut table for about ``chunks`` even chunks of ``key``, as a scalar subquery.
 
     The sample is the ``16 * chunks`` keys of smallest hash (a bounded top-k).
     """
     keyed = df.select(key.alias("k"))
     sample = keyed.orderBy(F.xxhash64("k"), "k").limit(SAMPLES_PER_CHUNK * chunks)
-    return sample.agg(every_nth(F.array_sort(F.collect_list("k")), SAMPLES_PER_CHUNK)).scalar()
+    return sample.agg(cut_table(F.collect_list("k"))).scalar()
 
 
 def number_rows(df: DataFrame, *order: Column | str, name: str = "row_index", chunks: int = 256) -> DataFrame:
@@ -40,7 +55,8 @@ def number_rows(df: DataFrame, *order: Column | str, name: str = "row_index", ch
     chunks before it. The only single-task window runs over the chunk counts, at
     most ``chunks + 1`` rows, which is also the size of what is broadcast.
     """
-    key = F.struct(*[F.col(c).alias(c) if isinstance(c, str) else c.alias(f"o{i}") for i, c in enumerate(order)])
+    parts = [(F.col(c) if isinstance(c, str) else c).alias(f"k{i}") for i, c in enumerate(order)]
+    key = parts[0] if len(parts) == 1 else F.struct(*parts)
     placed = df.withColumns({"_key": key, "_cuts": cut_points(df, key, chunks)})
     chunked = placed.withColumn("_chunk", chunk_of(F.col("_key"), F.col("_cuts"))).drop("_cuts")
     before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hiremill.functions.text import content_hash
-from hiremill.operators.ordering import SAMPLES_PER_CHUNK, chunk_of, every_nth
+from hiremill.operators.ordering import SAMPLES_PER_CHUNK, chunk_of, cut_table
 from hiremill.schemas import CONTENT_FIELDS, JOBS, conform
 
 # Keys with more records than this are sorted in several tasks.
@@ -36,7 +36,7 @@ def stage(records: DataFrame) -> DataFrame:
 
 
 def _hot_key_cuts(staged: DataFrame, hot_rows: int) -> DataFrame:
-    """``(_key, cuts)``: ``doc_key`` cut points of every key with over ``hot_rows`` records.
+    """``(_key, cuts)``: table of ``doc_key`` cut points of every key with over ``hot_rows`` records.
 
     Chunks hold ``hot_rows`` records or more, so all cuts together number at
     most ``rows / hot_rows``. Reads the two key columns only.
@@ -46,9 +46,7 @@ def _hot_key_cuts(staged: DataFrame, hot_rows: int) -> DataFrame:
     per_chunk = F.greatest(F.lit(hot_rows), F.ceil(F.col("_n") / MAX_CHUNKS))
     spacing = F.greatest(F.lit(1), F.floor(per_chunk / SAMPLES_PER_CHUNK))
     sampled = keys.join(F.broadcast(counts), "_key").filter(F.pmod(F.xxhash64("doc_key"), spacing) == 0)
-    return sampled.groupBy("_key").agg(
-        every_nth(F.array_sort(F.collect_list("doc_key")), SAMPLES_PER_CHUNK).alias("cuts")
-    )
+    return sampled.groupBy("_key").agg(cut_table(F.collect_list("doc_key")).alias("cuts"))
 
 
 def upsert_actions(staged: DataFrame, prior: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -60,7 +58,9 @@ def upsert_actions(staged: DataFrame, prior: DataFrame, hot_rows: int = HOT_ROWS
     hash of the chunk before it.
     """
     arriving = staged.select(_record_key().alias("_key"), F.lit(1).alias("_turn"), "doc_key", "content_hash")
-    standing = prior.filter(F.col("source_id").isNotNull()).select(
+    # Of the table only the keys that arrive matter; a small load broadcasts its keys, so nothing else is shuffled.
+    met = prior.join(staged.select("source_id").distinct(), "source_id", "left_semi")
+    standing = met.select(
         F.col("source_id").alias("_key"), F.lit(0).alias("_turn"), F.lit("").alias("doc_key"), "content_hash"
     )
     # The cuts are bounded by rows / hot_rows strings in all (see _hot_key_cuts).
@@ -118,18 +118,12 @@ def apply_changes(prior: DataFrame, staged: DataFrame, actions: DataFrame) -> Da
     )
     # doc_key is part of the join key, so a hot source_id spreads over all tasks.
     texts = staged.withColumn("_key", _record_key()).join(winners, ["_key", "doc_key"]).drop("_key", "doc_key")
-    old, new = conform(prior, JOBS).alias("old"), texts.alias("new")
-    changed = F.col("new.content_hash").isNotNull()
-
-    def pick(name: str) -> Column:
-        return F.when(changed, F.col(f"new.{name}")).otherwise(F.col(f"old.{name}")).alias(name)
-
-    return old.join(new, F.col("old.source_id") == F.col("new.source_id"), "full_outer").select(
-        *[pick(n) for n in ("source_id", *CONTENT_FIELDS)],
-        F.when(~changed, F.col("old.tech_stack")).alias("tech_stack"),
-        pick("content_hash"),
-        F.col("old.quality").alias("quality"),
-    )
+    before = conform(prior, JOBS)
+    # Unchanged rows pass an anti join on the key alone: a small load leaves the big table unshuffled.
+    changed_keys = actions.filter((F.col("action") != "skip") & F.col("source_id").isNotNull()).select("source_id")
+    kept = before.join(changed_keys.distinct(), "source_id", "left_anti").select(*JOBS.fieldNames())
+    labels = before.select("source_id", "quality").filter(F.col("source_id").isNotNull())
+    return kept.unionByName(conform(texts.join(labels, "source_id", "left"), JOBS))
 
 
 def load_summary(records: DataFrame, actions: DataFrame) -> DataFrame:
@@ -149,9 +143,9 @@ def load_summary(records: DataFrame, actions: DataFrame) -> DataFrame:
 
 def stored_hashes(jobs: DataFrame, keys: DataFrame) -> DataFrame:
     """The stored content hash of each asked key."""
-    return jobs.select("source_id", "content_hash").join(keys.select("source_id"), "source_id", "left_semi")
+    return jobs.select("source_id", "content_hash").join(keys.select("source_id").distinct(), "source_id", "left_semi")
 
 
 def new_keys(staged: DataFrame, prior: DataFrame) -> DataFrame:
     """Staged keys the table does not hold yet."""
-    return staged.join(prior.select("source_id"), "source_id", "left_anti").select("source_id").distinct()
+    return staged.select("source_id").distinct().join(prior.select("source_id"), "source_id", "left_anti")

@@ -57,6 +57,13 @@ def escaped(x: str) -> str:
     return f"replace(replace(replace({x}, '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
 
 
+def unescaped(x: str) -> str:
+    """The named references of the pages, also without their semicolon at the end of the text."""
+    for name, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("amp", "&")):
+        x = f"regexp_replace({x}, '&{name}(;|$)', '{char}', 'g')"
+    return x
+
+
 LABEL = """CASE WHEN coalesce(job_title, '') = '' OR coalesce(company, '') = '' OR coalesce(description, '') = ''
     OR length(description) < 100 OR regexp_matches(description, '[!#@$%^&*]{4,}') THEN 'LOW' ELSE 'HIGH' END"""
 FIRST_LINE = f"split_part(text, {NL}, 1)"
@@ -222,7 +229,7 @@ _BODIES = {
         count(*) FILTER (doc_id % 23 = 0) AS failed FROM page_sources""",
     "html_extract_roundtrip": "SELECT * FROM listings",
     "page_titles": f"""SELECT CAST(page_id AS VARCHAR) AS doc_key,
-        {strip("replace(replace(replace(regexp_extract(html, '<title>(.*?)</title>', 1), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')")} AS title
+        {strip(unescaped("regexp_extract(html, '<title>(.*?)</title>', 1)"))} AS title
         FROM pages""",
     "source_id_from_url": "SELECT page_id, regexp_extract(rtrim(url, '/'), '[^/]*$') AS source_id FROM pages",
     "silver_valid": "SELECT * EXCLUDE (bad_field) FROM rejects WHERE bad_field IS NULL",

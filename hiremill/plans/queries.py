@@ -396,16 +396,16 @@ def tagged_stacks_not_null(spark, sf):
 
 
 def _market(spark, sf):
-    """Demand, résumés and the skills each résumé lists."""
-    demand = gaps.skill_demand(fixtures.postings(spark, sf))
+    """Demand (a written table, since it is read several times), résumés and the skills each résumé lists."""
+    demand = materialize(gaps.skill_demand(fixtures.postings(spark, sf)), "demand")
     cvs = fixtures.resumes(spark, sf).select("resume_id", text.sanitize(files.clip_resume("text")).alias("text"))
     return demand, cvs, gaps.line_skills(cvs, demand)
 
 
 def _sets(spark, sf):
-    """Demand and skill sets as written tables, since the gap operators read both several times."""
+    """Demand and skill sets, both written tables."""
     demand, cvs, possessed = _market(spark, sf)
-    return materialize(demand, "demand"), materialize(gaps.skill_sets(cvs, possessed), "skill-sets")
+    return demand, materialize(gaps.skill_sets(cvs, possessed), "skill-sets")
 
 
 @query

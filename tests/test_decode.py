@@ -23,6 +23,9 @@ def read(page, **spec):
         ("<p>a<div/>b</p>", "a b"),
         ("<p></p>", ""),
         ("<p>R&amp;D &unknown; 3 < 4</p>", "R&D &unknown 3 < 4"),
+        ("<p>a&amp&lt;b&ampx; &copy2</p>", "a&<b&ampx &copy2"),
+        ("<p>&#38;&#x27;&eacute</p>", "&'é"),
+        ("<p>a<![CDATA[ b ]]>c</p>", "a b c"),
         ("<ruby><p>k<rt>ann</rt>l</p></ruby>", "k l"),
         ("<p>  \n </p>", ""),
         ("<P>upper</P>", "upper"),

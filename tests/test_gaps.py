@@ -120,7 +120,7 @@ def test_replies(spark):
     }
 
 
-@pytest.mark.parametrize("n, chunks", [(0, 4), (1, 4), (1000, 1), (1000, 16)])
+@pytest.mark.parametrize("n, chunks", [(0, 4), (1, 4), (1000, 1), (1000, 16), (5000, 100)])
 def test_number_rows(spark, n, chunks):
     keys = [f"{i:04d}" for i in range(n)]
     random.Random(n).shuffle(keys)

@@ -69,7 +69,7 @@ def test_hot_key_is_cut_into_chunks(spark):
     records = [(f"{i:06d}", "hot", "t", "c", "d") for i in range(900)]
     staged = upsert.stage(spark.createDataFrame(records, RECORD))
     (row,) = upsert._hot_key_cuts(staged, 50).collect()
-    assert 5 <= len(row.cuts) <= 60 and row.cuts == sorted(row.cuts)
+    assert 5 <= len(row.cuts.cuts) <= 60 and row.cuts.cuts == sorted(row.cuts.cuts)
 
 
 @pytest.mark.parametrize("hot_rows", [1_000_000, 1])
