@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hiremill.functions.labels import GUIDANCE, route, route_prompt
+from hiremill.functions.labels import GUIDANCE, provider, route, route_prompt
 from hiremill.functions.text import or_empty, strip
 
 
@@ -42,3 +42,30 @@ def answer_prompts(routed: DataFrame, reply_to: Callable[[str], str]) -> DataFra
             yield batch[schema.names]
 
     return routed.mapInPandas(answer, schema)
+
+
+# How a failed call of each service reads.
+SERVICE_ERRORS = {"gemini": "[Gemini Error]", "ollama": "[Ollama Error]"}
+
+
+def prompt_models(prompts: DataFrame, services: dict[str, Callable[[str, str], str]]) -> DataFrame:
+    """Adds ``provider`` and ``reply`` to rows of ``model`` and ``prompt``.
+
+    ``services`` maps each provider to a function of model and prompt; which one
+    is called follows from the model's name. An error becomes the reply text.
+    """
+    chosen = prompts.withColumn("provider", provider("model")).withColumn("reply", F.lit(None).cast("string"))
+    schema = T.StructType(chosen.schema.fields)
+
+    def call(name: str, model: str, prompt: str) -> str:
+        try:
+            return services[name](model, prompt).strip() or f"{SERVICE_ERRORS[name]} Empty response from model."
+        except Exception as exc:  # one failed call must not end the job
+            return f"{SERVICE_ERRORS[name]} {exc}"
+
+    def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            batch["reply"] = [call(*row) for row in zip(batch["provider"], batch["model"], batch["prompt"])]
+            yield batch[schema.names]
+
+    return chosen.mapInPandas(ask, schema)

@@ -3,12 +3,16 @@
 from __future__ import annotations
 
 import time
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hiremill.functions.text import sanitize, strip
 from hiremill.operators import gaps, tagging
+from hiremill.operators.routing import answer_prompts, route_messages
 from hiremill.session import materialize
+from hiremill.sources.files import clip_resume
 
 
 def find_skill_gaps(
@@ -23,7 +27,8 @@ def find_skill_gaps(
     started = time.time()
     demand = materialize(gaps.skill_demand(jobs), "demand")
     if model is None:
-        extracted = gaps.skill_sets(resumes, gaps.line_skills(resumes, demand, key), key)
+        safe = resumes.select(key, sanitize("text").alias("text"))
+        extracted = gaps.skill_sets(resumes, gaps.line_skills(safe, demand, key), key)
         usage = resumes.select(key, F.lit(0).alias("total_tokens"))
     else:
         raw = tagging.extract_resume_skills(resumes, model, key=key)
@@ -34,13 +39,12 @@ def find_skill_gaps(
     return gaps.gap_reports(demand, sets, usage.withColumn("time_ms", F.lit(elapsed)), key)
 
 
-def reply_to_messages(messages: DataFrame, jobs: DataFrame, reply_to, key: str = "message_id") -> DataFrame:
+def reply_to_messages(
+    messages: DataFrame, jobs: DataFrame, reply_to: Callable[[str], str], key: str = "message_id"
+) -> DataFrame:
     """Routed messages with the reply of each route, the skill-gap text included."""
-    from hiremill.operators.routing import answer_prompts, route_messages
-    from hiremill.sources.files import clip_resume
-
     routed = materialize(answer_prompts(route_messages(messages), reply_to), "routed")
-    asking = routed.filter(F.col("route") == "skill_gap").select(key, clip_resume("pdf_text").alias("text"))
+    asking = routed.filter(F.col("route") == "skill_gap").select(key, clip_resume(strip("pdf_text")).alias("text"))
     reports = gaps.report_text(find_skill_gaps(asking, jobs, key=key), key)
     return (
         routed.join(reports.withColumnRenamed("reply", "gap_reply"), key, "left")

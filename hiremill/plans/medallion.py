@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from hiremill.operators import decode, quality, silver, upsert
 from hiremill.schemas import BRONZE, CHANGES, JOBS, SILVER
 from hiremill.session import build_session, materialize
-from hiremill.sources.files import scan_mhtml
+from hiremill.sources.files import scan_mhtml, scan_records
 from hiremill.sources.snapshots import read_snapshot, write_snapshot
 
 STAGES = ("ingest", "process", "load", "profile")
@@ -48,7 +48,10 @@ def load_records(spark: SparkSession, records: DataFrame, root: str) -> DataFram
     return upsert.load_summary(records, actions)
 
 
-def load(spark: SparkSession, root: str) -> DataFrame:
+def load(spark: SparkSession, root: str, json_folder: str | None = None) -> DataFrame:
+    """Load the silver table, or a folder of JSON records in its place."""
+    if json_folder:
+        return load_records(spark, materialize(scan_records(spark, json_folder), "records"), root)
     return load_records(spark, spark.read.schema(SILVER).parquet(f"{root}/silver"), root)
 
 
@@ -76,13 +79,6 @@ def run_stage(spark: SparkSession, stage: str, root: str, source: str | None = N
     return {name: steps[name]() for name in wanted}
 
 
-def write_json_results(reports: DataFrame, path: str) -> None:
-    """One JSON object per résumé: gaps, demand per skill, tokens, time."""
-    from hiremill.operators.gaps import demand_map
-
-    reports.withColumn("demand_statistics", demand_map("demand_statistics")).write.mode("overwrite").json(path)
-
-
 def main() -> None:
     parser = argparse.ArgumentParser(prog="hiremill")
     parser.add_argument("stage", choices=[*STAGES, "all"])

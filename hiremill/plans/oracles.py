@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from hiremill.functions.labels import DEFAULT_QUESTION, GUIDANCE, NO_GAPS
 from hiremill.functions.text import INSTRUCTION_PHRASES, SANITIZED_PREFIX, UPPER, WHITESPACE
+from hiremill.operators.tagging import TAG_PROMPT
 
 WS = " || ".join(f"chr({ord(c)})" for c in WHITESPACE)
 WS_CLASS = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
@@ -73,6 +74,8 @@ ARRIVED = (
     "event_type AS job_title, 'acme' AS company, 'fixed text' AS description FROM events"
 )
 
+TAG_PROMPT_TEXT = TAG_PROMPT.rstrip("\n")
+
 VIEWS = {
     "postings": """SELECT CAST(p_partkey AS VARCHAR) AS source_id,
         CASE WHEN p_partkey % 41 = 0 THEN '' ELSE p_name END AS job_title,
@@ -154,6 +157,8 @@ VIEWS = {
         AND company NOT IN (SELECT company FROM company_rank WHERE n <= 8)""",
     "batches": f"""SELECT (n - 1) // 5 AS batch_id, (n - 1) % 5 AS position, source_id, description FROM
         (SELECT *, row_number() OVER (ORDER BY source_id) AS n FROM postings WHERE tech_stack IS NULL OR tech_stack = '')""",
+    "prompts": f"""SELECT batch_id, '{TAG_PROMPT_TEXT}' || {NL} || '{{' || string_agg('"' || source_id || '": "' || description || '"', ', '
+        ORDER BY position) || '}}' AS prompt FROM batches GROUP BY batch_id""",
     "json_rows": """SELECT *, CAST(source_id AS BIGINT) AS k,
         CASE WHEN CAST(source_id AS BIGINT) % 17 = 0 THEN 'not a JSON object'
              WHEN company IS NULL THEN 'missing company' END AS load_error,
@@ -352,7 +357,13 @@ _BODIES = {
     "tag_run": """SELECT source_id, CASE WHEN b.batch_id IS NULL THEN tech_stack
             ELSE split_part(b.description, ' ', 1) || ', ' || split_part(b.description, ' ', 2) END AS tech_stack
         FROM postings LEFT JOIN batches b USING (source_id)""",
-    "tag_log": "SELECT DISTINCT batch_id, CAST(1 AS BIGINT) AS attempts, true AS ok FROM batches",
+    "tag_prompts": "SELECT batch_id, prompt FROM prompts",
+    "tag_log": f"SELECT batch_id, CAST(1 AS BIGINT) AS attempts, {words4('prompt')} AS tokens, true AS ok FROM prompts",
+    "tag_usage": f"""SELECT CAST(coalesce(sum({words4('prompt')}), 0) AS BIGINT) AS total_tokens, count(*) AS attempts,
+        CAST(0 AS BIGINT) AS failed_batches FROM prompts""",
+    "model_replies": f"""SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN 'gemini' ELSE 'ollama' END AS provider,
+        CASE WHEN turn % 2 <> 0 THEN 'llama3.1' WHEN {strip("coalesce(text, '')")} = ''
+             THEN '[Gemini Error] Empty response from model.' ELSE {strip("replace(text, 'e', '3')")} END AS reply FROM conversations""",
     "apply_tags": """SELECT source_id, CASE WHEN a.id IS NULL THEN tech_stack ELSE a.tag END AS tech_stack
         FROM postings LEFT JOIN (SELECT CAST(user_id AS VARCHAR) AS source_id, max(event_id) AS id,
                 CASE WHEN arg_max(event_type, event_id) <> 'error' THEN arg_max(event_type, event_id) END AS tag

@@ -508,6 +508,11 @@ def first_words_model(prompt: str) -> tuple[str, int | None]:
     return json.dumps({job: ", ".join(body.split(" ")[:2]) for job, body in jobs.items()}), None
 
 
+@query
+def tag_prompts(spark, sf):
+    return tagging.tag_prompts(tagging.tag_batches(tagging.untagged_jobs(fixtures.postings(spark, sf))))
+
+
 @query
 def tag_run(spark, sf):
     jobs, _ = tagging.tag_jobs(fixtures.postings(spark, sf), first_words_model)
@@ -517,7 +522,7 @@ def tag_run(spark, sf):
 @query
 def tag_log(spark, sf):
     _, log = tagging.tag_jobs(fixtures.postings(spark, sf), first_words_model)
-    return log.select("batch_id", "attempts", F.col("error").isNull().alias("ok"))
+    return log.select("batch_id", "attempts", "tokens", F.col("error").isNull().alias("ok"))
 
 
 @query
@@ -588,6 +593,20 @@ def route_prompts(spark, sf):
     return routed.filter("prompt is not null").select("message_id", "prompt")
 
 
+@query
+def model_replies(spark, sf):
+    """Each conversation turn as a prompt to one of two models."""
+    turns = fixtures.table(spark, sf, "conversations")
+    prompts = turns.select(
+        "conv_id",
+        "turn",
+        F.when(F.col("turn") % 2 == 0, "gemini-2.5-flash").otherwise("llama3.1").alias("model"),
+        F.coalesce("text", F.lit("")).alias("prompt"),
+    )
+    services = {"gemini": lambda model, prompt: prompt.replace("e", "3"), "ollama": lambda model, prompt: f" {model} "}
+    return routing.prompt_models(prompts, services).select("conv_id", "turn", "provider", "reply")
+
+
 @query
 def message_stream(spark, sf):
     turns = spark.readStream.schema(fixtures.table(spark, sf, "conversations").schema)

@@ -10,7 +10,7 @@ import pytest
 from hiremill.operators import upsert
 from hiremill.plans import medallion
 from hiremill.schemas import CHANGES, JOBS, SILVER
-from hiremill.sources import files
+from hiremill.sources import files, json_output
 from hiremill.sources.snapshots import latest_version, read_snapshot, write_snapshot
 from hiremill.streaming import arrivals, messages
 
@@ -142,7 +142,22 @@ def test_json_results(spark, tmp_path):
 
     cvs = spark.createDataFrame([("cv", "Go")], "resume_id string, text string")
     jobs = spark.createDataFrame([("go, rust/sql, rust",), ("sql",)], "tech_stack string")
-    medallion.write_json_results(find_skill_gaps(cvs, jobs), str(tmp_path / "out"))
+    json_output.write_results(find_skill_gaps(cvs, jobs), str(tmp_path / "out"))
     (line,) = [line for f in (tmp_path / "out").glob("*.json") for line in f.read_text().splitlines()]
     got = json.loads(line)
     assert (got["gaps"], list(got["demand_statistics"].items())) == (["rust", "sql"], [("sql", 2), ("rust", 1)])
+
+
+def test_load_of_json_files(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for name, source_id, title in (("b", "1", "new"), ("a", "1", "old"), ("c", "2", "x")):
+        record = {"source_id": source_id, "job_title": title, "company": "c", "description": "d"}
+        (tmp_path / "in" / f"{name}.json").write_text(json.dumps(record, indent=2))
+    (tmp_path / "in" / "d.json").write_text("nope")
+    root = str(tmp_path / "out")
+    assert tuple(medallion.load(spark, root, str(tmp_path / "in")).first()) == (4, 2, 1, 1)
+    jobs = read_snapshot(spark, f"{root}/jobs", JOBS)
+    assert {(r.source_id, r.job_title) for r in jobs.collect()} == {("1", "new"), ("2", "x")}
+    json_output.write_records(jobs, str(tmp_path / "json"))
+    lines = [json.loads(line) for f in (tmp_path / "json").glob("*.json") for line in f.read_text().splitlines()]
+    assert {(r["source_id"], r["job_title"]) for r in lines} == {("1", "new"), ("2", "x")}

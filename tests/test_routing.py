@@ -1,7 +1,7 @@
 import pytest
 
 from hiremill.functions.labels import DEFAULT_QUESTION
-from hiremill.operators.routing import route_messages
+from hiremill.operators.routing import prompt_models, route_messages
 
 CASES = [
     ("", "", "guidance"), (" \t", "\xa0", "guidance"), (None, None, "guidance"), ("hi", " ", "chat"), ("analyze", "", "chat"),
@@ -26,3 +26,19 @@ def test_question_prompt_cuts_the_resume(spark, extra):
         f"Resume text:\n{cv[:3000]}\n\nUser question: q?\n\nAnswer using only the resume above."
     )
     assert DEFAULT_QUESTION not in row.prompt
+
+
+def test_service_follows_the_model_name(spark):
+    rows = [("gemini-2.5-flash", "hi"), ("llama3.1", "hi"), ("mistral", ""), ("gemini-x", "boom")]
+
+    def cloud(model, prompt):
+        if prompt == "boom":
+            raise RuntimeError("down")
+        return f" cloud {model} {prompt} "
+
+    services = {"gemini": cloud, "ollama": lambda model, prompt: prompt}
+    df = prompt_models(spark.createDataFrame(rows, "model string, prompt string"), services)
+    assert [(r.provider, r.reply) for r in df.collect()] == [
+        ("gemini", "cloud gemini-2.5-flash hi"), ("ollama", "hi"),
+        ("ollama", "[Ollama Error] Empty response from model."), ("gemini", "[Gemini Error] down"),
+    ]
