@@ -17,7 +17,7 @@ from hiremill.operators import decode, quality, silver, upsert
 from hiremill.schemas import BRONZE, CHANGES, JOBS, SILVER
 from hiremill.session import build_session, materialize
 from hiremill.sources.files import scan_mhtml, scan_records
-from hiremill.sources.snapshots import read_snapshot, write_snapshot
+from hiremill.sources.snapshots import next_version, read_log, read_snapshot, write_snapshot
 
 STAGES = ("ingest", "process", "load", "profile")
 
@@ -39,15 +39,25 @@ def process(spark: SparkSession, root: str) -> DataFrame:
 
 
 def load_records(spark: SparkSession, records: DataFrame, root: str) -> DataFrame:
-    """Upsert parsed records into ``jobs``; the change log is written first and drives the table."""
+    """Upsert parsed records into ``jobs``; the change log is written first and drives the table.
+
+    Both take the same version number: a change version takes effect with the
+    jobs version of that number, so a load that is lost half way leaves no entry.
+    """
     staged = upsert.stage(records)
     prior = read_snapshot(spark, f"{root}/jobs", JOBS)
-    version = write_snapshot(upsert.upsert_actions(staged, prior), f"{root}/changes")
+    version = next_version(spark, f"{root}/jobs", f"{root}/changes")
+    write_snapshot(upsert.upsert_actions(staged, prior), f"{root}/changes", version)
     actions = read_snapshot(spark, f"{root}/changes", CHANGES, version)
-    write_snapshot(upsert.apply_changes(prior, staged, actions), f"{root}/jobs")
+    write_snapshot(upsert.apply_changes(prior, staged, actions), f"{root}/jobs", version)
     return upsert.load_summary(records, actions)
 
 
+def change_log(spark: SparkSession, root: str) -> DataFrame:
+    """``(doc_key, source_id, content_hash, action)`` of every load that took effect."""
+    return read_log(spark, f"{root}/changes", CHANGES, effective_in=f"{root}/jobs")
+
+
 def load(spark: SparkSession, root: str, json_folder: str | None = None) -> DataFrame:
     """Load the silver table, or a folder of JSON records in its place."""
     if json_folder:

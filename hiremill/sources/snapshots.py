@@ -46,12 +46,30 @@ def read_snapshot(spark: SparkSession, path: str, schema: T.StructType, version:
     return conform(spark.read.parquet(f"{path}/version={number}"), schema)
 
 
-def write_snapshot(df: DataFrame, path: str) -> int:
-    """Write ``df`` as the next version and return its number.
+def next_version(spark: SparkSession, *paths: str) -> int:
+    """A number no table of ``paths`` has used; a folder left by a lost job is passed over, not reused."""
+    return max((n for path in paths for n, _ in _versions(spark, path)), default=0) + 1
 
-    An uncommitted folder left by a lost job is passed over, not reused.
-    """
-    spark = df.sparkSession
-    number = max((n for n, _ in _versions(spark, path)), default=0) + 1
+
+def write_snapshot(df: DataFrame, path: str, version: int | None = None) -> int:
+    """Write ``df`` as the next (or the given new) version and return its number."""
+    number = next_version(df.sparkSession, path) if version is None else version
     df.write.parquet(f"{path}/version={number}")
     return number
+
+
+def read_log(spark: SparkSession, path: str, schema: T.StructType, effective_in: str) -> DataFrame:
+    """All versions of a log table that took effect, that is, whose number ``effective_in`` committed too."""
+    done = {n for n, committed in _versions(spark, effective_in) if committed}
+    folders = [f"{path}/version={n}" for n, committed in _versions(spark, path) if committed and n in done]
+    return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
+
+
+def expire_snapshots(spark: SparkSession, path: str, keep: int = 2) -> list[int]:
+    """Delete all but the last ``keep`` committed versions; returns the numbers deleted."""
+    committed = [n for n, done in _versions(spark, path) if done]
+    old = committed[: -keep if keep > 0 else len(committed) - 1]
+    for number in old:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version={number}")
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    return old

@@ -11,7 +11,7 @@ from hiremill.operators import upsert
 from hiremill.plans import medallion
 from hiremill.schemas import CHANGES, JOBS, SILVER
 from hiremill.sources import files, json_output
-from hiremill.sources.snapshots import latest_version, read_snapshot, write_snapshot
+from hiremill.sources.snapshots import expire_snapshots, latest_version, next_version, read_snapshot, write_snapshot
 from hiremill.streaming import arrivals, messages
 
 
@@ -82,6 +82,7 @@ def test_snapshots(spark, tmp_path):
     # A version whose job was lost is neither read nor written again.
     shutil.copytree(f"{path}/version=1", f"{path}/version=3", ignore=shutil.ignore_patterns("_SUCCESS"))
     assert latest_version(spark, path) == 2 and write_snapshot(one, path) == 4
+    assert expire_snapshots(spark, path, keep=1) == [1, 2] and read_snapshot(spark, path, JOBS).count() == 1
 
 
 def records(n, seed):
@@ -108,7 +109,11 @@ def test_stream_equals_batch_for_any_split(spark, tmp_path, cuts):
     replay = spark.createDataFrame(rows[cuts[-2] if len(cuts) > 1 else 0 :][-1:], SILVER)
     assert tuple(medallion.load_records(spark, replay, root).first()) == (1, 0, 0, 1)
     assert {tuple(r) for r in arrivals.loaded_jobs(spark, root).collect()} == want
-    assert read_snapshot(spark, f"{root}/changes", CHANGES).count() == 1
+    # A load lost before its jobs version leaves changes that never took effect.
+    lost = next_version(spark, f"{root}/jobs", f"{root}/changes")
+    write_snapshot(read_snapshot(spark, f"{root}/changes", CHANGES), f"{root}/changes", lost)
+    assert medallion.change_log(spark, root).count() == len(rows) + 1
+    assert next_version(spark, f"{root}/jobs", f"{root}/changes") == lost + 1
 
 
 def test_message_stream(spark, tmp_path):
