@@ -18,8 +18,8 @@ WHITESPACE_CLASS = (
     r"\t\n\x0b\f\r\x1c\x1d\x1e\x1f\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 )
 
-# Four or more of these in a row mark a damaged description.
-SPECIAL_RUN = r"[!#@$%^&*]{4,}"
+# Four or more of these in a row mark a damaged description (finding four is enough).
+SPECIAL_RUN = r"[!#@$%^&*]{4}"
 
 # Phrases that mark an attempt to instruct the model.
 INSTRUCTION_PHRASES = [
