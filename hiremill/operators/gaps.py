@@ -123,7 +123,7 @@ def top_gaps(demand: DataFrame, sets: DataFrame, n: int = TOP_SKILLS, key: str =
 def top_gap_rows(demand: DataFrame, sets: DataFrame, n: int = TOP_SKILLS, key: str = "resume_id") -> DataFrame:
     """``top_gaps`` as rows ``(key, position, skill, demand)``, position from 1."""
     rows = top_gaps(demand, sets, n, key).select(key, F.posexplode("top"))
-    return rows.select(key, (F.col("pos") + 1).alias("position"), "col.skill", "col.demand")
+    return rows.select(key, (F.col("pos") + 1).cast("bigint").alias("position"), "col.skill", "col.demand")
 
 
 def gap_pieces(demand: DataFrame, sets: DataFrame, key: str = "resume_id", piece_rows: int = PIECE_ROWS) -> DataFrame:

@@ -58,14 +58,14 @@ def longest_description(jobs: DataFrame) -> DataFrame:
 
 def _lengths(jobs: DataFrame) -> DataFrame:
     return jobs.filter(F.col("description").isNotNull()).select(
-        F.length("description").alias("desc_len"), "source_id", "job_title"
+        F.length("description").cast("bigint").alias("desc_len"), "source_id", "job_title"
     )
 
 
 def quality_report(labelled: DataFrame) -> DataFrame:
     """The profile of the kept rows and the number quarantined, in one pass over the labelled table."""
     high = F.col("quality") == "HIGH"
-    size = F.length("description")
+    size = F.length("description").cast("bigint")
 
     def extreme(rank: Column) -> Column:
         found = F.struct(size.alias("len"), "source_id", "job_title")

@@ -68,7 +68,7 @@ def tag_batches(untagged: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
     cut = untagged.select("source_id", F.substring(or_empty("description"), 1, PROMPT_CHARS).alias("text"))
     return number_rows(cut, "source_id").select(
         F.floor(F.col("row_index") / batch_rows).alias("batch_id"),
-        (F.col("row_index") % batch_rows).cast("int").alias("position"),
+        (F.col("row_index") % batch_rows).alias("position"),
         "source_id",
         "text",
     )
