@@ -2,9 +2,8 @@
 
     spark-submit -m hiremill.plans.medallion all --source <folder> --root <folder>
 
-``root`` holds the tables ``bronze``, ``silver`` and ``silver_rejects``
-(rewritten by each run) and the versioned ``jobs``, ``jobs_quarantine`` and
-``changes``.
+``root`` holds the tables ``bronze`` and ``silver`` (rewritten by each run) and
+the versioned ``jobs``, ``jobs_quarantine`` and ``changes``.
 """
 
 from __future__ import annotations
@@ -12,9 +11,11 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hiremill.operators import decode, quality, silver, upsert
-from hiremill.schemas import BRONZE, CHANGES, JOBS, SILVER
+from hiremill.schemas import BRONZE, CHANGES, JOBS, REJECTS, SILVER
 from hiremill.session import build_session, materialize
 from hiremill.sources.files import scan_mhtml, scan_records
 from hiremill.sources.snapshots import next_version, read_log, read_snapshot, write_snapshot
@@ -29,13 +30,28 @@ def ingest(spark: SparkSession, source: str, root: str) -> DataFrame:
 
 
 def process(spark: SparkSession, root: str) -> DataFrame:
-    """Bronze to silver; pages that fail leave a row in ``silver_rejects`` and nothing in silver."""
+    """Bronze to silver: one write, split into ``valid=true`` records and ``valid=false`` rejects."""
     bronze = spark.read.schema(BRONZE).parquet(f"{root}/bronze")
     pages = bronze.filter("error_kind is null").select("doc_key", "html")
-    checked = materialize(silver.check_listings(decode.extract_listings(pages)), "checked")
-    silver.valid_listings(checked).write.mode("overwrite").parquet(f"{root}/silver")
-    silver.rejected_listings(checked).write.mode("overwrite").parquet(f"{root}/silver_rejects")
-    return silver.silver_summary(checked)
+    checked = silver.check_listings(decode.extract_listings(pages)).withColumn("valid", F.col("bad_field").isNull())
+    checked.write.mode("overwrite").partitionBy("valid").parquet(f"{root}/silver")
+    return silver.silver_summary(_silver(spark, root))
+
+
+def _silver(spark: SparkSession, root: str) -> DataFrame:
+    return spark.read.schema(f"{_ddl(SILVER)}, bad_field string, valid boolean").parquet(f"{root}/silver")
+
+
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+
+
+def valid_records(spark: SparkSession, root: str) -> DataFrame:
+    return _silver(spark, root).filter("valid").select(*SILVER.fieldNames())
+
+
+def rejected_records(spark: SparkSession, root: str) -> DataFrame:
+    return _silver(spark, root).filter("not valid").select(*REJECTS.fieldNames())
 
 
 def load_records(spark: SparkSession, records: DataFrame, root: str) -> DataFrame:
@@ -62,15 +78,20 @@ def load(spark: SparkSession, root: str, json_folder: str | None = None) -> Data
     """Load the silver table, or a folder of JSON records in its place."""
     if json_folder:
         return load_records(spark, materialize(scan_records(spark, json_folder), "records"), root)
-    return load_records(spark, spark.read.schema(SILVER).parquet(f"{root}/silver"), root)
+    return load_records(spark, valid_records(spark, root), root)
 
 
 def profile(spark: SparkSession, root: str) -> DataFrame:
-    """Label all jobs, move LOW ones to quarantine (replacing it), return the report row."""
-    labelled = materialize(quality.label_jobs(read_snapshot(spark, f"{root}/jobs", JOBS)), "labelled")
-    write_snapshot(quality.low_quality(labelled), f"{root}/jobs_quarantine")
-    write_snapshot(quality.high_quality(labelled), f"{root}/jobs")
-    return quality.quality_report(labelled)
+    """Label all jobs, move LOW ones to quarantine (replacing it), return the report row.
+
+    The label depends on its row alone, so both tables are filtered from the
+    same snapshot and the report is read from what was written.
+    """
+    labelled = quality.label_jobs(read_snapshot(spark, f"{root}/jobs", JOBS))
+    low = write_snapshot(quality.low_quality(labelled), f"{root}/jobs_quarantine")
+    high = write_snapshot(quality.high_quality(labelled), f"{root}/jobs")
+    parts = [read_snapshot(spark, f"{root}/{t}", JOBS, v) for t, v in (("jobs", high), ("jobs_quarantine", low))]
+    return quality.quality_report(parts[0].unionByName(parts[1]))
 
 
 def run_stage(spark: SparkSession, stage: str, root: str, source: str | None = None) -> dict[str, DataFrame]:

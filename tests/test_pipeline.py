@@ -52,8 +52,8 @@ def test_all_stages_and_reruns(spark, tmp_path):
     assert got["profile"][:2] == (6, 1)
     jobs = read_snapshot(spark, f"{root}/jobs", JOBS)
     assert {r.source_id for r in jobs.collect()} == set("012345")
-    silver = spark.read.schema(SILVER).parquet(f"{root}/silver")
-    assert "job 0+é" in {r.doc_key for r in silver.collect()}
+    assert "job 0+é" in {r.doc_key for r in medallion.valid_records(spark, root).collect()}
+    assert [tuple(r) for r in medallion.rejected_records(spark, root).collect()] == [("nocompany", "company")]
     # Nothing changed: kept rows are skipped, the quarantined one arrives anew.
     assert counts({"load": medallion.load(spark, root)})["load"] == (7, 1, 0, 6)
     assert tuple(medallion.profile(spark, root).first())[:2] == (6, 1)
@@ -64,6 +64,14 @@ def test_all_stages_and_reruns(spark, tmp_path):
     save(source, "job 0+é", page(0, " ", "ACME", "good text " * 20))
     medallion.run_stage(spark, "ingest", root, str(source))
     assert tuple(medallion.process(spark, root).first())[:3] == (8, 6, 2)
+    assert "job 0+é" not in {r.doc_key for r in medallion.valid_records(spark, root).collect()}
+
+
+def test_stages_on_nothing(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    got = counts(medallion.run_stage(spark, "all", str(tmp_path / "out"), str(tmp_path / "in")))
+    assert (got["ingest"], got["process"][:3], got["load"]) == ((0, 0, 0), (0, 0, 0), (0, 0, 0, 0))
+    assert got["profile"] == (0, 0, 0, 0, 0, 0, 0, "N/A", "N/A", 0, "N/A", "N/A")
 
 
 def test_unknown_stage(spark, tmp_path):
