@@ -17,7 +17,6 @@ worst sentence go to the first. Extra columns are not read.
 from __future__ import annotations
 
 import re
-from collections import Counter
 
 import numpy as np
 import pandas as pd
@@ -25,8 +24,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hiremill.llm.common import fold, sample_by_hash, sigmoid, table
+from hiremill.session import materialize
 
-PER_CLASS = 4000
+PER_CLASS = 8000
 THRESHOLD = 0.3
 MOST_FEATURES = 4000
 CACHE = 400_000
@@ -45,30 +45,62 @@ def sentences(text: str) -> list[tuple[int, int]]:
 
 
 def bag(text: str | None) -> list[set[str]]:
+    """The distinct features of each sentence."""
     text = (text or "").lower()
     return [{f for w in WORD.findall(text[a:b]) for f in word_features(w)} for a, b in sentences(text)]
 
 
-def fit_mil(texts: list[str], y: np.ndarray, weight: np.ndarray, rounds: int = 300) -> dict:
-    """Weights by feature and the bias, by Adam with a soft threshold on the weights."""
-    bags = [bag(t) for t in texts]
-    by_class = [Counter(), Counter()]
-    for b, label in zip(bags, y):
-        by_class[int(label)].update(set().union(*b) if b else ())
-    n_pos, n_neg = max((y == 1).sum(), 1), max((y == 0).sum(), 1)
-    # Features whose share of documents differs most between the classes, in standard errors.
-    rated = []
-    for f in by_class[0].keys() | by_class[1].keys():
-        a, b = by_class[1][f], by_class[0][f]
-        if a + b >= 4:
-            pool = (a + b) / (n_pos + n_neg)
-            rated.append((-abs(a / n_pos - b / n_neg) / np.sqrt(pool * (1 - pool) * (1 / n_pos + 1 / n_neg) + 1e-12), f))
-    chosen = [f for r, f in sorted(rated)[:MOST_FEATURES] if r < -4.0]
-    at = {f: i for i, f in enumerate(chosen)}
-    doc_of = np.array([d for d, b in enumerate(bags) for _ in b], dtype=np.int64)
-    flat = [(s, at[f]) for s, fs in enumerate(f for b in bags for f in b) for f in fs if f in at]
-    sent, feat = (np.array(v, dtype=np.int64) for v in zip(*flat)) if flat else (np.zeros(0, np.int64),) * 2
-    w, bias = np.zeros(len(chosen)), -6.0
+def telling_features(sample: DataFrame, most: int = MOST_FEATURES) -> list[str]:
+    """The features whose share of documents differs most between the classes, by at least four standard errors."""
+
+    def run(batches):
+        for pdf in batches:
+            rows = [(f, y) for t, y in zip(pdf["text"], pdf["toxic"]) if (b := bag(t)) for f in set().union(*b)]
+            yield pd.DataFrame(rows, columns=["feature", "toxic"])
+
+    sizes = {r["toxic"]: r["n"] for r in sample.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    n0, n1 = (float(max(sizes.get(v, 0), 1)) for v in (0, 1))
+    pool = F.col("n") / (n0 + n1)
+    off = F.abs(F.col("hits") / n1 - (F.col("n") - F.col("hits")) / n0)
+    return [
+        r["feature"]
+        for r in sample.select("text", "toxic").mapInPandas(run, "feature string, toxic int")
+        .groupBy("feature").agg(F.sum("toxic").alias("hits"), F.count("*").alias("n"))
+        .filter("n >= 4")
+        .withColumn("errors", off / F.sqrt(pool * (1 - pool) * (1 / n0 + 1 / n1) + 1e-12))
+        .filter("errors > 4").orderBy(F.desc("errors"), "feature").limit(most).collect()
+    ]
+
+
+def bag_rows(sample: DataFrame, features: list[str]) -> list:
+    """Per document its label, number of sentences, and (sentence, feature number) of the telling features."""
+    at = {f: i for i, f in enumerate(features)}
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for t, y in zip(pdf["text"], pdf["toxic"]):
+                bags = bag(t)
+                hits = [(i, at[f]) for i, b in enumerate(bags) for f in sorted(b) if f in at]
+                rows.append((y, len(bags), [i for i, _ in hits], [f for _, f in hits]))
+            yield pd.DataFrame(rows, columns=["toxic", "sentences", "sent", "feat"])
+
+    return sorted(sample.select("text", "toxic").mapInPandas(run, "toxic int, sentences int, sent array<int>, feat array<int>").collect())
+
+
+def fit_mil(rows: list, features: list[str], class_rows: dict[int, int], rounds: int = 300) -> dict:
+    """Weights by feature and the bias, by Adam with a soft threshold on the weights.
+
+    ``rows`` are those of ``bag_rows``; ``class_rows`` says for how many labelled
+    documents those of each class stand.
+    """
+    y = np.array([r[0] for r in rows], dtype=float)
+    doc_of = np.repeat(np.arange(len(rows)), [r[1] for r in rows])
+    first_sentence = np.cumsum([0, *(r[1] for r in rows)])
+    sent = np.array([first_sentence[d] + s for d, r in enumerate(rows) for s in r[2]], dtype=np.int64)
+    feat = np.array([f for r in rows for f in r[3]], dtype=np.int64)
+    weight = np.where(y == 1, class_rows[1] / max((y == 1).sum(), 1), class_rows[0] / max((y == 0).sum(), 1))
+    w, bias = np.zeros(len(features)), -6.0
     first, second = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     scale = weight / weight.sum()
     for i in range(1, rounds + 1):
@@ -83,7 +115,7 @@ def fit_mil(texts: list[str], y: np.ndarray, weight: np.ndarray, rounds: int = 3
         step = 0.15 * (first / (1 - 0.9**i)) / (np.sqrt(second / (1 - 0.99**i)) + 1e-8)
         w, bias = w - step[:-1], bias - step[-1]
         w = np.sign(w) * np.maximum(np.abs(w) - 0.0003, 0.0)
-    return {"weights": {f: float(v) for f, v in zip(chosen, w) if v}, "bias": float(bias)}
+    return {"weights": {f: float(v) for f, v in zip(features, w) if v}, "bias": float(bias)}
 
 
 class Scorer:
@@ -146,13 +178,11 @@ def train_toxicity_model(docs: DataFrame, labels: DataFrame, per_class: int = PE
         return None
     parts = [sample_by_hash(usable.filter(F.col("toxic") == v), "doc_id", per_class) for v in (0, 1)]
     # Proven bound: 2 x per_class rows of two numbers.
-    got = docs.select("doc_id", "text").join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id").collect()
-    got.sort(key=lambda r: (r["doc_id"], r["toxic"], r["text"] or ""))
-    y = np.array([r["toxic"] for r in got], dtype=float)
-    if len(set(y)) < 2:
-        return None
-    weight = np.where(y == 1, counts[1] / (y == 1).sum(), counts[0] / (y == 0).sum())
-    return fit_mil([r["text"] for r in got], y, weight)
+    sample = docs.select("doc_id", "text").join(F.broadcast(parts[0].unionByName(parts[1])), "doc_id").select("text", "toxic")
+    sample = materialize(sample, "toxicity-sample")
+    features = telling_features(sample)
+    rows = bag_rows(sample, features)
+    return fit_mil(rows, features, counts) if len({r[0] for r in rows}) == 2 else None
 
 
 def score_toxicity(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
