@@ -88,7 +88,7 @@ def bag_rows(sample: DataFrame, features: list[str]) -> list:
     return sorted(sample.select("text", "toxic").mapInPandas(run, "toxic int, sentences int, sent array<int>, feat array<int>").collect())
 
 
-def fit_mil(rows: list, features: list[str], class_rows: dict[int, int], rounds: int = 300) -> dict:
+def fit_mil(rows: list, features: list[str], class_rows: dict[int, int], rounds: int = 500) -> dict:
     """Weights by feature and the bias, by Adam with a soft threshold on the weights.
 
     ``rows`` are those of ``bag_rows``; ``class_rows`` says for how many labelled
