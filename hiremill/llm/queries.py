@@ -8,16 +8,18 @@ from hiremill.llm.line_dedup import OP4_SQL, op4_line_dedup
 from hiremill.llm.packing import op7_packing
 from hiremill.llm.quality import op3_quality
 from hiremill.llm.sharding import op2_sharding
+from hiremill.llm.topk import OP6_SQL, op6_exact_topk
 from hiremill.llm.toxicity import op8_toxicity
 
 QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_quality": op3_quality,
     "op4_line_dedup": op4_line_dedup,
+    "op6_exact_topk": op6_exact_topk,
     "op7_packing": op7_packing,
     "op8_toxicity": op8_toxicity,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_language_id": op10_language_id,
 }
 
-ORACLES: dict[str, str] = {"op4_line_dedup": OP4_SQL}
+ORACLES: dict[str, str] = {"op4_line_dedup": OP4_SQL, "op6_exact_topk": OP6_SQL}
