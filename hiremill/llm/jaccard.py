@@ -17,10 +17,13 @@ at least the larger need of the two, counted in one seed and band.
 
 **Candidates.** Signatures are sorted in their partitions. Groups of up to
 ``small`` sets give their pairs, of which those are verified that occur as
-often as the need says. Larger groups never give pairs: a set that meets a pair
-in them alone must have nearly all of its signatures there (*saturated*). Such
-sets are linked to the first of each group, and only where a group still holds
-several components are its members compared across them.
+often as the need says. Larger groups never give pairs: a pair met in them
+alone has nearly all of its signatures there (it is *saturated*). The saturated
+sets sign again over many more, hence smaller ranges, where what many texts have
+in common is a far smaller part of the need. What is saturated even so is all
+but made of common text. These few are linked to pivots of their groups, keeping
+of each set only the rarest signatures that any partner must share one of;
+where a group still holds several components, its members are compared across them.
 
 **Verification** is the exact set intersection. Links, not all pairs, leave:
 equal texts are joined by set id, components by ``connected_components``.
@@ -36,7 +39,8 @@ import hashlib
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hiremill.llm.common import table
@@ -47,6 +51,9 @@ WORDS = 5
 PERCENT = 80
 SMALL = 48
 FLAG_BITS = 1 << 20
+COARSE, FINE = 1.2, 8.0
+PIVOTS = 3
+SIGNATURE_ROW = "sig long, set_id long, place int, need int"
 U = np.uint64
 
 
@@ -118,8 +125,8 @@ def set_id(s: np.ndarray) -> int:
 class Bands:
     """Size bands: (k, n) of each, and those in which a set of some size signs."""
 
-    def __init__(self, percent: int = PERCENT, ratio: float = 1.25):
-        self.percent, self.ratio = percent, ratio
+    def __init__(self, percent: int = PERCENT, fine: float = 1.2, ratio: float = 1.25):
+        self.percent, self.fine, self.ratio = percent, fine, ratio
         self.edges, self.params = [1], []
 
     def _grow(self, size: int) -> None:
@@ -127,7 +134,7 @@ class Bands:
             self.edges.append(max(self.edges[-1] + 1, int(np.ceil(self.edges[-1] * self.ratio))))
             high = self.edges[-1] - 1
             k = (100 - self.percent) * 2 * high // (100 + self.percent)
-            self.params.append((k, int(np.ceil(1.2 * (k + 1))) + 2))
+            self.params.append((k, int(np.ceil(self.fine * (k + 1))) + 2))
 
     def of(self, size: int) -> list[tuple[int, int, int]]:
         """(band, k, n) from the band of ``size`` to that of the largest size it can link with."""
@@ -180,67 +187,87 @@ def signature_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 out.append((sig.view(np.int64), np.full(len(sig), key, dtype=np.int64), place, need))
                 size += len(sig)
                 if size > 100_000:
-                    yield _frame(out)
+                    yield _signature_frame(out)
                     out, size = [], 0
             if out:
-                yield _frame(out)
+                yield _signature_frame(out)
 
-    def _frame(out):
-        return pd.DataFrame(dict(zip(("sig", "set_id", "place", "need"), map(np.concatenate, zip(*out)))))
+    return docs.select("text").mapInPandas(run, SIGNATURE_ROW)
 
-    return docs.select("text").mapInPandas(run, "sig long, set_id long, place int, need int")
+
+def _signature_frame(out: list) -> pd.DataFrame:
+    return pd.DataFrame(dict(zip(("sig", "set_id", "place", "need"), map(np.concatenate, zip(*out)))))
+
+
+def fine_signature_rows(sets: DataFrame, percent: int) -> DataFrame:
+    """The same for given sets (set_id, members), over many small ranges."""
+
+    def run(batches):
+        bands = Bands(percent, FINE)
+        for pdf in batches:
+            for key, members in zip(pdf["set_id"], pdf["members"]):
+                sig, place, need = signatures(np.frombuffer(members, dtype=np.uint64), bands)
+                yield _signature_frame([(sig.view(np.int64), np.full(len(sig), key, dtype=np.int64), place, need)])
+
+    return sets.select("set_id", "members").mapInPandas(run, SIGNATURE_ROW)
 
 
 def grouped_candidates(rows: DataFrame, small: int) -> DataFrame:
     """Of signatures shared by several sets: pairs (a, b) of small groups, members (a, b = NULL) of larger ones."""
 
     def run(batches):
-        held = None
-        big = None  # (sig, first set) of a group that is being passed through
-        for pdf in batches:
-            part = np.stack([pdf[c].to_numpy(np.int64) for c in ("sig", "set_id", "place", "need")], axis=1)
-            part = part if held is None else np.concatenate([held, part])
-            part = part[np.append(True, (part[1:, :2] != part[:-1, :2]).any(axis=1))[: len(part)]]
-            if not len(part):
+        held = np.zeros((0, 4), dtype=np.int64)  # the group that may go on in the next batch
+        big = None  # the signature of a group that is being passed through
+        for batch in batches:
+            columns = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+            sig = columns[0]
+            if not len(sig):
                 continue
+            # Nearly all signatures stand alone: only rows beside an equal one go on, and the batch's ends.
+            same = sig[1:] == sig[:-1]
+            keep = np.append(same, True) | np.append(True, same)
+            part = np.concatenate([held, np.stack([c[keep].astype(np.int64) for c in columns], axis=1)])
+            part = part[np.append(True, (part[1:, :2] != part[:-1, :2]).any(axis=1))]
             last = int(np.flatnonzero(np.append(True, part[1:, 0] != part[:-1, 0]))[-1])
             done, held = part[:last], part[last:]
             if big is not None and len(done):  # the rest of the group that was passed on comes first
                 n = int(np.searchsorted(done[:, 0], big, side="right"))
-                yield from _out(done[n:], done[:n], small)
+                yield from _out(done[n:], done[:n])
                 big = None
             elif len(done):
-                yield from _out(done, done[:0], small)
+                yield from _out(done, done[:0])
             if len(held) > small + 1:  # large already: pass on all but its last row
-                yield from _out(done[:0], held[:-1], small)
+                yield from _out(held[:0], held[:-1])
                 held, big = held[-1:], held[-1, 0]
-        if held is not None and len(held):
-            yield from _out(held[:0], held, small) if big is not None else _out(held, held[:0], small)
+        yield from _out(held[:0], held) if big is not None else _out(held, held[:0])
 
-    def _out(done, members, small):
-        parts = []
-        if len(members):
-            parts.append((members[:, 0], members[:, 1], None, members[:, 2], members[:, 3]))
+    def _out(done, members):
+        parts = [(members, None)] if len(members) else []
         if len(done):
             starts = np.flatnonzero(np.append(True, done[1:, 0] != done[:-1, 0]))
             sizes = np.diff(np.append(starts, len(done)))
             size = np.repeat(sizes, sizes)
             if (m := size > small).any():
-                parts.append((done[m, 0], done[m, 1], None, done[m, 2], done[m, 3]))
+                parts.append((done[m], None))
             rest = done[(size > 1) & (size <= small)]
             for lag in range(1, small):
-                if len(rest) <= lag:
-                    break
-                at = np.flatnonzero(rest[:-lag, 0] == rest[lag:, 0])
+                at = np.flatnonzero(rest[:-lag, 0] == rest[lag:, 0]) if len(rest) > lag else ()
                 if not len(at):
                     break
-                parts.append((rest[at, 0], rest[at, 1], rest[at + lag, 1], rest[at, 2], np.maximum(rest[at, 3], rest[at + lag, 3])))
-        for sig, a, b, place, need in parts:
-            other = pd.array([pd.NA] * len(a), dtype="Int64") if b is None else pd.array(b, dtype="Int64")
-            yield pd.DataFrame({"sig": sig, "a": a, "b": other, "place": place.astype(np.int32), "need": need.astype(np.int32)})
+                pair = rest[at].copy()
+                pair[:, 3] = np.maximum(pair[:, 3], rest[at + lag, 3])
+                parts.append((pair, rest[at + lag, 1]))
+        for rows, other in parts:
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(rows[:, 0].copy()), pa.array(rows[:, 1].copy()), pa.nulls(len(rows), pa.int64()) if other is None else pa.array(other),
+                    pa.array(rows[:, 2].astype(np.int32)), pa.array(rows[:, 3].astype(np.int32)),
+                ],
+                ["sig", "a", "b", "place", "need"],
+            )
 
     ordered = rows.repartition("sig").sortWithinPartitions("sig", "set_id")
-    return ordered.mapInPandas(run, "sig long, a long, b long, place int, need int")
+    return ordered.mapInArrow(run, "sig long, a long, b long, place int, need int")
 
 
 def flag_array(ids: DataFrame, column: str) -> bytes:
@@ -296,13 +323,14 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, small: int = SMALL, id_col: str = "doc_id") -> DataFrame:
-    """doc_id, n_shingles, set_id and component_id: the smallest doc_id reachable over links, its own included."""
-    found = materialize(grouped_candidates(signature_rows(docs, words, percent), small), "jaccard-candidates")
+def split_candidates(found: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+    """The pairs (a, b) that occur often enough, and the saturated sets' rows in large groups (sig, set_id, place, spare).
+
+    ``spare``: a partner shares one of so many rarest of the set's signatures there.
+    """
     members = found.filter(F.col("b").isNull())
-    # How many of a set's signatures lie in groups too large to give pairs.
     lost = members.groupBy(F.col("a").alias("set_id"), "place").agg(F.count("*").alias("lost"), F.max("need").alias("need"))
-    lost = materialize(lost, "jaccard-lost")
+    lost = materialize(lost, f"{name}-lost")
 
     def missing(side):
         return lost.select(F.col("set_id").alias(f"{side}_id"), F.col("place").alias(f"{side}_place"), F.col("lost").alias(f"{side}_lost"))
@@ -314,20 +342,44 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         .join(b, (F.col("b") == F.col("b_id")) & (F.col("place") == F.col("b_place")), "left")
         .filter(F.col("n") + F.least(F.coalesce("a_lost", F.lit(0)), F.coalesce("b_lost", F.lit(0))) >= F.col("need"))
         .select("a", "b").distinct()
+    )
+    full = lost.filter(F.col("lost") >= F.col("need")).select(
+        F.col("set_id").alias("full_id"), F.col("place").alias("full_place"), (F.col("lost") - F.col("need") + 1).alias("spare")
     )
-    pairs = materialize(pairs, "jaccard-pairs")
-    full = lost.filter(F.col("lost") >= F.col("need")).select(F.col("set_id").alias("full_id"), F.col("place").alias("full_place"))
-    hot = members.join(full, (F.col("a") == F.col("full_id")) & (F.col("place") == F.col("full_place"))).select("sig", F.col("a").alias("set_id"))
-    hot = materialize(hot, "jaccard-hot")
+    hot = members.join(full, (F.col("a") == F.col("full_id")) & (F.col("place") == F.col("full_place")))
+    hot = hot.select("sig", F.col("a").alias("set_id"), "place", "spare")
+    return materialize(pairs, f"{name}-pairs"), materialize(hot, f"{name}-hot")
+
+
+def rarest(hot: DataFrame) -> DataFrame:
+    """(sig, set_id) of each set's ``spare`` rarest signatures: two similar sets share one of them in both."""
+    sizes = hot.groupBy("sig").agg(F.count("*").alias("size"))
+    order = Window.partitionBy("set_id", "place").orderBy("size", "sig")
+    return hot.join(sizes, "sig").withColumn("at", F.row_number().over(order)).filter("at <= spare").select("sig", "set_id")
 
-    wanted = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).unionByName(hot.select(F.col("set_id").alias("a")))
+
+def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, small: int = SMALL, id_col: str = "doc_id") -> DataFrame:
+    """doc_id, n_shingles, set_id and component_id: the smallest doc_id reachable over links, its own included."""
+    found = materialize(grouped_candidates(signature_rows(docs, words, percent), small), "jaccard-candidates")
+    pairs, hot = split_candidates(found, "jaccard")
+    saturated = hot.select("set_id").distinct()
+    wanted = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).unionByName(saturated.select(F.col("set_id").alias("a")))
     sets = materialize(document_sets(docs, flag_array(wanted, "a"), words, id_col), "jaccard-sets")
     distinct = materialize(
         sets.filter(F.col("members").isNotNull()).groupBy("set_id").agg(F.first("members").alias("members")), "jaccard-members"
     )
-
-    first = hot.groupBy("sig").agg(F.min("set_id").alias("first"))
-    star = hot.join(first, "sig").filter("set_id != first").select(F.col("first").alias("a"), F.col("set_id").alias("b")).distinct()
+    if hot.head(1):
+        again = fine_signature_rows(distinct.join(saturated, "set_id", "left_semi"), percent)
+        more, hot = split_candidates(materialize(grouped_candidates(again, small), "jaccard-fine"), "jaccard-fine")
+        pairs = pairs.unionByName(more)
+    hot = materialize(rarest(hot), "jaccard-rarest")
+
+    # Links to a few pivots join what is dense.
+    pivots = hot.groupBy("sig").agg(*[F.min_by("set_id", F.xxhash64("set_id", F.lit(i))).alias(f"pivot{i}") for i in range(PIVOTS)])
+    star = (
+        hot.join(pivots, "sig").select("set_id", F.explode(F.array(*[f"pivot{i}" for i in range(PIVOTS)])).alias("pivot"))
+        .filter("set_id != pivot").select(F.least("set_id", "pivot").alias("a"), F.greatest("set_id", "pivot").alias("b"))
+    )
     links = materialize(verified(pairs.unionByName(star).distinct(), distinct, percent), "jaccard-links")
     labels = connected_components(links)
 
@@ -340,7 +392,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         across = (
             left.join(other, (F.col("sig") == F.col("sig2")) & (F.col("label") < F.col("label2")))
             .select(F.least("set_id", "b").alias("a"), F.greatest("set_id", "b").alias("b")).distinct()
-        )
+        )
         more = verified(across, distinct, percent)
         labels = connected_components(materialize(links.unionByName(more), "jaccard-links"))
 
