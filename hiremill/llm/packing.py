@@ -28,9 +28,10 @@ and source are not read.
 
 from __future__ import annotations
 
+import gc
 import json
 import os
-import string
+import re
 import zlib
 
 import numpy as np
@@ -48,9 +49,10 @@ GRAIN = 64
 END_ID = 1
 MAX_QUEUES = 256
 MOST_ROUNDS = 1 << 31
-CACHE = 300_000
+CACHE = 800_000
 ROWS_OUT = 50_000
-STOPS = string.punctuation.replace("'", "")
+#: A word of Latin-1 letters with the signs behind it; an apostrophe may belong to the letters.
+PLAIN = re.compile(r"(?m)^([A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@\[-`{-~]*)$")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -91,8 +93,8 @@ class WordEncoder:
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _plain(self, words: list[str]) -> None:
-        """Remember lower-case words of Latin-1 letters."""
+    def _plain(self, words: list[str]) -> list[bytes]:
+        """Ids of lower-case words of Latin-1 letters."""
         joined = [
             " ".join(words[i : i + 200]).encode().decode("latin-1").translate(self.letters).replace(self.letters[32], " ")
             for i in range(0, len(words), 200)
@@ -102,25 +104,20 @@ class WordEncoder:
         if len(ends) != len(words):
             raise ValueError("the vocabulary does not mark every word's end")
         data = ids.tobytes()
-        self.known.update(zip(words, [data[a:b] for a, b in zip([0, *ends], ends)]))
+        return [data[a:b] for a, b in zip([0, *ends], ends)]
 
     def _learn(self, words: set[str]) -> None:
         known = self.known
-        made, cores, tails, odd = [], set(), set(), []
-        for w in words:
-            core = w.rstrip(STOPS)
-            if core.isalpha() and (core.isascii() or max(core) < "\u0100"):
-                low, tail = core.lower(), w[len(core) :]
-                cores.add(low)
-                tails.add(tail)
-                made.append((w, low, tail))
-            else:
-                odd.append(w)
-        if cores := list(cores - known.keys()):
-            self._plain(cores)
-        odd += tails - known.keys()
-        known.update(zip(odd, self._whole(odd)))
-        known.update((w, known[low] + known[tail]) for w, low, tail in made)
+        pairs = PLAIN.findall("\n".join(words))
+        lows = [core.lower() for core, _ in pairs]
+        made = [core + tail for core, tail in pairs]
+        parts = {tail: b"" for _, tail in pairs}
+        odd = list(words.difference(made) | parts.keys())
+        parts = dict(zip(odd, self._whole(odd)))
+        known.update((w, parts[w]) for w in words.difference(made))
+        if cores := list(set(lows).difference(known)):
+            parts.update(zip(cores, self._plain(cores)))
+        known.update(zip(made, [(parts.get(low) or known[low]) + parts[tail] for low, (_, tail) in zip(lows, pairs)]))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, 32 bits little-endian each."""
@@ -128,9 +125,10 @@ class WordEncoder:
             return self._whole(texts)
         words = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
         needed = set().union(*words)
-        if len(self.known) > CACHE:
-            self.known.clear()
         if new := needed - self.known.keys():
+            if len(self.known) + len(new) > CACHE:
+                self.known.clear()
+                new = needed
             self._learn(new)
         get = self.known.__getitem__
         return [b"".join(map(get, w)) for w in words]
@@ -141,7 +139,11 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, tex
 
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        encoder, task, at = WordEncoder(tokenizer_path), TaskContext.get().partitionId(), {}
+        gc.disable()  # nothing here refers in circles; the collector would walk the remembered words again and again
+        # What a Python worker has learned serves its later tasks as well.
+        encoders = vars(public_tokenizers).setdefault("word_encoders", {})
+        encoder = encoders.get(tokenizer_path) or encoders.setdefault(tokenizer_path, WordEncoder(tokenizer_path))
+        task, at = TaskContext.get().partitionId(), {}
         end = np.array([end_id], dtype="<u4").tobytes()
         for pdf in batches:
             texts = ["" if t is None else t for t in pdf["text"]]
