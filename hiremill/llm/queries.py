@@ -7,11 +7,13 @@ from hiremill.llm.language import op10_language_id
 from hiremill.llm.line_dedup import OP4_SQL, op4_line_dedup
 from hiremill.llm.packing import op7_packing
 from hiremill.llm.quality import op3_quality
+from hiremill.llm.segmentation import op1_sentencepiece
 from hiremill.llm.sharding import op2_sharding
 from hiremill.llm.topk import OP6_SQL, op6_exact_topk
 from hiremill.llm.toxicity import op8_toxicity
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_sharding": op2_sharding,
     "op3_quality": op3_quality,
     "op4_line_dedup": op4_line_dedup,
