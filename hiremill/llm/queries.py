@@ -5,6 +5,7 @@ from __future__ import annotations
 from hiremill.llm.jaccard import op9_ngram_jaccard
 from hiremill.llm.language import op10_language_id
 from hiremill.llm.line_dedup import OP4_SQL, op4_line_dedup
+from hiremill.llm.neighbours import op5_ann
 from hiremill.llm.packing import op7_packing
 from hiremill.llm.quality import op3_quality
 from hiremill.llm.segmentation import op1_sentencepiece
@@ -17,6 +18,7 @@ QUERIES = {
     "op2_sharding": op2_sharding,
     "op3_quality": op3_quality,
     "op4_line_dedup": op4_line_dedup,
+    "op5_ann": op5_ann,
     "op6_exact_topk": op6_exact_topk,
     "op7_packing": op7_packing,
     "op8_toxicity": op8_toxicity,
