@@ -15,6 +15,7 @@ for a prediction; NULL languages teach nothing; extra columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -151,24 +152,27 @@ def train_language_model(rows: DataFrame, per_language: int = PER_LANGUAGE) -> d
     return fit(x, y)
 
 
-def identify_language(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, lang_pred, score for every row."""
+def language_column(model: dict | None):
+    """A UDF from a text to (lang_pred, score)."""
 
-    def run(batches):
-        for pdf in batches:
-            names, scores = [UNKNOWN] * len(pdf), np.zeros(len(pdf))
-            known = [i for i, t in enumerate(pdf["text"]) if has_letter(t)] if model else []
+    @F.pandas_udf("lang_pred string, score double")
+    def predicted(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            names, scores = [UNKNOWN] * len(texts), np.zeros(len(texts))
+            known = [i for i, t in enumerate(texts) if has_letter(t)] if model else []
             for at in range(0, len(known), 256):
                 part = known[at : at + 256]
-                found, score = predict(model, profiles([pdf["text"].iat[i] for i in part]))
+                found, score = predict(model, profiles([texts.iat[i] for i in part]))
                 for i, name, s in zip(part, found, score):
                     names[i], scores[i] = name, float(s)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "lang_pred": names, "score": scores})
+            yield pd.DataFrame({"lang_pred": names, "score": scores})
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(
-        run, f"doc_id {kind}, lang_pred string, score double"
-    )
+    return predicted
+
+
+def identify_language(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, lang_pred, score for every row."""
+    return docs.select(F.col(id_col).alias("doc_id"), language_column(model)(F.col(text_col)).alias("found")).select("doc_id", "found.*")
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

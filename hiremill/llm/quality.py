@@ -16,6 +16,7 @@ not read. Words are the pieces between white space.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -182,15 +183,20 @@ def train_quality_model(docs: DataFrame, labels: DataFrame, sample_rows: int = S
     return fit_gam(np.array([r["x"] for r in got]), y) if len(set(y)) == 2 else None
 
 
-def score_quality(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and score of every row."""
+def quality_column(model: dict | None):
+    """A UDF from a text to its score."""
 
-    def run(batches):
-        for pdf in batches:
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "score": score_gam(model, features_of(pdf["text"]))})
+    @F.pandas_udf("double")
+    def scored(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series(score_gam(model, features_of(texts)))
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(run, f"doc_id {kind}, score double")
+    return scored
+
+
+def score_quality(docs: DataFrame, model: dict | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id and score of every row."""
+    return docs.select(F.col(id_col).alias("doc_id"), quality_column(model)(F.col(text_col)).alias("score"))
 
 
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
