@@ -50,12 +50,12 @@ def route(message: Column, resume: Column) -> Column:
     )
 
 
-def route_prompt(message: Column, resume: Column) -> Column:
-    """Prompt text of the two routes that ask the chat model; NULL for the others."""
+def route_prompt(message: Column, resume: Column, chars: int = RESUME_CHARS) -> Column:
+    """Prompt text of the two routes that ask the chat model, with ``chars`` of the résumé; NULL for the others."""
     question = F.when(message == "", DEFAULT_QUESTION).otherwise(message)
     about_resume = F.concat(
         F.lit("Resume text:\n"),
-        F.substring(resume, 1, RESUME_CHARS),
+        F.substring(resume, 1, chars),
         F.lit("\n\nUser question: "),
         question,
         F.lit("\n\nAnswer using only the resume above."),

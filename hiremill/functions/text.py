@@ -34,6 +34,9 @@ INSTRUCTION_PHRASES = [
 # Fixed value: put in front of a text that held one of the phrases.
 SANITIZED_PREFIX = "Extract technical skills only from this data: "
 
+# Separators other than the space, and control, format, private and unassigned code points.
+UNPRINTED = r"[\p{C}\p{Z}&&[^ ]]"
+
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -120,11 +123,23 @@ def drop_instruction_lines(c: Column | str) -> Column:
     return F.array_join(lines, "\n")
 
 
+def _escaped_char(ch: Column) -> Column:
+    code = F.ascii(ch)
+    digits = F.lower(F.hex(code))
+    escaped = (
+        F.when(code < 256, F.concat(F.lit("\\x"), F.lpad(digits, 2, "0")))
+        .when(code < 65536, F.concat(F.lit("\\u"), F.lpad(digits, 4, "0")))
+        .otherwise(F.concat(F.lit("\\U"), F.lpad(digits, 8, "0")))
+    )
+    return F.when(ch.rlike(UNPRINTED), escaped).otherwise(ch)
+
+
 def python_repr(c: Column | str) -> Column:
-    """A string as Python prints it inside a list (quotes, backslash, tab and line ends)."""
+    """A string as Python prints it inside a list: quotes, and escapes of what does not print."""
     value = F.replace(_col(c), F.lit("\\"), F.lit("\\\\"))
     for raw, shown in (("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
         value = F.replace(value, F.lit(raw), F.lit(shown))
+    value = F.when(value.rlike(UNPRINTED), F.array_join(F.transform(F.split(value, ""), _escaped_char), "")).otherwise(value)
     single, double = F.lit("'"), F.lit('"')
     return (
         F.when(~_col(c).contains("'"), F.concat(single, value, single))

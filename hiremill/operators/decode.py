@@ -173,19 +173,22 @@ def bronze_summary(bronze: DataFrame) -> DataFrame:
 
 
 def extract(pages: DataFrame, spec: dict[str, Selector], key: str = "doc_key", html: str = "html") -> DataFrame:
-    """One string column per selector; NULL when no element matches or a read attribute is empty."""
+    """One string column per selector; NULL when no element matches or a read attribute is empty.
+
+    A page without text keeps its row, with all columns NULL.
+    """
     names = list(spec)
     key_type = pages.schema[key].dataType.simpleString()
     schema = ", ".join([f"`{key}` {key_type}", *[f"`{n}` string" for n in names]])
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [_FieldReader(spec).read(page) for page in batch[html]]
+            found = [{} if page is None else _FieldReader(spec).read(page) for page in batch[html]]
             out = pd.DataFrame({n: pd.Series([f.get(n) for f in found], dtype=object) for n in names})
             out.insert(0, key, batch[key].to_numpy())
             yield out
 
-    return pages.filter(F.col(html).isNotNull()).select(key, html).mapInPandas(read, schema)
+    return pages.select(key, html).mapInPandas(read, schema)
 
 
 def extract_listings(bronze: DataFrame) -> DataFrame:

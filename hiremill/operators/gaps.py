@@ -13,8 +13,8 @@ from hiremill.operators.ordering import number_rows
 TOP_SKILLS = 5
 # Skills per piece of the vocabulary that meets a résumé in one row.
 PIECE_ROWS = 20_000
-# Tasks that share the work on one piece.
-PIECE_COPIES = 32
+# Rows of the other side that one copy of a piece meets.
+COPY_ROWS = 5_000
 
 
 def tagged_stacks(jobs: DataFrame, trim_blank: bool = False) -> DataFrame:
@@ -65,7 +65,7 @@ def line_skills(resumes: DataFrame, demand: DataFrame, key: str = "resume_id") -
 def skill_sets(resumes: DataFrame, possessed: DataFrame, key: str = "resume_id") -> DataFrame:
     """``(key, skills)`` for every résumé, also those without any skill.
 
-    A résumé is cut to 3000 characters, which bounds its list.
+    A list holds no more than the résumé's own text names.
     """
     sets = possessed.groupBy(key).agg(F.collect_set("skill").alias("skills"))
     return resumes.select(key).join(sets, key, "left").select(
@@ -98,32 +98,53 @@ def _as_demand(entries: Column) -> Column:
     return F.transform(entries, lambda v: F.struct(v["skill"].alias("skill"), (-v["rank"]).alias("demand")))
 
 
-def _with_top(demand: DataFrame, sets: DataFrame, n: int, name: str) -> DataFrame:
-    """``sets`` with the first ``n`` skills each row lacks, in demand order.
+def ranked_demand(demand: DataFrame) -> DataFrame:
+    """``(skill, demand, rank)``, rank from 0: largest demand first, then by skill."""
+    return number_rows(demand.select("skill", "demand"), (-F.col("demand")), "skill", name="rank")
 
-    A résumé with m skills finds its ``n`` among the first ``m + n`` skills of
-    the demand order, so the vocabulary is ranked once (in parallel) and only
-    its first ``max(m) + n`` entries travel to the résumés; the 3000 characters
-    of a résumé bound m. Résumés are not shuffled.
+
+def held_ranks(ranked: DataFrame, sets: DataFrame, key: str = "resume_id") -> DataFrame:
+    """``(key, skills, ranks)``: the demand ranks of the skills each row has, in order.
+
+    Only (key, rank) pairs travel; a row holds no more ranks than its own skills.
     """
-    longest = sets.agg(F.coalesce(F.max(F.size("skills")), F.lit(0))).scalar()
-    ranked = number_rows(demand, (-F.col("demand")), "skill", name="_position")
-    head = ranked.filter(F.col("_position") < longest + n)
-    candidates = head.agg(F.array_sort(F.collect_list(_by_demand("skill", "demand")))).scalar()
-    asking = sets.withColumn("_candidates", candidates)
-    first = F.slice(_lacking(F.col("_candidates"), F.col("skills")), 1, n)
-    return asking.withColumn(name, _as_demand(first)).drop("_candidates")
+    held = (
+        sets.select(key, F.explode("skills").alias("skill"))
+        .join(ranked.select("skill", "rank"), "skill")
+        .groupBy(key)
+        .agg(F.array_sort(F.collect_set("rank")).alias("ranks"))
+    )
+    return sets.select(key, "skills").join(held, key, "left").withColumn(
+        "ranks", F.coalesce("ranks", F.array().cast("array<bigint>"))
+    )
 
 
-def top_gaps(demand: DataFrame, sets: DataFrame, n: int = TOP_SKILLS, key: str = "resume_id") -> DataFrame:
-    """``(key, top)``: the ``n`` most demanded skills each résumé lacks."""
-    return _with_top(demand, sets, n, "top").select(key, "top")
+def _first_lacking(ranks: Column, n: int) -> Column:
+    """The first ``n`` numbers from 0 that are not among ``ranks``: they lie below size + n."""
+    until = F.sequence(F.lit(0).cast("bigint"), (F.size(ranks) + (n - 1)).cast("bigint"))
+    return F.slice(F.array_except(until, ranks), 1, n)
 
 
 def top_gap_rows(demand: DataFrame, sets: DataFrame, n: int = TOP_SKILLS, key: str = "resume_id") -> DataFrame:
-    """``top_gaps`` as rows ``(key, position, skill, demand)``, position from 1."""
-    rows = top_gaps(demand, sets, n, key).select(key, F.posexplode("top"))
-    return rows.select(key, (F.col("pos") + 1).cast("bigint").alias("position"), "col.skill", "col.demand")
+    """``(key, position, skill, demand)``, position from 1: the ``n`` most demanded skills each row lacks.
+
+    The vocabulary is ranked once. A row's first missing ranks follow from the
+    ranks it has, and only these ``n`` are joined back to their skills.
+    """
+    ranked = ranked_demand(demand)
+    lacking = held_ranks(ranked, sets, key).select(key, F.posexplode(_first_lacking(F.col("ranks"), n)).alias("at", "rank"))
+    return lacking.join(ranked, "rank").select(key, (F.col("at") + 1).cast("bigint").alias("position"), "skill", "demand")
+
+
+def top_gaps(demand: DataFrame, sets: DataFrame, n: int = TOP_SKILLS, key: str = "resume_id") -> DataFrame:
+    """``(key, top)``: the same as one array per row, empty where nothing is lacking."""
+    found = top_gap_rows(demand, sets, n, key).groupBy(key).agg(
+        F.array_sort(F.collect_list(F.struct("position", "skill", "demand"))).alias("found")
+    )
+    top = F.transform("found", lambda x: F.struct(x["skill"].alias("skill"), x["demand"].alias("demand")))
+    return sets.select(key).join(found, key, "left").select(
+        key, F.coalesce(top, F.expr("cast(array() as array<struct<skill: string, demand: bigint>>)")).alias("top")
+    )
 
 
 def gap_pieces(demand: DataFrame, sets: DataFrame, key: str = "resume_id", piece_rows: int = PIECE_ROWS) -> DataFrame:
@@ -131,17 +152,18 @@ def gap_pieces(demand: DataFrame, sets: DataFrame, key: str = "resume_id", piece
 
     The answer has résumés times vocabulary entries, whatever the plan. The
     vocabulary is cut into pieces of about ``piece_rows`` skills, so no row
-    holds more, and each piece is copied to ``PIECE_COPIES`` join keys, so its
-    résumés spread over as many tasks.
+    holds more, and each piece is copied to a join key for every ``COPY_ROWS``
+    résumés, so they spread over as many tasks.
     """
+    copies = F.greatest(F.lit(1), F.ceil(sets.agg(F.count("*")).scalar() / COPY_ROWS)).cast("int")
     pieces = F.greatest(F.lit(1), F.ceil(demand.agg(F.count("*")).scalar() / piece_rows)).cast("int")
     cut = (
         demand.withColumn("piece", F.pmod(F.xxhash64("skill"), pieces).cast("int"))
         .groupBy("piece")
         .agg(F.array_sort(F.collect_list(_by_demand("skill", "demand"))).alias("vocab"))
-        .withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(PIECE_COPIES - 1))))
+        .withColumn("copy", F.explode(F.sequence(F.lit(0), copies - 1)))
     )
-    asking = sets.withColumn("copy", F.pmod(F.xxhash64(key), F.lit(PIECE_COPIES)).cast("int")).withColumn(
+    asking = sets.withColumn("copy", F.pmod(F.xxhash64(key), copies).cast("int")).withColumn(
         "piece", F.explode(F.sequence(F.lit(0), pieces - 1))
     )
     return asking.join(cut, ["piece", "copy"]).select(
@@ -223,23 +245,23 @@ def demand_summaries(demand: DataFrame, sets: DataFrame, key: str = "resume_id")
     """:func:`demand_summary` for every résumé.
 
     Gaps are counted as the market less the known skills of the résumé, and
-    their extremes are its first gap in demand order and in the reverse order,
-    so no gap list is built.
+    their extremes are its first missing rank from either end of the demand
+    order, so no gap list is built.
     """
-    known = (
-        sets.select(key, F.explode("skills").alias("skill"))
-        .join(demand.select("skill"), "skill", "left_semi")
-        .groupBy(key)
-        .agg(F.count("*").alias("known"))
-    )
-    rising = demand.withColumn("demand", -F.col("demand"))
-    ends = _with_top(rising, _with_top(demand, sets, 1, "most"), 1, "least")
+    ranked = ranked_demand(demand)
     market = demand.agg(F.count("*")).scalar()
-    return ends.join(known, key, "left").select(
+    ends = held_ranks(ranked, sets, key).withColumn("market_skills", market)
+    reversed_ranks = F.transform("ranks", lambda r: F.col("market_skills") - 1 - r)
+    ends = ends.select(
         key,
-        market.alias("market_skills"),
+        "market_skills",
         F.size("skills").cast("bigint").alias("resume_skills"),
-        (market - F.coalesce("known", F.lit(0))).alias("gap_count"),
-        (-F.get("least", F.lit(0))["demand"]).alias("min_demand"),
-        F.get("most", F.lit(0))["demand"].alias("max_demand"),
+        (F.col("market_skills") - F.size("ranks")).alias("gap_count"),
+        F.get(_first_lacking(F.col("ranks"), 1), F.lit(0)).alias("most"),
+        (F.col("market_skills") - 1 - F.get(_first_lacking(reversed_ranks, 1), F.lit(0))).alias("least"),
+    )
+    highest = ranked.select(F.col("rank").alias("most"), F.col("demand").alias("max_demand"))
+    lowest = ranked.select(F.col("rank").alias("least"), F.col("demand").alias("min_demand"))
+    return ends.join(highest, "most", "left").join(lowest, "least", "left").select(
+        key, "market_skills", "resume_skills", "gap_count", "min_demand", "max_demand"
     )

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLES_PER_CHUNK = 16
+ROWS_PER_CHUNK = 100_000
 
 
 # A key is first placed among every 16th cut point, then among the 16 that follow it.
@@ -48,13 +49,16 @@ def cut_points(df: DataFrame, key: Column, chunks: int) -> Column:
     return sample.agg(cut_table(F.collect_list("k"))).scalar()
 
 
-def number_rows(df: DataFrame, *order: Column | str, name: str = "row_index", chunks: int = 256) -> DataFrame:
+def number_rows(df: DataFrame, *order: Column | str, name: str = "row_index", chunks: int | None = None) -> DataFrame:
     """Add the 0-based position of each row in the order of ``order`` (a unique key).
 
     Chunks are sorted in parallel; the start of a chunk is the row count of the
-    chunks before it. The only single-task window runs over the chunk counts, at
-    most ``chunks + 1`` rows, which is also the size of what is broadcast.
+    chunks before it. The rows are counted first, for chunks of about
+    ``ROWS_PER_CHUNK``. The only single-task window runs over the chunk counts, a
+    hundred-thousandth of the rows.
     """
+    if chunks is None:
+        chunks = max(1, -(-df.count() // ROWS_PER_CHUNK))
     parts = [(F.col(c) if isinstance(c, str) else c).alias(f"k{i}") for i, c in enumerate(order)]
     key = parts[0] if len(parts) == 1 else F.struct(*parts)
     placed = df.withColumns({"_key": key, "_cuts": cut_points(df, key, chunks)})
@@ -67,7 +71,7 @@ def number_rows(df: DataFrame, *order: Column | str, name: str = "row_index", ch
     )
     within = F.row_number().over(Window.partitionBy("_chunk").orderBy("_key"))
     return (
-        chunked.join(F.broadcast(starts), "_chunk")
+        chunked.join(starts, "_chunk")
         .withColumn(name, F.col("_start") + within - 1)
         .drop("_key", "_chunk", "_start")
     )

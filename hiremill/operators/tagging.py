@@ -11,8 +11,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hiremill.functions.labels import RESUME_CHARS
 from hiremill.functions.skills import SEPARATOR, parse_skills
-from hiremill.functions.text import or_empty, sanitize, strip
+from hiremill.functions.text import normalize_newlines, or_empty, sanitize, strip
 from hiremill.operators.ordering import number_rows
 from hiremill.session import materialize
 
@@ -61,12 +62,12 @@ def untagged_jobs(jobs: DataFrame, trim_blank: bool = False) -> DataFrame:
 
 
 def tag_batches(untagged: DataFrame, batch_rows: int = BATCH_ROWS) -> DataFrame:
-    """``(batch_id, position, source_id, text)``: consecutive jobs in key order, texts cut for the prompt.
+    """``(batch_id, position, source_id, text)``: consecutive jobs in key order, texts as they are.
 
     A NULL description goes in as ``''``.
     """
-    cut = untagged.select("source_id", F.substring(or_empty("description"), 1, PROMPT_CHARS).alias("text"))
-    return number_rows(cut, "source_id").select(
+    texts = untagged.select("source_id", or_empty("description").alias("text"))
+    return number_rows(texts, "source_id").select(
         F.floor(F.col("row_index") / batch_rows).alias("batch_id"),
         (F.col("row_index") % batch_rows).alias("position"),
         "source_id",
@@ -83,10 +84,14 @@ def _json_object(names: pd.Series, values: pd.Series) -> pd.Series:
     return pd.Series([json.dumps(dict(zip(n, v))) for n, v in zip(names, values)])
 
 
-def tag_prompts(batches: DataFrame) -> DataFrame:
-    """``(batch_id, prompt)``; the prompt ends with an id to text JSON object in position order."""
+def tag_prompts(batches: DataFrame, chars: int = PROMPT_CHARS) -> DataFrame:
+    """``(batch_id, prompt)``; the prompt ends with an id to text JSON object in position order.
+
+    A model is shown the first ``chars`` characters of each text.
+    """
+    shown = F.substring("text", 1, chars).alias("text")
     grouped = batches.groupBy("batch_id").agg(
-        F.array_sort(F.collect_list(F.struct("position", "source_id", "text"))).alias("jobs")
+        F.array_sort(F.collect_list(F.struct("position", "source_id", shown))).alias("jobs")
     )
     body = _json_object(F.col("jobs.source_id"), F.col("jobs.text"))
     return grouped.select("batch_id", F.concat(F.lit(TAG_PROMPT), body).alias("prompt"))
@@ -144,11 +149,6 @@ def answered_tags(log: DataFrame) -> DataFrame:
     )
 
 
-def tags_of_own_batch(tags: DataFrame, batches: DataFrame) -> DataFrame:
-    """Answers about a job of the batch that was asked; an answer about any other job is dropped."""
-    return tags.join(batches.select("batch_id", "source_id"), ["batch_id", "source_id"], "left_semi")
-
-
 def apply_tags(jobs: DataFrame, tags: DataFrame) -> DataFrame:
     """Jobs with new tags; of several answers for a key the last one holds, unknown keys change nothing."""
     last = tags.groupBy("source_id").agg(
@@ -176,12 +176,14 @@ def set_tags(jobs: DataFrame, source_id: str, tech_stack: str | None) -> DataFra
 def tag_jobs(jobs: DataFrame, model: Model, wait: float = 0.0) -> tuple[DataFrame, DataFrame]:
     """The whole tagging run: ``(jobs with tags, batch log)``.
 
+    An answer may name a job of another batch; it tags that job.
+
     Batches are numbered before any call and the log is a written table, so a
     lost executor repeats at most its own unfinished calls.
     """
     batches = materialize(tag_batches(untagged_jobs(jobs)), "tag-batches")
     log = materialize(ask_model(tag_prompts(batches), model, is_tag_answer, "batch_id", wait), "tag-log")
-    return apply_tags(jobs, tags_of_own_batch(answered_tags(log), batches)), log
+    return apply_tags(jobs, answered_tags(log)), log
 
 
 def usage_totals(log: DataFrame) -> DataFrame:
@@ -199,9 +201,15 @@ def extraction_prompt(text: Column | str, name_key: bool = False) -> Column:
     return F.concat(F.lit(head + "        <resume>\n        "), c, F.lit("\n        </resume>\n        "))
 
 
-def extract_resume_skills(resumes: DataFrame, model: Model, wait: float = 0.0, key: str = "resume_id") -> DataFrame:
-    """``(key, technical_skills, total_tokens, error)``; a failed extraction reads as no skills."""
-    prompts = resumes.select(key, extraction_prompt(sanitize("text")).alias("prompt"))
+def extract_resume_skills(
+    resumes: DataFrame, model: Model, wait: float = 0.0, key: str = "resume_id", chars: int = RESUME_CHARS
+) -> DataFrame:
+    """``(key, technical_skills, total_tokens, error)``; a failed extraction reads as no skills.
+
+    The model is shown the first ``chars`` characters of a résumé.
+    """
+    shown = F.substring(normalize_newlines("text"), 1, chars)
+    prompts = resumes.select(key, extraction_prompt(sanitize(shown)).alias("prompt"))
     log = materialize(ask_model(prompts, model, is_extraction, key, wait), "extractions")
     listed = F.from_json("answer", "technical_skills array<string>")["technical_skills"]
     return log.select(

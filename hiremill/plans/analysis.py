@@ -8,11 +8,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hiremill.functions.text import sanitize, strip
+from hiremill.functions.text import normalize_newlines, sanitize, strip
 from hiremill.operators import gaps, tagging
 from hiremill.operators.routing import answer_prompts, route_messages
 from hiremill.session import materialize
-from hiremill.sources.files import clip_resume
 
 
 def find_skill_gaps(
@@ -44,7 +43,7 @@ def reply_to_messages(
 ) -> DataFrame:
     """Routed messages with the reply of each route, the skill-gap text included."""
     routed = materialize(answer_prompts(route_messages(messages), reply_to), "routed")
-    asking = routed.filter(F.col("route") == "skill_gap").select(key, clip_resume(strip("pdf_text")).alias("text"))
+    asking = routed.filter(F.col("route") == "skill_gap").select(key, normalize_newlines(strip("pdf_text")).alias("text"))
     reports = gaps.report_text(find_skill_gaps(asking, jobs, key=key), key)
     return (
         routed.join(reports.withColumnRenamed("reply", "gap_reply"), key, "left")

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from hiremill.functions.text import content_hash
 from hiremill.schemas import CONTENT_FIELDS
-from hiremill.sources.files import spread_small
 
 # The five kinds of event, in the order prior records take them.
 EVENT_TYPES = ["view", "click", "purchase", "signup", "error"]
@@ -60,8 +59,8 @@ def events_to_records(events: DataFrame) -> DataFrame:
         F.lpad(F.col("event_id").cast("string"), 12, "0").alias("doc_key"),
         F.col("user_id").cast("string").alias("source_id"),
         F.col("event_type").alias("job_title"),
-        F.lit("acme").alias("company"),
-        F.lit("fixed text").alias("description"),
+        F.concat(F.lit("acme "), F.col("user_id") % 7).alias("company"),
+        F.concat(F.lit("text of "), "event_type").alias("description"),
     )
 
 
@@ -72,8 +71,8 @@ def prior_jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "supplier").select(
         key.cast("string").alias("source_id"),
         title.alias("job_title"),
-        F.lit("acme").alias("company"),
-        F.lit("fixed text").alias("description"),
+        F.concat(F.lit("acme "), key % 7).alias("company"),
+        F.concat(F.lit("text of "), title).alias("description"),
         F.lit("python, sql").alias("tech_stack"),
         F.lit("HIGH").alias("quality"),
     )
@@ -91,7 +90,7 @@ def _escaped(c: str) -> Column:
 
 def html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Job pages built from ``documents``; some lack the company element."""
-    docs = spread_small(table(spark, sf_dir, "documents")).withColumn("title", first_line("text"))
+    docs = table(spark, sf_dir, "documents").withColumn("title", first_line("text"))
     company = F.when(F.col("doc_id") % 19 == 0, "").otherwise(
         F.concat(F.lit('<span data-automation="advertiser-name">'), _escaped("source"), F.lit("</span>"))
     )
@@ -123,25 +122,29 @@ def mhtml_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def native_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread_small(table(spark, sf_dir, "pages")).select(F.col("page_id").cast("string").alias("doc_key"), "html")
+    return table(spark, sf_dir, "pages").select(F.col("page_id").cast("string").alias("doc_key"), "html")
 
 
 def resumes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One résumé per user turn: a line of skills taken from a part, then the turn's text.
 
-    No group of turns is gathered into one text, so a long conversation is no hot spot.
+    No group of turns is gathered into one text, so a long conversation is no hot
+    spot, and the parts are taken from the whole table in turn.
     """
     turns = table(spark, sf_dir, "conversations").filter(F.col("role") == "user")
-    parts = table(spark, sf_dir, "part").select(
+    part = table(spark, sf_dir, "part")
+    count = part.agg(F.count("*")).scalar()
+    parts = part.select(
         F.col("p_partkey").alias("k"),
         F.concat("p_name", F.lit(", "), "p_type", F.lit("/"), "p_brand", F.lit("\n")).alias("line"),
     )
-    looked_up = turns.withColumn("k", (F.col("conv_id") * 7 + F.col("turn")) % 200).join(parts, "k", "left")
+    looked_up = turns.withColumn("k", (F.col("conv_id") * 7 + F.col("turn")) % count + 1).join(parts, "k", "left")
     return looked_up.select(
         "conv_id",
         "turn",
         F.concat_ws("-", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("resume_id"),
         F.concat(F.coalesce("line", F.lit("")), F.coalesce("text", F.lit(""))).alias("text"),
+        F.col("text").alias("said"),
     )
 
 
@@ -166,9 +169,7 @@ def _attached(cv: str) -> Column:
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chat messages from user turns, with the résumé of the same turn."""
-    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.col("text").alias("said"))
-    cvs = resumes(spark, sf_dir)
-    return turns.join(cvs, ["conv_id", "turn"]).select(
+    return resumes(spark, sf_dir).select(
         F.col("resume_id").alias("message_id"), _said().alias("message"), _attached("text").alias("pdf_text")
     )
 

@@ -23,9 +23,10 @@ from hiremill.sources.snapshots import next_version, read_log, read_snapshot, wr
 STAGES = ("ingest", "process", "load", "profile")
 
 
-def ingest(spark: SparkSession, source: str, root: str) -> DataFrame:
-    """Archives to bronze; returns the summary row."""
-    decode.decode_mhtml(scan_mhtml(spark, source)).write.mode("overwrite").parquet(f"{root}/bronze")
+def ingest(spark: SparkSession, source: str | DataFrame, root: str) -> DataFrame:
+    """Archives, a folder of them or ``(doc_key, content)``, to bronze; returns the summary row."""
+    archives = scan_mhtml(spark, source) if isinstance(source, str) else source
+    decode.decode_mhtml(archives).write.mode("overwrite").parquet(f"{root}/bronze")
     return decode.bronze_summary(spark.read.schema(BRONZE).parquet(f"{root}/bronze"))
 
 
@@ -94,12 +95,12 @@ def profile(spark: SparkSession, root: str) -> DataFrame:
     return quality.quality_report(parts[0].unionByName(parts[1]))
 
 
-def run_stage(spark: SparkSession, stage: str, root: str, source: str | None = None) -> dict[str, DataFrame]:
+def run_stage(spark: SparkSession, stage: str, root: str, source: str | DataFrame | None = None) -> dict[str, DataFrame]:
     """Run one stage, or ``all`` in order; returns the summary of each stage that ran."""
     if stage not in (*STAGES, "all"):
         raise ValueError(f"unknown stage {stage!r}; choose one of {', '.join(STAGES)} or all")
     wanted = STAGES if stage == "all" else (stage,)
-    if "ingest" in wanted and not source:
+    if "ingest" in wanted and source is None:
         raise ValueError("the ingest stage needs a source folder")
     steps = {
         "ingest": lambda: ingest(spark, source, root),

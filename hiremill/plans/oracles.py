@@ -65,13 +65,22 @@ def unescaped(x: str) -> str:
     return x
 
 
+def inner_text(tag: str) -> str:
+    """Text of the first ``tag``: its text nodes, stripped, with a space between; NULL without one."""
+    body = f"regexp_extract(html, '(?s)<{tag}>(.*?)(</{tag}>|$)', 1)"
+    shown = f"regexp_replace({body}, '(?s)<(script|style)[^>]*>.*?</(script|style)>', '<i>', 'g')"
+    nodes = f"string_split_regex({shown}, '(?s)<!--.*?-->|</?[a-zA-Z][^>]*>')"
+    texts = f"list_filter(list_transform({nodes}, lambda n: {strip(unescaped('n'))}), lambda n: n <> '')"
+    return f"CASE WHEN contains(html, '<{tag}>') THEN array_to_string({texts}, ' ') END"
+
+
 LABEL = """CASE WHEN coalesce(job_title, '') = '' OR coalesce(company, '') = '' OR coalesce(description, '') = ''
     OR length(description) < 100 OR regexp_matches(description, '[!#@$%^&*]{4,}') THEN 'LOW' ELSE 'HIGH' END"""
 FIRST_LINE = f"split_part(text, {NL}, 1)"
 SIX = "source_id, job_title, company, description, tech_stack, content_hash"
 ARRIVED = (
     "SELECT lpad(CAST(event_id AS VARCHAR), 12, '0') AS doc_key, CAST(user_id AS VARCHAR) AS source_id, "
-    "event_type AS job_title, 'acme' AS company, 'fixed text' AS description FROM events"
+    "event_type AS job_title, 'acme ' || user_id % 7 AS company, 'text of ' || event_type AS description FROM events"
 )
 
 TAG_PROMPT_TEXT = TAG_PROMPT.rstrip("\n")
@@ -95,8 +104,9 @@ VIEWS = {
             THEN {sha('job_title', 'company', 'description')} END AS content_hash
         FROM (SELECT CAST(s_suppkey AS VARCHAR) AS source_id,
             list_extract(['view', 'click', 'purchase', 'signup', 'error'], CAST(s_suppkey % 5 + 1 AS INT)) AS job_title,
-            'acme' AS company, 'fixed text' AS description, 'python, sql' AS tech_stack, 'HIGH' AS quality
-            FROM supplier)""",
+            'acme ' || s_suppkey % 7 AS company,
+            'text of ' || list_extract(['view', 'click', 'purchase', 'signup', 'error'], CAST(s_suppkey % 5 + 1 AS INT)) AS description,
+            'python, sql' AS tech_stack, 'HIGH' AS quality FROM supplier)""",
     "nothing": "SELECT * FROM prior WHERE false",
     "first_states": """SELECT doc_key, source_id, content_hash,
             lag(content_hash) OVER w AS before, row_number() OVER w AS n
@@ -121,9 +131,12 @@ VIEWS = {
         {strip(newlines('text'))} AS description FROM page_sources""",
     "rejects": """SELECT *, CASE WHEN source_id = '' THEN 'source_id' WHEN job_title = '' THEN 'job_title'
         WHEN company = '' THEN 'company' WHEN description = '' THEN 'description' END AS bad_field FROM listings""",
+    "profiled": f"""SELECT source_id, job_title, company, description, CAST(NULL AS VARCHAR) AS tech_stack,
+        {sha('job_title', 'company', 'description')} AS content_hash, {LABEL} AS quality
+        FROM rejects WHERE bad_field IS NULL AND CAST(doc_key AS BIGINT) % 23 <> 0""",
     "resumes": """SELECT conv_id, turn, CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS resume_id,
         coalesce(p_name || ', ' || p_type || '/' || p_brand || chr(10), '') || coalesce(text, '') AS text
-        FROM conversations LEFT JOIN part ON p_partkey = (conv_id * 7 + turn) % 200 WHERE role = 'user'""",
+        FROM conversations LEFT JOIN part ON p_partkey = (conv_id * 7 + turn) % (SELECT count(*) FROM part) + 1 WHERE role = 'user'""",
     "messages": """SELECT c.conv_id, r.resume_id AS message_id,
         CASE c.conv_id % 7 WHEN 1 THEN '' WHEN 2 THEN 'Start Analysis please' WHEN 3 THEN 'analyze'
              WHEN 4 THEN 'about my skill gap' ELSE coalesce(c.text, '') END AS message,
@@ -138,7 +151,7 @@ VIEWS = {
         FROM conversations WHERE role = 'user'""",
     "job_skills": skill_rows("postings", "source_id", "tech_stack"),
     "demand": "SELECT skill, count(*) AS demand FROM job_skills GROUP BY skill",
-    "cvs": f"SELECT resume_id, {sanitized('t')} AS text FROM (SELECT resume_id, substr({newlines('text')}, 1, 3000) AS t FROM resumes)",
+    "cvs": f"SELECT resume_id, {sanitized('t')} AS text FROM (SELECT resume_id, {newlines('text')} AS t FROM resumes)",
     "cv_lines": f"SELECT resume_id, unnest(string_split(text, {NL})) AS line FROM cvs",
     "cv_all": skill_rows("cv_lines", "resume_id", "line"),
     "possessed": "SELECT * FROM cv_all WHERE skill IN (SELECT skill FROM demand)",
@@ -157,12 +170,15 @@ VIEWS = {
         AND company NOT IN (SELECT company FROM company_rank WHERE n <= 8)""",
     "batches": f"""SELECT (n - 1) // 5 AS batch_id, (n - 1) % 5 AS position, source_id, description FROM
         (SELECT *, row_number() OVER (ORDER BY source_id) AS n FROM postings WHERE tech_stack IS NULL OR tech_stack = '')""",
-    "prompts": f"""SELECT batch_id, '{TAG_PROMPT_TEXT}' || {NL} || '{{' || string_agg('"' || source_id || '": "' || description || '"', ', '
+    "prompts": f"""SELECT batch_id, '{TAG_PROMPT_TEXT}' || {NL} || '{{' || string_agg('"' || source_id || '": "' || substr(description, 1, 1000) || '"', ', '
         ORDER BY position) || '}}' AS prompt FROM batches GROUP BY batch_id""",
-    "json_rows": """SELECT *, CAST(source_id AS BIGINT) AS k,
-        CASE WHEN CAST(source_id AS BIGINT) % 17 = 0 THEN 'not a JSON object'
-             WHEN company IS NULL THEN 'missing company' END AS load_error,
-        lpad(source_id, 12, '0') AS doc_key FROM postings""",
+    "json_keyed": "SELECT *, CAST(source_id AS BIGINT) AS k FROM postings",
+    "json_rows": """SELECT *,
+        CASE WHEN k % 17 = 0 THEN 'not a JSON object' WHEN k % 19 = 0 AND company IS NULL THEN 'missing company' WHEN k % 19 = 0 THEN NULL
+             WHEN k % 23 = 0 OR k % 29 = 1 OR (k % 31 = 1 AND job_title IS NOT NULL) THEN 'not a JSON object'
+             WHEN company IS NULL THEN 'missing company'
+             WHEN k % 31 <> 1 AND (k % 47 = 0 OR k % 53 = 0) THEN 'nested description' END AS load_error,
+        lpad(source_id, 12, '0') AS doc_key FROM json_keyed""",
 }
 
 _NAMES = list(VIEWS)
@@ -236,6 +252,8 @@ _BODIES = {
     "page_titles": f"""SELECT CAST(page_id AS VARCHAR) AS doc_key,
         {strip(unescaped("regexp_extract(html, '<title>(.*?)</title>', 1)"))} AS title
         FROM pages""",
+    "page_fields": f"""SELECT CAST(page_id AS VARCHAR) AS doc_key, {inner_text('title')} AS title, {inner_text('h1')} AS h1,
+        {inner_text('article')} AS article FROM pages""",
     "source_id_from_url": "SELECT page_id, regexp_extract(rtrim(url, '/'), '[^/]*$') AS source_id FROM pages",
     "silver_valid": "SELECT * EXCLUDE (bad_field) FROM rejects WHERE bad_field IS NULL",
     "silver_rejects": "SELECT doc_key, bad_field FROM rejects WHERE bad_field IS NOT NULL",
@@ -244,10 +262,10 @@ _BODIES = {
         count(*) FILTER (bad_field = 'job_title') AS missing_job_title,
         count(*) FILTER (bad_field = 'company') AS missing_company,
         count(*) FILTER (bad_field = 'description') AS missing_description FROM rejects""",
-    "json_records": """SELECT doc_key, CASE WHEN k % 17 = 0 THEN NULL ELSE source_id END AS source_id,
-        CASE WHEN k % 17 = 0 OR k % 19 = 0 THEN NULL ELSE job_title END AS job_title,
-        CASE WHEN k % 17 = 0 THEN NULL ELSE company END AS company,
-        CASE WHEN k % 17 = 0 THEN NULL ELSE description END AS description, load_error FROM json_rows""",
+    "json_records": """SELECT doc_key, CASE WHEN load_error IS NULL THEN source_id END AS source_id,
+        CASE WHEN load_error IS NULL AND k % 19 <> 0 THEN job_title END AS job_title,
+        CASE WHEN load_error IS NULL THEN company END AS company,
+        CASE WHEN load_error IS NULL THEN description END AS description, load_error FROM json_rows""",
     "json_load_summary": """SELECT count(*) AS total, count(*) FILTER (load_error IS NULL) AS inserted,
         CAST(0 AS BIGINT) AS updated, count(load_error) AS skipped FROM json_rows""",
     "parse_skills": "SELECT * FROM job_skills",
@@ -261,7 +279,7 @@ _BODIES = {
     "clip_resume": f"SELECT doc_id, substr({newlines('text')}, 1, 3000) AS clipped FROM documents",
     "injection_flag": f"SELECT message_id, {flagged('pdf_text')} AS flagged FROM messages",
     "sanitize_resume": f"""SELECT message_id, {sanitized('t')} AS sanitized
-        FROM (SELECT message_id, substr({newlines('pdf_text')}, 1, 3000) AS t FROM messages)""",
+        FROM (SELECT message_id, {newlines('pdf_text')} AS t FROM messages)""",
     "drop_instruction_lines": f"SELECT message_id, {KEPT_LINES} AS kept FROM messages",
     "upsert_first_load": "SELECT * FROM first_actions",
     "upsert_actions": "SELECT * FROM actions",
@@ -352,13 +370,30 @@ _BODIES = {
         WHERE tech_stack IS NULL OR trim(tech_stack) = ''""",
     "untagged_jobs_run": "SELECT source_id, description FROM postings WHERE tech_stack IS NULL OR tech_stack = ''",
     "tag_batches": """SELECT (n - 1) // 5 AS batch_id, (n - 1) % 5 AS position, source_id,
-        substr(coalesce(description, ''), 1, 1000) AS text
+        coalesce(description, '') AS text
         FROM (SELECT *, row_number() OVER (ORDER BY source_id) AS n FROM raw_jobs)""",
     "tag_run": """SELECT source_id, CASE WHEN b.batch_id IS NULL THEN tech_stack
             ELSE split_part(b.description, ' ', 1) || ', ' || split_part(b.description, ' ', 2) END AS tech_stack
         FROM postings LEFT JOIN batches b USING (source_id)""",
     "tag_prompts": "SELECT batch_id, prompt FROM prompts",
     "tag_log": f"SELECT batch_id, CAST(1 AS BIGINT) AS attempts, {words4('prompt')} AS tokens, true AS ok FROM prompts",
+    "tag_failures": f"""SELECT batch_id, CASE WHEN low % 3 = 2 OR (low % 3 = 1 AND low % 2 = 1) THEN 1 ELSE 3 END::BIGINT AS attempts,
+        CASE WHEN low % 3 = 0 THEN 0 WHEN low % 3 = 1 AND low % 2 = 0 THEN 21 ELSE 11 END::BIGINT AS tokens,
+        low % 3 = 2 OR (low % 3 = 1 AND low % 2 = 1) AS ok
+        FROM (SELECT batch_id, min(source_id::BIGINT) AS low FROM batches GROUP BY batch_id)""",
+    "tag_failures_run": """WITH asked AS (SELECT *, min(source_id::BIGINT) OVER (PARTITION BY batch_id) AS low FROM batches),
+        fine AS (SELECT source_id FROM asked WHERE low % 3 = 2 OR (low % 3 = 1 AND low % 2 = 1))
+        SELECT p.source_id, CASE WHEN p.source_id = '1' AND (SELECT count(*) FROM fine) > 0 THEN 'from elsewhere'
+            WHEN p.source_id IN (SELECT source_id FROM fine) THEN 'seen' ELSE p.tech_stack END AS tech_stack FROM postings p""",
+    "resume_extraction": f"""SELECT resume_id, CASE WHEN length(t) % 2 = 1 THEN '' ELSE replace(split_part(t, {NL}, 1), ', ', '|') END AS skills,
+        CASE WHEN length(t) % 2 = 1 THEN 0 ELSE 5 END::BIGINT AS total_tokens, length(t) % 2 = 1 AS failed
+        FROM (SELECT resume_id, {sanitized(f"substr({newlines('text')}, 1, 3000)")} AS t FROM resumes)""",
+    "document_skills": f"""SELECT * FROM ({skill_rows(f"(SELECT resume_id, unnest(string_split(text, {NL})) AS line FROM "
+        f"(SELECT CAST(doc_id AS VARCHAR) AS resume_id, text || {NL} || p_name || ', ' || p_type AS text "
+        f"FROM documents JOIN part ON p_partkey - 1 = doc_id))", "resume_id", "line")}) WHERE skill IN (SELECT skill FROM demand)""",
+    "pipeline_jobs": "SELECT * FROM profiled WHERE quality = 'HIGH'",
+    "pipeline_quarantine": "SELECT * FROM profiled WHERE quality = 'LOW'",
+    "pipeline_rejects": "SELECT doc_key, bad_field FROM rejects WHERE bad_field IS NOT NULL AND CAST(doc_key AS BIGINT) % 23 <> 0",
     "tag_usage": f"""SELECT CAST(coalesce(sum({words4('prompt')}), 0) AS BIGINT) AS total_tokens, count(*) AS attempts,
         CAST(0 AS BIGINT) AS failed_batches FROM prompts""",
     "model_replies": f"""SELECT conv_id, turn, CASE WHEN turn % 2 = 0 THEN 'gemini' ELSE 'ollama' END AS provider,

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from hiremill.functions import labels, skills, text
 from hiremill.operators import dashboard, decode, gaps, quality, routing, runs, silver, tagging, upsert
-from hiremill.plans import fixtures
+from hiremill.plans import fixtures, medallion
 from hiremill.schemas import JOBS, RATE_LIMITS, conform
 from hiremill.session import materialize, scratch_path
 from hiremill.sources import files, scripts
@@ -117,7 +117,16 @@ def _json_texts(spark, sf):
         F.lit('{"job_title": null, '),
         F.expr("substring(to_json(named_struct('source_id', source_id, 'company', company, 'description', description)), 2)"),
     )
-    value = F.when(key % 17 == 0, F.substring_index(body, "}", 1)).when(key % 19 == 0, null_title).otherwise(body)
+    value = (
+        F.when(key % 17 == 0, F.substring_index(body, "}", 1))
+        .when(key % 19 == 0, null_title)
+        .when(key % 23 == 0, F.concat(body, F.lit(" trailing")))
+        .when(key % 29 == 1, F.concat(body, body))
+        .when(key % 31 == 1, F.replace(body, F.lit('"job_title":"'), F.lit('"job_title":"\t')))
+        .when(key % 47 == 0, F.concat(F.lit('{"description": {"a": 1}, '), F.expr("substring(to_json(struct(source_id, job_title, company)), 2)")))
+        .when(key % 53 == 0, F.concat(F.lit('{"description": [1, 2], '), F.expr("substring(to_json(struct(source_id, job_title, company)), 2)")))
+        .otherwise(body)
+    )
     return p.select(F.lpad("source_id", 12, "0").alias("doc_key"), value.alias("value"))
 
 
@@ -183,7 +192,7 @@ def injection_flag(spark, sf):
 @query
 def sanitize_resume(spark, sf):
     m = fixtures.messages(spark, sf)
-    return m.select("message_id", text.sanitize(files.clip_resume("pdf_text")).alias("sanitized"))
+    return m.select("message_id", text.sanitize(text.normalize_newlines("pdf_text")).alias("sanitized"))
 
 
 @query
@@ -372,6 +381,33 @@ def other_companies_total(spark, sf):
     return quality.row_count(dashboard.other_companies(fixtures.postings(spark, sf)))
 
 
+# --- the batch stages, end to end ----------------------------------------------------
+
+
+def _stages(spark, sf):
+    root = scratch_path(spark, "stages")
+    medallion.run_stage(spark, "all", root, fixtures.mhtml_pages(spark, sf))
+    return root
+
+
+@query
+def pipeline_jobs(spark, sf):
+    """Pages through bronze, silver, load and profile: what is fit for use."""
+    return read_snapshot(spark, f"{_stages(spark, sf)}/jobs", JOBS)
+
+
+@query
+def pipeline_quarantine(spark, sf):
+    """The same run: what profile moved away."""
+    return read_snapshot(spark, f"{_stages(spark, sf)}/jobs_quarantine", JOBS)
+
+
+@query
+def pipeline_rejects(spark, sf):
+    """The same run: pages that lack a field."""
+    return medallion.rejected_records(spark, _stages(spark, sf))
+
+
 # --- skills and gaps -----------------------------------------------------------------
 
 
@@ -398,7 +434,7 @@ def tagged_stacks_not_null(spark, sf):
 def _market(spark, sf):
     """Demand (a written table, since it is read several times), résumés and the skills each résumé lists."""
     demand = materialize(gaps.skill_demand(fixtures.postings(spark, sf)), "demand")
-    cvs = fixtures.resumes(spark, sf).select("resume_id", text.sanitize(files.clip_resume("text")).alias("text"))
+    cvs = fixtures.resumes(spark, sf).select("resume_id", text.sanitize(text.normalize_newlines("text")).alias("text"))
     return demand, cvs, gaps.line_skills(cvs, demand)
 
 
@@ -469,8 +505,10 @@ def compare_runs(spark, sf):
 
     def run(body):
         cvs = attached.select("resume_id", body.alias("text"))
-        sets = gaps.skill_sets(cvs, gaps.line_skills(cvs, demand))
-        return gaps.gap_reports(demand, sets, cvs.select("resume_id", text.token_estimate("text").alias("total_tokens")))
+        # Of one market two gap lists are the same exactly when the skills held are: no list of gaps is made.
+        held = gaps.skill_sets(cvs, gaps.line_skills(cvs, demand)).select("resume_id", F.array_sort("skills").alias("gaps"))
+        tokens = cvs.select("resume_id", text.token_estimate("text").alias("total_tokens"), F.lit(None).cast("double").alias("time_ms"))
+        return held.join(tokens, "resume_id")
 
     compared = runs.compare_runs(run(text.sanitize("pdf_text")), run(text.drop_instruction_lines("pdf_text")))
     return compared.select("resume_id", "gaps_identical", F.floor("token_saving_pct").alias("token_saving_pct"))
@@ -525,6 +563,59 @@ def tag_log(spark, sf):
     return log.select("batch_id", "attempts", "tokens", F.col("error").isNull().alias("ok"))
 
 
+def failing_model(prompt: str) -> tuple[str, int | None]:
+    """A model that is down for some batches, answers others in a wrong form, and names a job of another batch."""
+    jobs = json.loads(prompt.split("\n", 1)[1])
+    first = min(map(int, jobs))
+    if first % 3 == 0:
+        raise TimeoutError("no answer")
+    if first % 3 == 1 and first % 2 == 0:
+        return json.dumps(["not", "an", "object"]), 7
+    return json.dumps({"1": "from elsewhere"} | {job: "seen" for job in jobs}), 11
+
+
+@query
+def tag_failures(spark, sf):
+    """Attempts and tokens of batches whose calls fail, answer in a wrong form, or succeed."""
+    _, log = tagging.tag_jobs(fixtures.postings(spark, sf), failing_model)
+    return log.select("batch_id", "attempts", "tokens", F.col("error").isNull().alias("ok"))
+
+
+@query
+def tag_failures_run(spark, sf):
+    """Tags after such a run: lost batches stay untagged, an answer about a job of another batch holds."""
+    jobs, _ = tagging.tag_jobs(fixtures.postings(spark, sf), failing_model)
+    return jobs.select("source_id", "tech_stack")
+
+
+def shaky_extractor(prompt: str) -> tuple[str, int | None]:
+    """Takes the first line of a résumé for its skills; fails on résumés of odd length."""
+    body = prompt.split("<resume>\n        ", 1)[1].rsplit("\n        </resume>", 1)[0]
+    if len(body) % 2:
+        raise ConnectionError("lost")
+    return json.dumps({"technical_skills": body.split("\n", 1)[0].split(", ")}), 5
+
+
+@query
+def resume_extraction(spark, sf):
+    """Skills that a model extracts; a résumé whose calls all fail has none."""
+    found = tagging.extract_resume_skills(fixtures.resumes(spark, sf), shaky_extractor)
+    return found.select(
+        "resume_id", F.array_join("technical_skills", "|").alias("skills"), "total_tokens", F.col("error").isNotNull().alias("failed")
+    )
+
+
+@query
+def document_skills(spark, sf):
+    """Market skills that the lines of whole documents list, however long the document."""
+    demand = gaps.skill_demand(fixtures.postings(spark, sf))
+    part = fixtures.table(spark, sf, "part")
+    line = part.select((F.col("p_partkey") - 1).alias("doc_id"), F.concat("p_name", F.lit(", "), "p_type").alias("line"))
+    docs = fixtures.table(spark, sf, "documents").select("doc_id", "text").join(line, "doc_id")
+    texts = docs.select(F.col("doc_id").cast("string").alias("resume_id"), F.concat_ws("\n", "text", "line").alias("text"))
+    return gaps.line_skills(texts, demand)
+
+
 @query
 def tag_usage(spark, sf):
     _, log = tagging.tag_jobs(fixtures.postings(spark, sf), first_words_model)

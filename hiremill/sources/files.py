@@ -15,16 +15,6 @@ def file_stem(path: Column) -> Column:
     return F.regexp_replace(F.url_decode(F.replace(F.substring_index(path, "/", -1), F.lit("+"), F.lit("%2B"))), r"\.[^.]*$", "")
 
 
-def spread_small(df: DataFrame) -> DataFrame:
-    """Redistribute a table of fewer files than cores ahead of work in Python.
-
-    A file may be one row group, which is one task. Larger tables have tasks
-    enough and are returned as they are, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
-
-
 def _binary(spark: SparkSession, folder: str, pattern: str) -> DataFrame:
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
     return files.select(file_stem(F.col("path")).alias("doc_key"), "content")
@@ -54,16 +44,29 @@ def scan_html(spark: SparkSession, folder: str) -> DataFrame:
 def parse_records(df: DataFrame, text: str = "value") -> DataFrame:
     """JSON text to listing columns plus ``load_error``.
 
-    A record fails when the text is no JSON object or lacks one of the four
-    keys; a key whose value is JSON null is present and reads NULL.
+    A record fails when the text as a whole is no JSON object (also with text
+    behind it or a raw control character in a string), lacks one of the four keys,
+    or has an object or array as the value of one. A key whose value is JSON null
+    is present and reads NULL. All four fields of a failed record are NULL.
     """
     schema = ", ".join(f"{name} string" for name in LISTING_FIELDS)
-    body = F.from_json(text, schema, {"allowSingleQuotes": "false"})
+    strict = {"allowSingleQuotes": "false"}
+    body = F.from_json(text, schema, strict)
     keys = F.json_object_keys(text)
+    # The parser stops behind a value; as the only item of a list and of an object the whole text must be one.
+    as_item = F.from_json(F.concat(F.lit("["), text, F.lit("]")), "array<map<string,string>>", strict)
+    as_value = F.from_json(F.concat(F.lit('{"item":'), text, F.lit("}")), "item map<string,string>", strict)
+    whole = (F.size(as_item) == 1) & as_value["item"].isNotNull() & keys.isNotNull()
     missing = [F.when(~F.array_contains(keys, name), F.lit(f"missing {name}")) for name in LISTING_FIELDS]
-    error = F.when(keys.isNull(), "not a JSON object").otherwise(F.coalesce(*missing))
+    variant = F.try_parse_json(text)
+    nested = [
+        F.when(F.schema_of_variant(F.variant_get(variant, f"$.{name}", "variant")).rlike("^(OBJECT|ARRAY)"), F.lit(f"nested {name}"))
+        for name in LISTING_FIELDS
+    ]
+    error = F.when(~F.coalesce(whole, F.lit(False)), "not a JSON object").otherwise(F.coalesce(*missing, *nested))
+    fields = [F.when(F.col("load_error").isNull(), F.col(f"_body.{name}")).alias(name) for name in LISTING_FIELDS]
     return df.withColumn("_body", body).withColumn("load_error", error).select(
-        *[c for c in df.columns if c != text], *[f"_body.{name}" for name in LISTING_FIELDS], "load_error"
+        *[c for c in df.columns if c != text], *fields, "load_error"
     )
 
 
@@ -74,16 +77,16 @@ def scan_records(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def scan_resumes(spark: SparkSession, folder: str, pattern: str = "*.txt") -> DataFrame:
-    """``(resume_id, text)``: each résumé file, cut to the first 3000 characters the analysis uses."""
+    """``(resume_id, text)``: each résumé file as a whole, line ends normalised."""
     files = spark.read.option("pathGlobFilter", pattern).text(folder, wholetext=True)
     return files.select(
-        file_stem(F.col("_metadata.file_path")).alias("resume_id"), clip_resume("value").alias("text")
+        file_stem(F.col("_metadata.file_path")).alias("resume_id"), normalize_newlines("value").alias("text")
     )
 
 
-def clip_resume(c: Column | str) -> Column:
-    """Line ends normalised, then the first 3000 code points."""
-    return F.substring(normalize_newlines(c), 1, RESUME_CHARS)
+def clip_resume(c: Column | str, chars: int = RESUME_CHARS) -> Column:
+    """Line ends normalised, then the first ``chars`` code points: what a model is shown of a résumé."""
+    return F.substring(normalize_newlines(c), 1, chars)
 
 
 def scan_rate_limits(spark: SparkSession, path: str) -> DataFrame:
