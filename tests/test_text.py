@@ -61,7 +61,7 @@ def test_pad_never_cuts(spark):
 
 
 def test_python_repr(spark):
-    values = ["a", "it's", 'say "hi"', "it's \"both\"", "back\\slash", "tab\tnew\n"]
+    values = ["a", "it's", 'say "hi"', "it's \"both\"", "back\\slash", "tab\tnew\n", "\x00\x7f\xa0\xad", "a\u200bb\u2028", "\U000e0001é 日"]
     same(spark, text.python_repr, repr, values)
 
 
