@@ -178,12 +178,15 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, id_col: str = "doc_
     split = F.split("text", "\n", -1)
     chosen = F.filter(split, lambda x, i: x.rlike(BLANK) | F.coalesce(F.get("kept_flags", i), F.lit(False)))
     rest = [c for c in docs.columns if c not in ("n_lines", "n_kept")]
+    # Columns that only pass through travel in one, whatever their names.
+    others = [F.col(f"`{c}`") for c in rest if c not in (id_col, "text")]
+    rows = docs.select(F.col(id_col).alias("row_id"), "text", (F.struct(*others) if others else F.lit(None)).alias("others"))
+    new = {id_col: F.col("row_id"), "text": F.array_join("chosen_lines", "\n")}
     return (
-        docs.select(*rest)
-        .join(kept, F.col(id_col).eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("kept_key")), "left")
+        rows.join(kept, F.col("row_id").eqNullSafe(F.col("kept_id")) & (F.xxhash64("text") == F.col("kept_key")), "left")
         .withColumns({"n_lines": F.coalesce(F.size(split), F.lit(0)), "chosen_lines": chosen})
         .select(
-            *[F.array_join("chosen_lines", "\n").alias("text") if c == "text" else F.col(c) for c in rest],
+            *[new.get(c, F.col("others").getField(c)).alias(c) for c in rest],
             F.when(F.col("text").isNull(), 0).otherwise(F.col("n_lines")).alias("n_lines"),
             F.when(F.col("text").isNull(), 0).otherwise(F.size("chosen_lines")).alias("n_kept"),
         )
