@@ -20,10 +20,10 @@ at least the larger need of the two, counted in one seed and band.
 often as the need says. Larger groups never give pairs: a pair met in them
 alone has nearly all of its signatures there (it is *saturated*). The saturated
 sets sign again over many more, hence smaller ranges, where what many texts have
-in common is a far smaller part of the need. What is saturated even so is all
-but made of common text. These few are linked to pivots of their groups, keeping
-of each set only the rarest signatures that any partner must share one of;
-where a group still holds several components, its members are compared across them.
+in common is a far smaller part of the need. What is saturated even so is
+all but made of common text, or one of a large family of copies. Each of these
+is measured against pivots of its groups; for what links with none of them, only
+sets that share some of the rarest elements outside the pivot remain possible.
 
 **Verification** is the exact set intersection. Links, not all pairs, leave:
 equal texts are joined by set id, components by ``connected_components``.
@@ -52,7 +52,7 @@ PERCENT = 80
 SMALL = 48
 FLAG_BITS = 1 << 20
 COARSE, FINE = 1.2, 8.0
-PIVOTS = 3
+PIVOTS = 2
 SIGNATURE_ROW = "sig long, set_id long, place int, need int"
 U = np.uint64
 
@@ -306,25 +306,95 @@ def document_sets(docs: DataFrame, flags: bytes, words: int, id_col: str) -> Dat
     return picked.mapInPandas(run, f"doc_id {kind}, n_shingles long, set_id long, members binary")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets really are that similar."""
+def measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of each pair (a, b): the elements in both, the two sizes, and whether the sets link."""
 
     def run(batches):
         for pdf in batches:
-            keep = []
-            for x, y in zip(pdf["x"], pdf["y"]):
-                x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pdf.loc[keep, ["a", "b"]]
+            x, y = ([np.frombuffer(v, dtype=np.uint64) for v in pdf[c]] for c in "xy")
+            out = pdf[["a", "b"]].assign(
+                both=[len(np.intersect1d(u, v, assume_unique=True)) for u, v in zip(x, y)], a_size=list(map(len, x)), b_size=list(map(len, y))
+            )
+            yield out.assign(linked=100 * out["both"] >= percent * (out["a_size"] + out["b_size"] - out["both"]))
 
     x, y = (sets.select(F.col("set_id").alias(f"{v}_id"), F.col("members").alias(v)) for v in "xy")
     joined = pairs.join(x, F.col("a") == F.col("x_id")).join(y, F.col("b") == F.col("y_id"))
-    return joined.select("a", "b", "x", "y").mapInPandas(run, "a long, b long")
+    return joined.select("a", "b", "x", "y").mapInPandas(run, "a long, b long, both long, a_size long, b_size long, linked boolean")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets really are that similar."""
+    return measured(pairs, sets, percent).filter("linked").select("a", "b")
+
+
+def elements(rows: DataFrame) -> DataFrame:
+    """(set_id, element) of the members, without those of ``without`` if it is a column."""
+    cut = "without" in rows.columns
+
+    def run(batches):
+        for pdf in batches:
+            for i, key in enumerate(pdf["set_id"]):
+                own = np.frombuffer(pdf["members"].iat[i], dtype=np.uint64)
+                if cut:
+                    own = np.setdiff1d(own, np.frombuffer(pdf["without"].iat[i], dtype=np.uint64), assume_unique=True)
+                yield pd.DataFrame({"set_id": np.full(len(own), key), "element": own.view(np.int64)})
+
+    return rows.mapInPandas(run, "set_id long, element long")
+
+
+def left_over_pairs(hot: DataFrame, near: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of saturated sets that may link and are in different components.
+
+    ``near`` holds what each set has in common with its pivots. Take a set u and
+    the pivot h it has most in common with, but does not link with. A partner x
+    has at least p / (100 + p) of both sizes in common with u, and more than
+    ``both`` of it lies outside h, unless x is small. So u and x share one of the
+    rarest elements that u has outside h: the others are too few to make up what is needed.
+    Small partners, and sets that link with their pivots but not with each other,
+    are met in their signatures.
+    """
+    pivot = near.groupBy(F.col("a").alias("set_id")).agg(
+        F.max_by(F.struct("b", "both", "a_size", "linked"), F.struct("both", "b")).alias("h")
+    ).select("set_id", "h.*")
+    pivot = materialize(pivot, "jaccard-best-pivot")
+    open_ = pivot.filter(~F.col("linked")).select("set_id", F.col("b").alias("pivot"), "both", "a_size")
+    own, other = sets.select("set_id", "members"), sets.select(F.col("set_id").alias("pivot"), F.col("members").alias("without"))
+    outside = elements(open_.join(own, "set_id").join(other, "pivot").select("set_id", "members", "without"))
+    postings = materialize(elements(own.join(hot.select("set_id").distinct(), "set_id", "left_semi")), "jaccard-elements")
+    often = postings.groupBy("element").agg(F.count("*").alias("often"))
+    least = F.greatest(F.lit(1), F.ceil(F.col("a_size") * percent / 100) - F.col("both"))
+    rank = Window.partitionBy("set_id").orderBy("often", "element")
+    rare = (
+        outside.join(often, "element").withColumn("at", F.row_number().over(rank)).join(open_, "set_id")
+        .filter(F.col("at") <= F.col("a_size") - F.col("both") - least + 1).select("set_id", "element")
+    )
+    shared = rare.join(postings.withColumnRenamed("set_id", "with"), "element").select(F.col("set_id").alias("a"), F.col("with").alias("b"))
+
+    # The sizes up to which a partner need share nothing outside the pivot.
+    limit = F.floor(F.col("both") * (100 + percent) / percent - F.col("a_size"))
+    loose = open_.select("set_id", limit.alias("limit"), "a_size").filter(F.col("limit") * 100 >= F.col("a_size") * percent)
+    sized = hot.select("sig", F.col("set_id").alias("with")).join(pivot.select(F.col("set_id").alias("with"), F.col("a_size").alias("size")), "with")
+    small = (
+        hot.select("sig", "set_id").join(loose, "set_id").join(sized, "sig").filter((F.col("size") <= F.col("limit")) & (F.col("with") != F.col("set_id")))
+        .select(F.col("set_id").alias("a"), F.col("with").alias("b"))
+    )
+
+    label = labels.select(F.col("node").alias("set_id"), "label")
+    closed = hot.select("sig", "set_id").join(pivot.filter("linked").select("set_id"), "set_id", "left_semi").join(label, "set_id")
+    mixed = closed.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("sig")
+    closed = closed.join(mixed, "sig", "left_semi")
+    between = closed.join(closed.select("sig", F.col("set_id").alias("with"), F.col("label").alias("with_label")), "sig").filter("label < with_label")
+    between = between.select(F.col("set_id").alias("a"), F.col("with").alias("b"))
+
+    every = shared.unionByName(small).unionByName(between)
+    once = every.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a != b").distinct()
+    la, lb = (label.select(F.col("set_id").alias(x), F.col("label").alias(f"{x}_label")) for x in "ab")
+    apart = once.join(la, "a", "left").join(lb, "b", "left")
+    return apart.filter(F.coalesce("a_label", "a") != F.coalesce("b_label", "b")).select("a", "b")
 
 
 def split_candidates(found: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-    """The pairs (a, b) that occur often enough, and the saturated sets' rows in large groups (sig, set_id, place, spare).
+    """The pairs (a, b) that occur often enough, and the saturated sets' rows in large groups (sig, set_id, place, lost, spare).
 
     ``spare``: a partner shares one of so many rarest of the set's signatures there.
     """
@@ -344,18 +414,18 @@ def split_candidates(found: DataFrame, name: str) -> tuple[DataFrame, DataFrame]
         .select("a", "b").distinct()
     )
     full = lost.filter(F.col("lost") >= F.col("need")).select(
-        F.col("set_id").alias("full_id"), F.col("place").alias("full_place"), (F.col("lost") - F.col("need") + 1).alias("spare")
+        F.col("set_id").alias("full_id"), F.col("place").alias("full_place"), "lost", (F.col("lost") - F.col("need") + 1).alias("spare")
     )
     hot = members.join(full, (F.col("a") == F.col("full_id")) & (F.col("place") == F.col("full_place")))
-    hot = hot.select("sig", F.col("a").alias("set_id"), "place", "spare")
+    hot = hot.select("sig", F.col("a").alias("set_id"), "place", "lost", "spare")
     return materialize(pairs, f"{name}-pairs"), materialize(hot, f"{name}-hot")
 
 
 def rarest(hot: DataFrame) -> DataFrame:
-    """(sig, set_id) of each set's ``spare`` rarest signatures: two similar sets share one of them in both."""
+    """(sig, set_id, lost) of each set's ``spare`` rarest signatures: two similar sets share one of them in both."""
     sizes = hot.groupBy("sig").agg(F.count("*").alias("size"))
     order = Window.partitionBy("set_id", "place").orderBy("size", "sig")
-    return hot.join(sizes, "sig").withColumn("at", F.row_number().over(order)).filter("at <= spare").select("sig", "set_id")
+    return hot.join(sizes, "sig").withColumn("at", F.row_number().over(order)).filter("at <= spare").select("sig", "set_id", "lost")
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, small: int = SMALL, id_col: str = "doc_id") -> DataFrame:
@@ -374,27 +444,21 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
         pairs = pairs.unionByName(more)
     hot = materialize(rarest(hot), "jaccard-rarest")
 
-    # Links to a few pivots join what is dense.
-    pivots = hot.groupBy("sig").agg(*[F.min_by("set_id", F.xxhash64("set_id", F.lit(i))).alias(f"pivot{i}") for i in range(PIVOTS)])
+    # A few pivots of each group, first the set with most of its signatures in groups: the middle of a family of copies.
+    order = [F.struct(F.col("lost") if not i else F.lit(0), F.xxhash64("set_id", F.lit(i))) for i in range(PIVOTS)]
+    pivots = hot.groupBy("sig").agg(*[F.max_by("set_id", o).alias(f"pivot{i}") for i, o in enumerate(order)])
     star = (
-        hot.join(pivots, "sig").select("set_id", F.explode(F.array(*[f"pivot{i}" for i in range(PIVOTS)])).alias("pivot"))
-        .filter("set_id != pivot").select(F.least("set_id", "pivot").alias("a"), F.greatest("set_id", "pivot").alias("b"))
+        hot.join(pivots, "sig").select(F.col("set_id").alias("a"), F.explode(F.array(*[f"pivot{i}" for i in range(PIVOTS)])).alias("b"))
+        .filter("a != b").distinct()
     )
-    links = materialize(verified(pairs.unionByName(star).distinct(), distinct, percent), "jaccard-links")
+    near = materialize(measured(star, distinct, percent), "jaccard-pivots")
+    links = verified(pairs.distinct(), distinct, percent).unionByName(near.filter("linked").select("a", "b"))
+    links = materialize(links, "jaccard-links")
     labels = connected_components(links)
-
-    # Large groups that hold several components yet: compare their members across components.
-    named = hot.join(labels, hot["set_id"] == labels["node"], "left").select("sig", "set_id", F.coalesce("label", "set_id").alias("label"))
-    mixed = named.groupBy("sig").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least < most").select("sig")
-    left = materialize(named.join(mixed, "sig", "left_semi"), "jaccard-mixed")
-    if left.head(1):
-        other = left.select(F.col("sig").alias("sig2"), F.col("set_id").alias("b"), F.col("label").alias("label2"))
-        across = (
-            left.join(other, (F.col("sig") == F.col("sig2")) & (F.col("label") < F.col("label2")))
-            .select(F.least("set_id", "b").alias("a"), F.greatest("set_id", "b").alias("b")).distinct()
-        )
-        more = verified(across, distinct, percent)
-        labels = connected_components(materialize(links.unionByName(more), "jaccard-links"))
+    if hot.head(1):
+        more = materialize(verified(left_over_pairs(hot, near, distinct, labels, percent), distinct, percent), "jaccard-more")
+        if more.head(1):
+            labels = connected_components(materialize(links.unionByName(more), "jaccard-links"))
 
     per_set = sets.filter(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("first_doc"))
     classed = per_set.join(labels, per_set["set_id"] == labels["node"], "left").select(
