@@ -49,7 +49,7 @@ GRAIN = 64
 END_ID = 1
 MAX_QUEUES = 256
 MOST_ROUNDS = 1 << 31
-CACHE = 800_000
+CACHE = 500_000
 ROWS_OUT = 50_000
 #: A word of Latin-1 letters with the signs behind it; an apostrophe may belong to the letters.
 PLAIN = re.compile(r"(?m)^([A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@\[-`{-~]*)$")
