@@ -18,7 +18,15 @@ from hiremill.operators import decode, quality, silver, upsert
 from hiremill.schemas import BRONZE, CHANGES, JOBS, REJECTS, SILVER
 from hiremill.session import build_session, materialize
 from hiremill.sources.files import scan_mhtml, scan_records
-from hiremill.sources.snapshots import next_version, read_log, read_snapshot, write_snapshot
+from hiremill.sources.snapshots import (
+    effective_versions,
+    next_version,
+    note_batch,
+    read_log,
+    read_snapshot,
+    versions_of_batch,
+    write_snapshot,
+)
 
 STAGES = ("ingest", "process", "load", "profile")
 
@@ -55,21 +63,29 @@ def rejected_records(spark: SparkSession, root: str) -> DataFrame:
     return _silver(spark, root).filter("not valid").select(*REJECTS.fieldNames())
 
 
-def load_records(spark: SparkSession, records: DataFrame, root: str) -> DataFrame:
+def load_records(spark: SparkSession, records: DataFrame, root: str, batch: str | None = None) -> DataFrame:
     """Upsert parsed records into ``jobs``; the change log is written first and drives the table.
 
     Both take the same version number: a change version takes effect with the
     jobs version of that number, so a load that is lost half way leaves no entry.
+    The number a named ``batch`` takes is noted before it is written.
     """
     staged = upsert.stage(records)
     prior = read_snapshot(spark, f"{root}/jobs", JOBS)
     version = next_version(spark, f"{root}/jobs", f"{root}/changes")
+    if batch is not None:
+        note_batch(spark, f"{root}/batches", batch, version)
     write_snapshot(upsert.upsert_actions(staged, prior), f"{root}/changes", version)
     actions = read_snapshot(spark, f"{root}/changes", CHANGES, version)
     write_snapshot(upsert.apply_changes(prior, staged, actions), f"{root}/jobs", version)
     return upsert.load_summary(records, actions)
 
 
+def is_loaded(spark: SparkSession, root: str, batch: str) -> bool:
+    """Did a load of this batch take effect?"""
+    return bool(versions_of_batch(spark, f"{root}/batches", batch) & effective_versions(spark, f"{root}/jobs"))
+
+
 def change_log(spark: SparkSession, root: str) -> DataFrame:
     """``(doc_key, source_id, content_hash, action)`` of every load that took effect."""
     return read_log(spark, f"{root}/changes", CHANGES, effective_in=f"{root}/jobs")
@@ -90,7 +106,9 @@ def profile(spark: SparkSession, root: str) -> DataFrame:
     """
     labelled = quality.label_jobs(read_snapshot(spark, f"{root}/jobs", JOBS))
     low = write_snapshot(quality.low_quality(labelled), f"{root}/jobs_quarantine")
-    high = write_snapshot(quality.high_quality(labelled), f"{root}/jobs")
+    # A number that a lost load took in the change log is not used again.
+    number = next_version(spark, f"{root}/jobs", f"{root}/changes")
+    high = write_snapshot(quality.high_quality(labelled), f"{root}/jobs", number)
     parts = [read_snapshot(spark, f"{root}/{t}", JOBS, v) for t, v in (("jobs", high), ("jobs_quarantine", low))]
     return quality.quality_report(parts[0].unionByName(parts[1]))
 

@@ -288,6 +288,11 @@ _BODIES = {
     "stored_hashes": "SELECT source_id, content_hash FROM prior WHERE source_id IN (SELECT source_id FROM staged)",
     "new_keys": "SELECT DISTINCT source_id FROM staged WHERE source_id NOT IN (SELECT source_id FROM prior)",
     "snapshot_roundtrip": f"SELECT {SIX}, quality FROM prior",
+    "change_log": """SELECT doc_key, source_id, content_hash, CASE WHEN n = 1 THEN 'insert'
+            WHEN before IS DISTINCT FROM content_hash THEN 'update' ELSE 'skip' END AS action
+        FROM (SELECT *, lag(content_hash) OVER w AS before, row_number() OVER w AS n
+            FROM (SELECT *, CAST(doc_key AS BIGINT) > (SELECT max(event_id) // 2 FROM events) AS late FROM staged)
+            WINDOW w AS (PARTITION BY late, source_id ORDER BY doc_key))""",
     "arrivals_stream": FINAL.format(actions="first_actions", prior="nothing"),
     "quality_split_high": "SELECT * FROM labelled WHERE quality = 'HIGH'",
     "quarantine": "SELECT * FROM labelled WHERE quality = 'LOW'",

@@ -14,7 +14,7 @@ from hiremill.plans import fixtures, medallion
 from hiremill.schemas import JOBS, RATE_LIMITS, conform
 from hiremill.session import materialize, scratch_path
 from hiremill.sources import files, scripts
-from hiremill.sources.snapshots import read_snapshot, write_snapshot
+from hiremill.sources.snapshots import expire_snapshots, read_snapshot, write_snapshot
 from hiremill.streaming import arrivals, messages
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -258,6 +258,21 @@ def arrivals_stream(spark, sf):
     return arrivals.loaded_jobs(spark, root)
 
 
+@query
+def change_log(spark, sf):
+    """Two loads with a profile between them and a replay of the second, read after old versions expired."""
+    events = fixtures.event_changes(spark, sf)
+    half = fixtures.table(spark, sf, "events").agg(F.floor(F.max("event_id") / 2).alias("half")).first()["half"]
+    late = F.col("doc_key").cast("bigint") > half
+    root = scratch_path(spark, "log")
+    arrivals.load_once(events.filter(~late), root, "first")
+    medallion.profile(spark, root)
+    for _ in range(2):
+        arrivals.load_once(events.filter(late), root, "second")
+    expire_snapshots(spark, f"{root}/jobs", keep=1)
+    return medallion.change_log(spark, root)
+
+
 # --- quality -------------------------------------------------------------------------
 
 

@@ -14,6 +14,20 @@ from pyspark.sql import types as T
 from hiremill.schemas import conform
 
 _VERSION = re.compile(r"version=(\d+)$")
+_EXPIRED = re.compile(r"expired=(\d+)$")
+
+
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """The names of what is directly in a folder; none if it does not exist."""
+    root = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [status.getPath().getName() for status in fs.listStatus(root)] if fs.exists(root) else []
+
+
+def _mark(spark: SparkSession, path: str) -> None:
+    """Leave an empty folder as a sign."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
 
 
 def _versions(spark: SparkSession, path: str) -> list[tuple[int, bool]]:
@@ -58,9 +72,30 @@ def write_snapshot(df: DataFrame, path: str, version: int | None = None) -> int:
     return number
 
 
+def effective_versions(spark: SparkSession, path: str) -> set[int]:
+    """Numbers that were committed once, those expired since included."""
+    expired = {int(m.group(1)) for m in map(_EXPIRED.search, _names(spark, path)) if m}
+    return expired | {n for n, committed in _versions(spark, path) if committed}
+
+
+def note_batch(spark: SparkSession, path: str, batch: str, version: int) -> None:
+    """Say, before it is written, which version a batch will be."""
+    _mark(spark, f"{path}/batch={batch}.version={version}")
+
+
+def versions_of_batch(spark: SparkSession, path: str, batch: str) -> set[int]:
+    """The versions a batch was to be; it took effect if one of them did."""
+    start = f"batch={batch}.version="
+    return {int(name.removeprefix(start)) for name in _names(spark, path) if name.startswith(start)}
+
+
 def read_log(spark: SparkSession, path: str, schema: T.StructType, effective_in: str) -> DataFrame:
-    """All versions of a log table that took effect, that is, whose number ``effective_in`` committed too."""
-    done = {n for n, committed in _versions(spark, effective_in) if committed}
+    """All versions of a log table that took effect, that is, whose number ``effective_in`` once committed too.
+
+    The two tables share their numbers (``next_version`` over both), so no other
+    write can have taken the number of a load that was lost.
+    """
+    done = effective_versions(spark, effective_in)
     folders = [f"{path}/version={n}" for n, committed in _versions(spark, path) if committed and n in done]
     return spark.read.schema(schema).parquet(*folders) if folders else spark.createDataFrame([], schema)
 
@@ -70,6 +105,7 @@ def expire_snapshots(spark: SparkSession, path: str, keep: int = 2) -> list[int]
     committed = [n for n, done in _versions(spark, path) if done]
     old = committed[: -keep if keep > 0 else len(committed) - 1]
     for number in old:
+        _mark(spark, f"{path}/expired={number}")
         folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/version={number}")
         folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
     return old

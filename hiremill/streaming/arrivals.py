@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from hiremill.operators import upsert
-from hiremill.plans.medallion import load_records
+from hiremill.plans.medallion import is_loaded, load_records
 from hiremill.schemas import JOBS, SILVER
+from hiremill.session import materialize
 from hiremill.sources.snapshots import read_snapshot
 
 
@@ -22,13 +24,15 @@ def read_silver_stream(spark: SparkSession, folder: str, files_per_batch: int |
 def load_stream(records: DataFrame, root: str, checkpoint: str, available_now: bool = True) -> StreamingQuery:
     """Upsert each micro-batch into the snapshots under ``root``.
 
-    A micro-batch that is replayed after a failure finds its own hashes in the
-    table and changes nothing. Records of a key must arrive in ``doc_key`` order
-    across batches; inside a batch they are ordered here.
+    A micro-batch that is replayed after a failure is skipped if its load took
+    effect: loads carry the name of the stream's checkpoint and the batch number.
+    Records of a key must arrive in ``doc_key`` order across batches; inside a
+    batch they are ordered here.
     """
+    stream = hashlib.md5(checkpoint.encode()).hexdigest()
 
-    def load_batch(batch: DataFrame, _batch_id: int) -> None:
-        load_records(batch.sparkSession, batch, root)
+    def load_batch(batch: DataFrame, batch_id: int) -> None:
+        load_once(batch, root, f"{stream}-{batch_id}")
 
     writer = records.writeStream.foreachBatch(load_batch).option("checkpointLocation", checkpoint)
     if available_now:
@@ -36,10 +40,12 @@ def load_stream(records: DataFrame, root: str, checkpoint: str, available_now: b
     return writer.start()
 
 
-def loaded_jobs(spark: SparkSession, root: str) -> DataFrame:
-    return read_snapshot(spark, f"{root}/jobs", JOBS)
+def load_once(batch: DataFrame, root: str, name: str) -> None:
+    """Load a named batch unless a load of that name took effect. The batch is written once, since a load reads it several times."""
+    spark = batch.sparkSession
+    if not is_loaded(spark, root, name):
+        load_records(spark, materialize(batch, "arrived"), root, name)
 
 
-def staged_hashes(records: DataFrame) -> DataFrame:
-    """Streaming or batch records with the hash the load compares."""
-    return upsert.stage(records)
+def loaded_jobs(spark: SparkSession, root: str) -> DataFrame:
+    return read_snapshot(spark, f"{root}/jobs", JOBS)
