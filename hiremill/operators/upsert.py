@@ -20,12 +20,12 @@ HOT_ROWS = 1_000_000
 MAX_CHUNKS = 512
 
 # SQLite lets a text primary key be NULL any number of times: such records
-# never meet, so each stands under a key of its own.
-_NO_KEY = "\x00"
+# never meet, so each stands under a key of its own. The first letter says which kind it is.
+_NO_KEY, _KEY = "0", "1"
 
 
 def _record_key() -> Column:
-    return F.coalesce("source_id", F.concat(F.lit(_NO_KEY), F.col("doc_key")))
+    return F.coalesce(F.concat(F.lit(_KEY), F.col("source_id")), F.concat(F.lit(_NO_KEY), F.col("doc_key")))
 
 
 def stage(records: DataFrame) -> DataFrame:
@@ -61,7 +61,7 @@ def upsert_actions(staged: DataFrame, prior: DataFrame, hot_rows: int = HOT_ROWS
     # Of the table only the keys that arrive matter; a small load broadcasts its keys, so nothing else is shuffled.
     met = prior.join(staged.select("source_id").distinct(), "source_id", "left_semi")
     standing = met.select(
-        F.col("source_id").alias("_key"), F.lit(0).alias("_turn"), F.lit("").alias("doc_key"), "content_hash"
+        F.concat(F.lit(_KEY), F.col("source_id")).alias("_key"), F.lit(0).alias("_turn"), F.lit("").alias("doc_key"), "content_hash"
     )
     # The cuts are bounded by rows / hot_rows strings in all (see _hot_key_cuts).
     # Keys are never NULL; saying so keeps both uses of the shuffle below alike, so it runs once.
@@ -98,7 +98,7 @@ def upsert_actions(staged: DataFrame, prior: DataFrame, hot_rows: int = HOT_ROWS
     action = (
         F.when(~known, "insert").when(~before.eqNullSafe(F.col("content_hash")), "update").otherwise("skip")
     )
-    source_id = F.when(~F.col("_key").startswith(_NO_KEY), F.col("_key"))
+    source_id = F.when(F.col("_key").startswith(_KEY), F.expr("substring(_key, 2)"))
     return joined.filter(F.col("_turn") == 1).select(
         "doc_key", source_id.alias("source_id"), "content_hash", action.alias("action")
     )

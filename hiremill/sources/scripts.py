@@ -120,7 +120,11 @@ CHANGES: dict[str, Callable[..., tuple[Tables, DataFrame]]] = {
 
 
 def run_script(tables: Tables, name: str, *params) -> Result:
-    """Run a named statement. Query rows stay a lazy DataFrame; they are never collected here."""
+    """Run a named statement. Query rows stay a lazy DataFrame; they are never collected here.
+
+    An unknown name, wrong parameters, or a change that fails come back as ``error``; a
+    query that fails only when its rows are read raises there.
+    """
     name = name.removesuffix(".sql")
     try:
         if name in QUERIES:
