@@ -28,7 +28,6 @@ and source are not read.
 
 from __future__ import annotations
 
-import gc
 import json
 import os
 import re
@@ -50,7 +49,7 @@ END_ID = 1
 MAX_QUEUES = 256
 MOST_ROUNDS = 1 << 31
 CACHE = 500_000
-ROWS_OUT = 50_000
+ROWS_OUT = 10_000
 #: A word of Latin-1 letters with the signs behind it; an apostrophe may belong to the letters.
 PLAIN = re.compile(r"(?m)^([A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@\[-`{-~]*)$")
 
@@ -139,7 +138,6 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, tex
 
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        gc.disable()  # nothing here refers in circles; the collector would walk the remembered words again and again
         # What a Python worker has learned serves its later tasks as well.
         encoders = vars(public_tokenizers).setdefault("word_encoders", {})
         encoder = encoders.get(tokenizer_path) or encoders.setdefault(tokenizer_path, WordEncoder(tokenizer_path))
@@ -248,6 +246,7 @@ def pack_documents(
     )
 
     def run(batches):
+        vars(public_tokenizers).pop("word_encoders", None)  # no word is looked up from here on
         for pdf in batches:
             starts, sizes = pdf["start"].to_numpy(np.int64), pdf["n"].to_numpy(np.int64)
             queues = pdf["queue"].to_numpy(np.int64)

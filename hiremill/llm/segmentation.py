@@ -22,7 +22,6 @@ an empty table gives no rows; columns but id and text are not read.
 
 from __future__ import annotations
 
-import gc
 import heapq
 import re
 import zlib
@@ -290,7 +289,6 @@ def encode_documents(
     path = model_path or public_tokenizers.path("piece_bpe_32k.model")
 
     def run(batches):
-        gc.disable()  # nothing here refers in circles; the collector would walk the remembered parts again and again
         segmenter = _worker_segmenter(path, n_best)
         for pdf in batches:
             for low in range(0, len(pdf), BLOCK):
@@ -323,7 +321,6 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("piece_bpe_32k.model")
 
     def run(batches):
-        gc.disable()
         segmenter = _worker_segmenter(path, N_BEST)
         for pdf in batches:
             for low in range(0, len(pdf), BLOCK):
