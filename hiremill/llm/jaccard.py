@@ -49,7 +49,7 @@ from hiremill.session import materialize
 
 WORDS = 5
 PERCENT = 80
-SMALL = 48
+SMALL = 24
 FLAG_BITS = 1 << 20
 COARSE, FINE = 1.2, 8.0
 PIVOTS = 2
