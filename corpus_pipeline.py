@@ -45,10 +45,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each class of near duplicates the document with the smallest id; one row of it, if it is repeated."""
-    first = jaccard_components(docs).filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("first_id")).distinct()
-    once = Window.partitionBy("doc_id").orderBy(F.xxhash64("text"))
-    kept = docs.select(*COLUMNS).join(first, F.col("doc_id").eqNullSafe(F.col("first_id")), "left_semi")
+    """Of each class of near duplicates one row: that with the smallest id, NULL as the largest, then by its text's hash.
+
+    A row is known by its id and text, so only rows equal in both or of one class are
+    reduced: neither missing nor repeated ids lose a class. Rows without a word are each their own class.
+    """
+    key = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.md5("text").alias("text_key"))
+    first = jaccard_components(docs.select(key.alias("row"), "text"), id_col="row").filter(F.col("doc_id") == F.col("component_id"))
+    first = first.select(F.col("doc_id.doc_id").alias("first_id"), F.col("doc_id.text_key").alias("first_key")).distinct()
+    kept = docs.select(*COLUMNS, F.md5("text").alias("text_key")).join(
+        first, F.col("doc_id").eqNullSafe(F.col("first_id")) & F.col("text_key").eqNullSafe(F.col("first_key")), "left_semi"
+    )
+    once = Window.partitionBy("doc_id", "text_key").orderBy("lang", "source", "n_chars")
     return kept.withColumn("copy", F.row_number().over(once)).filter("copy = 1").select(*COLUMNS)
 
 

@@ -1,6 +1,6 @@
 import corpus_pipeline as pipeline
 from hiremill.session import materialize
-from tests.llm.helpers import EDGES
+from tests.llm.helpers import EDGES, words
 from tests.llm.test_jaccard import brute as jaccard_brute
 from tests.llm.test_line_dedup import brute as lines_brute
 
@@ -39,3 +39,16 @@ def test_near_duplicates_keep_one_of_a_repeated_row(spark):
     docs = spark.createDataFrame([(d, t, "en", None, None) for d, t in EDGES], "doc_id long, text string, lang string, source string, n_chars long")
     got = [r.doc_id for r in pipeline.near_duplicates(spark, docs, SF).collect()]
     assert sorted(got) == [900, 901, 902, 903, 904, 905, 906]
+
+
+def test_near_duplicates_keep_every_class_whatever_the_ids(spark):
+    a, b, c, d, e = (words(10_000, 60, i) for i in range(5))
+    rows = [
+        (None, a), (None, b), (None, b), (None, None), (None, ""),  # missing ids: two texts, one of them twice
+        (1, c), (7, c + " more"), (7, d), (7, d.upper()),  # a repeated id: near another row, and a class of its own
+        (None, e), (9, e + " more"),  # an id goes before none
+    ]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = {(r.doc_id, r.text and r.text.lower()) for r in pipeline.near_duplicates(spark, docs.repartition(5), SF).collect()}
+    assert got == {(None, a), (None, b), (None, None), (None, ""), (1, c), (7, d), (9, e + " more")}
+    assert pipeline.near_duplicates(spark, docs.repartition(5), SF).count() == len(got)
