@@ -17,8 +17,14 @@ before. Shares are those of the tokens themselves, so that every token is packed
 Two passes. The first tokenises each document once and writes its ids together
 with its place among the tokens of its source within the task. The second reads
 that table, adds what the tasks before hold of the source and cuts. Texts are
-never shuffled. There are at most ``max_queues`` queues: the sources with the
-most tokens; all others share one more.
+never shuffled.
+
+At most ``max_queues`` sources, those with the most tokens, have a queue of the
+windows. All others, any number, share one more, in which they are mixed by the
+same closed form: they are dealt into groups of about ``GROUP`` / 2, a group's
+sources into one order of the group's tokens, ``GROUP`` groups into that of a larger one,
+and so on to the shared queue (``tail_levels``). A token's place is carried from one
+order to the next. The totals of a group are joined to its sources; they never meet on the driver.
 
 NULL texts are empty, and a document always ends with ``end_id``, so each has
 at least one token. NULL sources are a queue of their own. Repeated rows and
@@ -47,6 +53,8 @@ LENGTH = 2048
 GRAIN = 64
 END_ID = 1
 MAX_QUEUES = 256
+#: Queues of one order within the shared queue.
+GROUP = 256
 MOST_ROUNDS = 1 << 31
 CACHE = 500_000
 ROWS_OUT = 10_000
@@ -194,6 +202,12 @@ class Rounds:
         begin, end = self.served(queue, service * m), self.served(queue, np.minimum((service + 1) * m, self.rounds))
         now = np.minimum((service + 1) * m, self.rounds) - 1  # served in the last round of its period
         place = begin.copy()
+        if len(queue) < len(self.totals):
+            others = np.arange(len(self.totals))
+            for i, q in enumerate(queue):
+                before = self.served(others, np.where(others < q, now[i] + 1, now[i]))
+                place[i] += before.sum() - before[q]
+            return begin, end, place
         for other in range(len(self.totals)):
             place += np.where(other == queue, 0, self.served(np.full_like(queue, other), np.where(other < queue, now + 1, now)))
         return begin, end, place
@@ -219,6 +233,52 @@ def cut(rounds: Rounds, queue: np.ndarray, start: np.ndarray, n: np.ndarray, len
     return row, a[again] + (low - place[again]) - start[row], high - low, low
 
 
+def tail_levels(rest: DataFrame, count: int, width: int) -> tuple[DataFrame, int]:
+    """Where the sources (name, n) that share a queue stand in it, and the number of levels L.
+
+    (name, group0, child0, totals0, ..., up to L - 1): the source is number child0 of the
+    queues of group0, whose tokens are totals0; that group is number child1 of group1, and so on.
+    The only group of the last level is the shared queue. Sources are dealt by hash, so no order of all is needed.
+    """
+    groups = 1 if count <= width else -(-2 * count // width)
+    group = F.pmod(F.xxhash64("name"), F.lit(groups))
+    nodes, path, level = rest.select("name", "n", group.alias("group")), None, 0
+    while True:
+        order = Window.partitionBy("group").orderBy(F.desc("n"), "name")
+        numbered = materialize(nodes.withColumn("child", F.row_number().over(order) - 1), "packing-nodes")
+        listed = numbered.groupBy("group").agg(
+            F.transform(F.array_sort(F.collect_list(F.struct("child", "n"))), lambda x: x["n"]).alias("totals"), F.sum("n").alias("sum")
+        )
+        listed = materialize(listed, "packing-groups")
+        step = numbered.join(listed.select(F.col("group").alias("of_group"), "totals"), F.col("group") == F.col("of_group")).select(
+            F.col("name").alias(f"node{level}"), F.col("group").alias(f"group{level}"), F.col("child").alias(f"child{level}"), F.col("totals").alias(f"totals{level}")
+        )
+        path = step if path is None else path.join(step, F.col(f"group{level - 1}") == F.col(f"node{level}")).drop(f"node{level}")
+        level += 1
+        if groups == 1:
+            return path.withColumnRenamed("node0", "name"), level
+        groups = -(-groups // width)
+        nodes = listed.select(F.col("group").alias("name"), F.col("sum").alias("n"), F.expr(f"`group` div {width}").alias("group"))
+
+
+def in_shared_queue(pdf: pd.DataFrame, level: int, row: np.ndarray, start: np.ndarray, n: np.ndarray, windows: int, grain: int):
+    """Pieces (row of ``pdf``, n tokens from ``start`` of a queue of this level) in the order of their group: (piece, first token, tokens, place).
+
+    A round is what the group gets of one window, or ``grain`` tokens if that is more.
+    """
+    group, child, totals = (pdf[f"{c}{level}"].to_numpy() for c in ("group", "child", "totals"))
+    got = [(np.zeros(0, np.int64),) * 4]
+    of = group[row].astype(np.int64)
+    order = np.argsort(of, kind="stable")
+    for at in np.split(order, np.flatnonzero(np.diff(of[order])) + 1):
+        if len(at):
+            sizes = totals[row[at[0]]]
+            rounds = Rounds(sizes, max(grain, int(sizes.sum()) // windows), grain)
+            piece, *rest = cut(rounds, child[row[at]].astype(np.int64), start[at], n[at], 1 << 62)
+            got.append((at[piece], *rest))
+    return tuple(map(np.concatenate, zip(*got)))
+
+
 def pack_documents(
     docs: DataFrame, tokenizer_path: str | None = None, length: int = LENGTH, grain: int = GRAIN, end_id: int = END_ID,
     max_queues: int = MAX_QUEUES, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
@@ -229,22 +289,44 @@ def pack_documents(
     per_task = materialize(tokens.groupBy("source", "task").agg(F.sum("n").alias("n")), "packing-totals")
     # At most max_queues rows come to the driver: the queues of the largest sources, and the sum of the rest.
     largest = per_task.groupBy("source").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "source").limit(max_queues).collect()
-    all_tokens = per_task.agg(F.sum("n")).first()[0] or 0
+    all_tokens, sources = per_task.agg(F.sum("n"), F.count_distinct(F.struct("source"))).first()
+    all_tokens = all_tokens or 0
     totals = [r["n"] for r in largest]
     rest = all_tokens - sum(totals)
     rounds = Rounds([*totals, *([rest] if rest else [])] or [0], length, grain)
     numbers = docs.sparkSession.createDataFrame([(r["source"], i) for i, r in enumerate(largest)], "name string, number int")
-    before = Window.partitionBy("queue").orderBy("source", "task").rowsBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("source").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     bases = materialize(
         per_task.join(F.broadcast(numbers), F.col("source").eqNullSafe(F.col("name")), "left")
         .withColumn("queue", F.coalesce("number", F.lit(len(totals))))
-        .select(F.col("source").alias("of"), F.col("task").alias("by"), "queue", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")),
+        .select(F.col("source").alias("of"), F.col("task").alias("by"), "queue", "n", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")),
         "packing-bases",
     )
-    placed = tokens.join(bases, tokens["source"].eqNullSafe(bases["of"]) & (tokens["task"] == bases["by"])).select(
-        "doc_id", "source", "queue", (F.col("base") + F.col("start")).alias("start"), "n", "ids"
+    levels, path = 0, []
+    if rest:
+        shared = bases.filter(F.col("queue") == len(totals)).groupBy(F.col("of").alias("name")).agg(F.sum("n").alias("n"))
+        places, levels = tail_levels(shared, sources - len(totals), GROUP)
+        path = [f"{c}{i}" for i in range(levels) for c in ("group", "child", "totals")]
+        bases = bases.join(places, F.col("of").eqNullSafe(F.col("name")), "left")
+    placed = tokens.join(bases.drop("n"), tokens["source"].eqNullSafe(bases["of"]) & (tokens["task"] == bases["by"])).select(
+        "doc_id", "source", "queue", (F.col("base") + F.col("start")).alias("start"), "n", "ids", *path
     )
 
+    def placed_pieces(pdf, queue, start, n):
+        tail = np.flatnonzero(queue == len(totals)) if levels else ()
+        if not len(tail):
+            return cut(rounds, queue, start, n, length)
+        # Pieces of the shared queue's documents: row, first token of the document, tokens, place in the order so far.
+        row, first, count, at = tail, np.zeros_like(tail), n[tail], start[tail]
+        for level in range(levels):
+            piece, more, size, place = in_shared_queue(pdf, level, row, at, count, rounds.rounds, grain)
+            row, first, count, at = row[piece], first[piece] + more, size, place
+        own = np.flatnonzero(queue < len(totals))
+        row, first = np.concatenate([own, row]), np.concatenate([np.zeros_like(own), first])
+        at, count = np.concatenate([start[own], at]), np.concatenate([n[own], count])
+        piece, more, size, place = cut(rounds, queue[row], at, count, length)
+        return row[piece], first[piece] + more, size, place
+
     def run(batches):
         vars(public_tokenizers).pop("word_encoders", None)  # no word is looked up from here on
         for pdf in batches:
@@ -253,7 +335,7 @@ def pack_documents(
             low = 0
             while low < len(pdf):  # as many documents at a time as make a bounded number of pieces
                 high = low + max(1, int(np.searchsorted(np.cumsum(sizes[low:] // grain + 2), ROWS_OUT, side="right")))
-                row, first, count, place = cut(rounds, queues[low:high], starts[low:high], sizes[low:high], length)
+                row, first, count, place = placed_pieces(pdf.iloc[low:high], queues[low:high], starts[low:high], sizes[low:high])
                 ids = list(pdf["ids"].iloc[low:high])
                 pieces = [ids[r][4 * a : 4 * (a + c)] for r, a, c in zip(row.tolist(), first.tolist(), count.tolist())]
                 yield pd.DataFrame(

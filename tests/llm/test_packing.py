@@ -6,6 +6,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
+from hiremill.llm import packing
 from hiremill.llm.packing import Rounds, WordEncoder, cut, op7_packing, pack_documents
 from tests.llm.helpers import EDGES, SF, words
 
@@ -81,6 +82,22 @@ def test_edges(spark):
     assert pack_documents(df.filter("false")).count() == 0
 
 
+@pytest.mark.parametrize("group", [256, 7, 2])
+def test_sources_without_a_queue_of_their_own_are_mixed(spark, monkeypatch, group):
+    monkeypatch.setattr(packing, "GROUP", group)
+    rows = [(i, words(300, 40, i), None if i % 30 == 7 else f"s{i % 30}") for i in range(300)] + [(i, words(300, 200, i), "large") for i in range(300, 320)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = pack_documents(df, length=256, grain=8, max_queues=2).collect()
+    check([r[:2] for r in rows], got, 256)
+    all_tokens = sum(r.length for r in got)
+    for source in {r.source for r in got}:
+        pieces = sorted((256 * r.sequence_id + r.offset, r.length) for r in got if r.source == source)
+        total, held = sum(n for _, n in pieces), 0
+        for place, n in pieces:  # at any place, the source has had its share of the tokens, but for a few services
+            assert abs(held - total * place / all_tokens) <= 80 < total / 8
+            held += n
+
+
 def test_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     check(rows, op7_packing(spark, SF).collect(), 2048)
