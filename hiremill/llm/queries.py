@@ -5,6 +5,7 @@ from __future__ import annotations
 from hiremill.llm.jaccard import op9_ngram_jaccard
 from hiremill.llm.language import op10_language_id
 from hiremill.llm.line_dedup import OP4_SQL, op4_line_dedup
+from hiremill.llm.minhash import op13_minhash
 from hiremill.llm.neighbours import op5_ann
 from hiremill.llm.packing import op7_packing
 from hiremill.llm.quality import op3_quality
@@ -24,6 +25,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_language_id": op10_language_id,
+    "op13_minhash": op13_minhash,
 }
 
 ORACLES: dict[str, str] = {"op4_line_dedup": OP4_SQL, "op6_exact_topk": OP6_SQL}
