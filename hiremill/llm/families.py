@@ -11,11 +11,17 @@ most |u & c| lie in c. So u and x share d = need - |u & c| or more elements outs
 with the least size that x can have in the group. If d > 0, they share one of the
 |u - c| - d + 1 elements of u outside c that are rarest there, and the elements
 outside c give new, far smaller groups: what copies have in common lies in c.
-If d <= 0, the group is taken again with its smallest set as the pivot: then
-|x| >= |c|, and not to link with c means |u & c| < percent (|u| + |c|) / (100 + percent),
-so d > 0 always. Groups that are still large after ``rounds`` give the pairs of the
-sets that are open there: only texts at the threshold to most of their family are left.
-So no link is lost, and none is counted that was not measured.
+
+If d <= 0 (u is *loose*), the same holds for partners larger than
+limit = |u & c| (100 + percent) / percent - |u|, and they are sought like that.
+A smaller partner x in turn finds its larger ones, u among them, unless it has
+2 percent / (100 + percent) of itself in c. Only such contained sets x, of at most the limit's size, are
+left for u; they and the loose sets are a group again, with its smallest set as the
+pivot: then |x| >= |c|, and not to link with c means d > 0 always.
+
+Groups that are still large after ``rounds`` give the pairs of their open sets with those they seek:
+only texts at the threshold to most of their family are left. Pairs that
+the links so far connect are not measured. So no link between components is lost.
 """
 
 from __future__ import annotations
@@ -25,9 +31,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hiremill.llm.components import connected_components
 from hiremill.session import materialize
 
-STAR = "u long, c long, linked boolean, d long, rest array<bigint>"
+STAR = "u long, c long, open boolean, goal boolean, linked boolean, d long, held boolean, bound long, rest array<bigint>"
 
 
 def inside(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -63,83 +70,124 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def stars(rays: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Each (u, c, low) measured: whether it links, d, and what u has outside c."""
+    """Each (u, c, low, open, goal) measured.
+
+    ``linked``; ``d`` elements at least that a partner shares with u outside c, of partners over ``bound`` only where
+    some are loose (bound is 0 elsewhere); ``held``: u lies so far in c that it does not find its larger partners; ``rest``: u outside c.
+    """
 
     def run(batches):
         for batch in batches:
-            linked, needs, rests = [], [], []
+            rows, rests = [], []
             low, x, y = batch.column("low"), batch.column("x"), batch.column("y")
             for i in range(batch.num_rows):
                 u, c = (np.frombuffer(side[i].as_buffer(), dtype=np.uint64) for side in (x, y))
                 hit = inside(u, c)
-                both = int(hit.sum())
-                least = max(low[i].as_py(), -(-percent * len(u) // 100))
-                linked.append(similar(both, len(u), len(c), percent))
-                needs.append(-(-percent * (len(u) + least) // (100 + percent)) - both)
+                both, size, all_ = int(hit.sum()), len(u), 100 + percent
+                least = max(low[i].as_py(), -(-percent * size // 100))
+                need, bound = -(-percent * (size + least) // all_), 0
+                if need <= both:  # loose: the least size at which a partner shares something outside c
+                    bound = both * all_ // percent - size
+                    need = -(-percent * (size + bound + 1) // all_)
+                held = -(-2 * percent * size // all_) <= both
+                rows.append((similar(both, size, len(c), percent), need - both, held, bound))
                 rests.append(u[~hit].view(np.int64))
+            linked, d, held, bound = zip(*rows) if rows else ((),) * 4
             ends = np.cumsum([0, *map(len, rests)]).astype(np.int32)
             rest = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *rests])))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("u"), batch.column("c"), pa.array(linked, pa.bool_()), pa.array(needs, pa.int64()), rest], ["u", "c", "linked", "d", "rest"]
-            )
+                [
+                    *(batch.column(k) for k in ("u", "c", "open", "goal")), pa.array(linked, pa.bool_()), pa.array(d, pa.int64()),
+                    pa.array(held, pa.bool_()), pa.array(bound, pa.int64()), rest,
+                ],
+                ["u", "c", "open", "goal", "linked", "d", "held", "bound", "rest"],
+            )
 
-    return with_members(rays, "u", "c", sets).select("u", "c", "low", "x", "y").mapInArrow(run, STAR)
+    return with_members(rays, "u", "c", sets).select("u", "c", "low", "open", "goal", "x", "y").mapInArrow(run, STAR)
 
 
 def group_pairs(groups: DataFrame) -> DataFrame:
-    """The pairs a < b of each group with an open set among them."""
-    one = groups.select("g", F.col("set_no").alias("a"), F.col("open").alias("a_open"))
-    two = groups.select(F.col("g").alias("h"), F.col("set_no").alias("b"), F.col("open").alias("b_open"))
-    return one.join(two, (F.col("g") == F.col("h")) & (F.col("a") < F.col("b")) & (F.col("a_open") | F.col("b_open"))).select("a", "b").distinct()
+    """The pairs a < b of each group of which one is open and the other sought."""
+    one, two = (groups.select(F.col("g").alias(f"{v}_g"), F.col("set_no").alias(v), F.col("open").alias(f"{v}_open"), F.col("goal").alias(f"{v}_goal")) for v in "ab")
+    sought = (F.col("a_open") & F.col("b_goal")) | (F.col("b_open") & F.col("a_goal"))
+    return one.join(two, (F.col("a_g") == F.col("b_g")) & (F.col("a") < F.col("b")) & sought).select("a", "b").distinct()
 
 
 def residual_groups(measured: DataFrame) -> DataFrame:
-    """(g, set_no, open): the sets that share an element outside their pivot, one of the rarest for those that are open there."""
-    some = measured.filter(~F.col("linked") & (F.col("d") > 0)).select("c").distinct()
-    rows = measured.join(some, "c", "left_semi").select(
-        "c", "u", "d", (~F.col("linked") & (F.col("d") > 0)).alias("open"), F.explode("rest").alias("e")
-    )
-    shared = rows.groupBy("c", "e").agg(F.count("*").alias("often"), F.max("open").alias("any")).filter("often > 1 and any").drop("any")
+    """(g, set_no, open, goal): the sets that share an element outside their pivot, one of the rarest for those that are open."""
+    seeks = F.col("open") & ~F.col("linked")
+    some = measured.filter(seeks).select("c").distinct()
+    rows = measured.filter(seeks | F.col("goal")).join(some, "c", "left_semi").select("c", "u", "d", seeks.alias("open"), "goal", F.explode("rest").alias("e"))
+    shared = rows.groupBy("c", "e").agg(F.count("*").alias("often"), F.max("open").alias("any"), F.max("goal").alias("all")).filter("often > 1 and any and all")
     own = Window.partitionBy("c", "u")
-    ranked = rows.join(shared, ["c", "e"]).select(
+    ranked = rows.join(shared.select("c", "e", "often"), ["c", "e"]).select(
         "*", F.count("*").over(own).alias("n"), F.row_number().over(own.orderBy("often", "e")).alias("at")
     )
-    # What stands alone is rarer still: it comes first in the order, and gives no partner.
-    return ranked.filter("not open or at <= n - d + 1").select(F.xxhash64("c", "e").alias("g"), F.col("u").alias("set_no"), "open")
+    # What stands alone is rarer still: it comes first in the order, and gives no partner. Who is only sought stays under all.
+    early = F.col("at") <= F.col("n") - F.col("d") + 1
+    placed = ranked.select(F.xxhash64("c", "e").alias("g"), F.col("u").alias("set_no"), (F.col("open") & early).alias("open"), "goal").filter("open or goal")
+    return placed.groupBy("g", "set_no").agg(F.max("open").alias("open"), F.max("goal").alias("goal"))
 
 
-def group_links(groups: DataFrame, sets: DataFrame, percent: int, small: int = 8, rounds: int = 3) -> DataFrame:
-    """Links (a, b) that connect all sets of ``groups`` (g, set_no) that similar pairs within a group connect.
+def loose_groups(groups: DataFrame, heads: DataFrame, measured: DataFrame) -> DataFrame:
+    """(g, set_no, open, goal) of groups in which open sets may have small partners that lie in the pivot: these sets and such partners."""
+    loose = measured.filter("open and not linked and bound > 0").select(F.col("u").alias("set_no"), "c", "bound")
+    placed = groups.join(heads.select("g", "c"), "g")
+    seeking = placed.join(loose, ["set_no", "c"]).select("g", "set_no", "size", "bound")
+    limits = seeking.groupBy("g").agg(F.max("bound").alias("limit"))
+    held = placed.filter("goal").join(measured.filter("held").select(F.col("u").alias("set_no"), "c"), ["set_no", "c"], "left_semi")
+    held = held.join(limits, "g").filter(F.col("size") <= F.col("limit")).select("g", "set_no", F.lit(False).alias("open"), F.lit(True).alias("goal"))
+    both = seeking.select("g", "set_no", F.lit(True).alias("open"), F.lit(False).alias("goal")).unionByName(held)
+    return both.groupBy("g", "set_no").agg(F.max("open").alias("open"), F.max("goal").alias("goal"))
+
+
+def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The pairs (a, b) that ``labels`` does not connect yet."""
+    of_a, of_b = (labels.select(F.col("node").alias(v), F.col("label").alias(f"{v}_label")) for v in "ab")
+    open_ = pairs.join(of_a, "a", "left").join(of_b, "b", "left")
+    return open_.filter(F.coalesce("a_label", "a") != F.coalesce("b_label", "b")).select("a", "b")
+
+
+def group_links(groups: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int, small: int = 8, rounds: int = 3) -> DataFrame:
+    """Links (a, b) that connect all sets which the similar ones of ``pairs`` (a, b) and similar pairs within ``groups`` (g, set_no) connect.
 
     ``sets`` holds (set_no, size, members, central) of each. A group may hold any
     number of sets: it is never brought into one task. Two different groups may
-    by accident have one g; that only adds candidates. No groups, no links.
+    by accident have one g; that only adds candidates. No groups, no pairs: no links.
     """
     about = sets.select("set_no", "size", "central")
-    groups = groups.select("g", "set_no", F.lit(True).alias("open"), F.lit(False).alias("least"))
-    links, pairs = [], []
+    yes, no = F.lit(True), F.lit(False)
+    groups = groups.select("g", "set_no", yes.alias("open"), yes.alias("goal"), no.alias("least"))
+    links, every = [], [pairs.select("a", "b")]
     for turn in range(rounds + 1):
         groups = materialize(groups.join(about, "set_no"), "family-groups")
         first = F.struct(F.when(F.col("least"), -F.col("size")).otherwise(F.col("central")), -F.col("set_no"))
-        heads = groups.groupBy("g").agg(F.count("*").alias("n"), F.max("open").alias("any"), F.min("size").alias("low"), F.max_by("set_no", first).alias("c"))
-        heads = materialize(heads.filter("n > 1 and any"), "family-heads")
+        # Where the smallest is the pivot, that is the smallest of those sought.
+        heads = groups.groupBy("g").agg(
+            F.count("*").alias("n"), F.max("open").alias("any"), F.max("goal").alias("all"),
+            F.min(F.when(F.col("goal"), F.col("size"))).alias("low"), F.max_by("set_no", F.when(F.col("goal"), first)).alias("c"),
+        )
+        heads = materialize(heads.filter("n > 1 and any and all"), "family-heads")
         few = heads if turn == rounds else heads.filter(F.col("n") <= small)
-        pairs.append(group_pairs(groups.join(few.select("g"), "g", "left_semi")))
+        every.append(group_pairs(groups.join(few.select("g"), "g", "left_semi")))
         large = heads.filter(F.col("n") > small).select("g", "low", "c")
         if turn == rounds or not large.head(1):
             break
-        rays = groups.join(large, "g").filter("set_no != c").groupBy(F.col("set_no").alias("u"), "c").agg(F.min("low").alias("low"))
+        rays = (
+            groups.join(large, "g").filter("set_no != c").groupBy(F.col("set_no").alias("u"), "c")
+            .agg(F.min("low").alias("low"), F.max("open").alias("open"), F.max("goal").alias("goal"))
+        )
         measured = materialize(stars(rays, sets, percent), "family-stars")
         links.append(measured.filter("linked").select(F.col("u").alias("a"), F.col("c").alias("b")))
-        loose = measured.filter("not linked and d <= 0").select(F.col("u").alias("set_no"), "c").distinct()
-        again = groups.join(large.select("g", "c"), "g").join(loose, ["set_no", "c"], "left_semi").select("g").distinct()
-        again = groups.join(again, "g", "left_semi").select("g", "set_no", "open", F.lit(True).alias("least"))
-        rest = residual_groups(measured).groupBy("g", "set_no").agg(F.max("open").alias("open"))
-        groups = rest.select("g", "set_no", "open", F.lit(False).alias("least")).unionByName(again)
-    found = pairs[0]
-    for more in pairs[1:]:
-        found = found.unionByName(more)
-    found = verified(found.distinct(), sets, percent)
-    for more in links:
+        groups = residual_groups(measured).withColumn("least", no).unionByName(loose_groups(groups, large, measured).withColumn("least", yes))
+    known = links[0] if links else None
+    for more in links[1:]:
+        known = known.unionByName(more)
+    found = every[0]
+    for more in every[1:]:
         found = found.unionByName(more)
-    return found
+    found = found.distinct()
+    if known is None:
+        return verified(found, sets, percent)
+    known = materialize(known, "family-links")
+    return verified(apart(found, connected_components(known)), sets, percent).unionByName(known)

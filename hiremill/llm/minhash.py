@@ -40,8 +40,8 @@ from pyspark.sql import functions as F
 
 from hiremill.llm.common import table
 from hiremill.llm.components import connected_components
-from hiremill.llm.families import group_links, group_pairs, verified
-from hiremill.llm.jaccard import mix, shingle_set
+from hiremill.llm.families import group_links, group_pairs
+from hiremill.llm.shingles import Shingler, binary_texts, mix
 from hiremill.session import materialize
 
 WORDS = 4
@@ -76,19 +76,14 @@ def set_key(s: np.ndarray) -> bytes:
     return hashlib.md5(s.tobytes()).digest()
 
 
-def texts_of(batch: pa.RecordBatch):
-    return (x.as_py() for x in batch.column("text"))
-
-
 def signed_documents(docs: DataFrame, words: int, coordinates: int, id_col: str) -> DataFrame:
     """(doc_id, n_shingles, key, signature): the signature once for every set and task."""
 
     def run(batches):
-        signature, seen = signer(coordinates), set()
+        signature, shingler, seen = signer(coordinates), Shingler(words), set()
         for batch in batches:
             sizes, keys, signs = [], [], []
-            for text in texts_of(batch):
-                s = shingle_set(text, words)
+            for s in shingler.sets(binary_texts(batch.column("text"))):
                 key = set_key(s) if len(s) else None
                 sizes.append(len(s))
                 keys.append(key)
@@ -102,7 +97,7 @@ def signed_documents(docs: DataFrame, words: int, coordinates: int, id_col: str)
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), "text").mapInArrow(run, f"doc_id {kind}, n_shingles long, key binary, signature array<bigint>")
+    return docs.select(F.col(id_col).alias("doc_id"), F.col("text").cast("binary").alias("text")).mapInArrow(run, f"doc_id {kind}, n_shingles long, key binary, signature array<bigint>")
 
 
 def prefix_postings(sets: DataFrame, matches: int) -> DataFrame:
@@ -160,11 +155,10 @@ def with_set_members(docs: DataFrame, wanted: DataFrame, words: int) -> DataFram
     held = docs.sparkSession.sparkContext.broadcast(filled)
 
     def run(batches):
-        filter_words, seen = np.frombuffer(held.value, dtype=np.uint32), set()
+        filter_words, shingler, seen = np.frombuffer(held.value, dtype=np.uint32), Shingler(words), set()
         for batch in batches:
             keys, members = [], []
-            for text in texts_of(batch):
-                s = shingle_set(text, words)
+            for s in shingler.sets(binary_texts(batch.column("text"))):
                 key = set_key(s) if len(s) else b"\0" * 4
                 slot = int.from_bytes(key[:4], "big") % bits
                 if len(s) and key not in seen and filter_words[slot // 32] >> np.uint32(slot % 32) & np.uint32(1):
@@ -175,7 +169,7 @@ def with_set_members(docs: DataFrame, wanted: DataFrame, words: int) -> DataFram
                         seen.clear()
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(members, pa.binary())], ["key", "members"])
 
-    found = docs.select("text").mapInArrow(run, "key binary, members binary").join(wanted.select("key"), "key", "left_semi")
+    found = docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, "key binary, members binary").join(wanted.select("key"), "key", "left_semi")
     return wanted.join(found.groupBy("key").agg(F.first("members").alias("members")), "key")
 
 
@@ -185,14 +179,14 @@ def minhash_links(docs: DataFrame, signed: DataFrame, words: int, percent: int,
     sets = materialize(first.withColumn("set_no", F.monotonically_increasing_id()), "minhash-sets")
     postings = materialize(prefix_postings(sets, matches).join(sets.select("set_no", "size"), "set_no"), "minhash-postings")
     groups = materialize(size_groups(postings, percent), "minhash-groups")
-    small_groups = groups.filter(F.col("n") <= small).select("g", "set_no", F.lit(True).alias("open"))
+    small_groups = groups.filter(F.col("n") <= small).select("g", "set_no", F.lit(True).alias("open"), F.lit(True).alias("goal"))
     pairs = materialize(colliding(group_pairs(small_groups), sets, matches), "minhash-pairs")
     large = groups.filter(F.col("n") > small).select("g", "set_no")
     central = postings.groupBy("set_no").agg(F.first("central").alias("central"))
     in_play = pairs.select(F.col("a").alias("set_no")).unionByName(pairs.select(F.col("b").alias("set_no"))).unionByName(large.select("set_no")).distinct()
     wanted = materialize(sets.select("set_no", "key", "size").join(in_play, "set_no", "left_semi").join(central, "set_no"), "minhash-wanted")
     members = materialize(with_set_members(docs, wanted, words), "minhash-members")
-    return sets.select("set_no", "key"), verified(pairs, members, percent).unionByName(group_links(large, members, percent, small))
+    return sets.select("set_no", "key"), group_links(large, pairs, members, percent, small)
 
 
 def minhash_components(
