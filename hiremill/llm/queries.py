@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from hiremill.llm.alignment import op11_alignment
 from hiremill.llm.jaccard import op9_ngram_jaccard
 from hiremill.llm.language import op10_language_id
 from hiremill.llm.line_dedup import OP4_SQL, op4_line_dedup
@@ -25,6 +26,7 @@ QUERIES = {
     "op8_toxicity": op8_toxicity,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_language_id": op10_language_id,
+    "op11_alignment": op11_alignment,
     "op13_minhash": op13_minhash,
 }
 
