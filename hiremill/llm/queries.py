@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from hiremill.llm.alignment import op11_alignment
+from hiremill.llm.divergence import OP12_SQL, op12_divergence
 from hiremill.llm.jaccard import op9_ngram_jaccard
 from hiremill.llm.language import op10_language_id
 from hiremill.llm.line_dedup import OP4_SQL, op4_line_dedup
@@ -27,7 +28,8 @@ QUERIES = {
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_language_id": op10_language_id,
     "op11_alignment": op11_alignment,
+    "op12_divergence": op12_divergence,
     "op13_minhash": op13_minhash,
 }
 
-ORACLES: dict[str, str] = {"op4_line_dedup": OP4_SQL, "op6_exact_topk": OP6_SQL}
+ORACLES: dict[str, str] = {"op4_line_dedup": OP4_SQL, "op6_exact_topk": OP6_SQL, "op12_divergence": OP12_SQL}
