@@ -1,40 +1,36 @@
 """Links inside large groups of similar sets, without all pairs of a group.
 
 A *group* says that any two of its sets may link: at least ``percent`` / 100 of
-their union in both. Groups of up to ``small`` sets give their pairs. In a larger one
-every set is measured against a *pivot*, the set most of whose marks are common
-(the middle of a family of copies); what links with it is in one component.
-
-Let u not link with the pivot c. A partner x of u has at least
-need = percent (|u| + |x|) / (100 + percent) elements in common with u, of which at
-most |u & c| lie in c. So u and x share d = need - |u & c| or more elements outside c,
-with the least size that x can have in the group. If d > 0, they share one of the
-|u - c| - d + 1 elements of u outside c that are rarest there, and the elements
-outside c give new, far smaller groups: what copies have in common lies in c.
-
-If d <= 0 (u is *loose*), the same holds for partners larger than
-limit = |u & c| (100 + percent) / percent - |u|, and they are sought like that.
-A smaller partner x in turn finds its larger ones, u among them, unless it has
-2 percent / (100 + percent) of itself in c. Only such contained sets x, of at most the limit's size, are
-left for u; they and the loose sets are a group again, with its smallest set as the
-pivot: then |x| >= |c|, and not to link with c means d > 0 always.
-
-Groups that are still large after ``rounds`` give the pairs of their open sets with those they seek:
-only texts at the threshold to most of their family are left. Pairs that
-the links so far connect are not measured. So no link between components is lost.
+their union in both, which is to differ in at most
+H = (|u| + |x|) (100 - percent) / (100 + percent) elements. Groups of up to ``small`` sets
+give their pairs. In a larger one every set u is measured against a *pivot* c, the set
+whose marks are most common (the middle of a family of copies); what links with it is in
+one component. For the rest the sets are seen from the pivot: let U be the
+elements that are in u or in c, but not in both. Then u and x differ exactly where U and X
+do, so if u and x link, U and X have at least D = (|U| + |X| - H) / 2 elements in common. If
+u does not link with c, D is positive for every x: |U| > H(u, c), and |X| is at
+least the difference of x and c in size, by which H grows far less.
+
+So links to a set that is open (not linked to the pivot) show in a shared element of its
+difference from the pivot. What the family has in common is gone there; what is left are a copy's own
+changes, and of these the rarest stand first: by the prefix filter, the smaller of U and X has a common
+element among its first |U| - D' + 1, with the D' of a partner of its own size, and the
+larger among its first H + 1. Elements too late in both orders for D common ones to follow give no
+pair. A list of over ``long`` sets that share an element is a group again, with a pivot of its own. After ``rounds``
+only texts at the threshold to most of a family are left, and lists give their pairs at any length.
+No link between components is lost, and each is measured on the whole sets.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hiremill.llm.components import connected_components
 from hiremill.session import materialize
 
-STAR = "u long, c long, open boolean, goal boolean, linked boolean, d long, held boolean, bound long, rest array<bigint>"
+STAR = "u long, c long, size long, linked boolean, apart array<bigint>"
 
 
 def inside(x: np.ndarray, y: np.ndarray) -> np.ndarray:
@@ -48,6 +44,11 @@ def similar(both: int, a: int, b: int, percent: int) -> bool:
     return 100 * both >= percent * (a + b - both)
 
 
+def most_apart(total: Column, percent: int) -> Column:
+    """H: in how many elements two similar sets of so many elements together differ at most."""
+    return total - 2 * F.ceil(percent * total / (100 + percent))
+
+
 def with_members(pairs: DataFrame, a: str, b: str, sets: DataFrame) -> DataFrame:
     """``pairs`` with the members of both sides as x and y."""
     x, y = (sets.select(F.col("set_no").alias(f"{v}_no"), F.col("members").alias(v)) for v in "xy")
@@ -70,124 +71,101 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def stars(rays: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Each (u, c, low, open, goal) measured.
-
-    ``linked``; ``d`` elements at least that a partner shares with u outside c, of partners over ``bound`` only where
-    some are loose (bound is 0 elsewhere); ``held``: u lies so far in c that it does not find its larger partners; ``rest``: u outside c.
-    """
+    """Each (u, c) measured: whether it links, and what is in one of both only."""
 
     def run(batches):
         for batch in batches:
-            rows, rests = [], []
-            low, x, y = batch.column("low"), batch.column("x"), batch.column("y")
+            sizes, linked, apart = [], [], []
+            x, y = batch.column("x"), batch.column("y")
             for i in range(batch.num_rows):
                 u, c = (np.frombuffer(side[i].as_buffer(), dtype=np.uint64) for side in (x, y))
                 hit = inside(u, c)
-                both, size, all_ = int(hit.sum()), len(u), 100 + percent
-                least = max(low[i].as_py(), -(-percent * size // 100))
-                need, bound = -(-percent * (size + least) // all_), 0
-                if need <= both:  # loose: the least size at which a partner shares something outside c
-                    bound = both * all_ // percent - size
-                    need = -(-percent * (size + bound + 1) // all_)
-                held = -(-2 * percent * size // all_) <= both
-                rows.append((similar(both, size, len(c), percent), need - both, held, bound))
-                rests.append(u[~hit].view(np.int64))
-            linked, d, held, bound = zip(*rows) if rows else ((),) * 4
-            ends = np.cumsum([0, *map(len, rests)]).astype(np.int32)
-            rest = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *rests])))
+                sizes.append(len(u))
+                linked.append(similar(int(hit.sum()), len(u), len(c), percent))
+                apart.append(np.concatenate([u[~hit], c[~inside(c, u)]]).view(np.int64))
+            ends = np.cumsum([0, *map(len, apart)]).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.zeros(0, np.int64), *apart])))
             yield pa.RecordBatch.from_arrays(
-                [
-                    *(batch.column(k) for k in ("u", "c", "open", "goal")), pa.array(linked, pa.bool_()), pa.array(d, pa.int64()),
-                    pa.array(held, pa.bool_()), pa.array(bound, pa.int64()), rest,
-                ],
-                ["u", "c", "open", "goal", "linked", "d", "held", "bound", "rest"],
-            )
+                [batch.column("u"), batch.column("c"), pa.array(sizes, pa.int64()), pa.array(linked, pa.bool_()), lists], ["u", "c", "size", "linked", "apart"]
+            )
 
-    return with_members(rays, "u", "c", sets).select("u", "c", "low", "open", "goal", "x", "y").mapInArrow(run, STAR)
+    return with_members(rays, "u", "c", sets).select("u", "c", "x", "y").mapInArrow(run, STAR)
 
 
 def group_pairs(groups: DataFrame) -> DataFrame:
-    """The pairs a < b of each group of which one is open and the other sought."""
-    one, two = (groups.select(F.col("g").alias(f"{v}_g"), F.col("set_no").alias(v), F.col("open").alias(f"{v}_open"), F.col("goal").alias(f"{v}_goal")) for v in "ab")
-    sought = (F.col("a_open") & F.col("b_goal")) | (F.col("b_open") & F.col("a_goal"))
-    return one.join(two, (F.col("a_g") == F.col("b_g")) & (F.col("a") < F.col("b")) & sought).select("a", "b").distinct()
-
-
-def residual_groups(measured: DataFrame) -> DataFrame:
-    """(g, set_no, open, goal): the sets that share an element outside their pivot, one of the rarest for those that are open."""
-    seeks = F.col("open") & ~F.col("linked")
-    some = measured.filter(seeks).select("c").distinct()
-    rows = measured.filter(seeks | F.col("goal")).join(some, "c", "left_semi").select("c", "u", "d", seeks.alias("open"), "goal", F.explode("rest").alias("e"))
-    shared = rows.groupBy("c", "e").agg(F.count("*").alias("often"), F.max("open").alias("any"), F.max("goal").alias("all")).filter("often > 1 and any and all")
-    own = Window.partitionBy("c", "u")
-    ranked = rows.join(shared.select("c", "e", "often"), ["c", "e"]).select(
-        "*", F.count("*").over(own).alias("n"), F.row_number().over(own.orderBy("often", "e")).alias("at")
-    )
-    # What stands alone is rarer still: it comes first in the order, and gives no partner. Who is only sought stays under all.
-    early = F.col("at") <= F.col("n") - F.col("d") + 1
-    placed = ranked.select(F.xxhash64("c", "e").alias("g"), F.col("u").alias("set_no"), (F.col("open") & early).alias("open"), "goal").filter("open or goal")
-    return placed.groupBy("g", "set_no").agg(F.max("open").alias("open"), F.max("goal").alias("goal"))
+    """The pairs a < b of each group (g, set_no, open) with an open set."""
+    one, two = (groups.select(F.col("g").alias(f"{v}_g"), F.col("set_no").alias(v), F.col("open").alias(f"{v}_open")) for v in "ab")
+    return one.join(two, (F.col("a_g") == F.col("b_g")) & (F.col("a") < F.col("b")) & (F.col("a_open") | F.col("b_open"))).select("a", "b").distinct()
 
 
-def loose_groups(groups: DataFrame, heads: DataFrame, measured: DataFrame) -> DataFrame:
-    """(g, set_no, open, goal) of groups in which open sets may have small partners that lie in the pivot: these sets and such partners."""
-    loose = measured.filter("open and not linked and bound > 0").select(F.col("u").alias("set_no"), "c", "bound")
-    placed = groups.join(heads.select("g", "c"), "g")
-    seeking = placed.join(loose, ["set_no", "c"]).select("g", "set_no", "size", "bound")
-    limits = seeking.groupBy("g").agg(F.max("bound").alias("limit"))
-    held = placed.filter("goal").join(measured.filter("held").select(F.col("u").alias("set_no"), "c"), ["set_no", "c"], "left_semi")
-    held = held.join(limits, "g").filter(F.col("size") <= F.col("limit")).select("g", "set_no", F.lit(False).alias("open"), F.lit(True).alias("goal"))
-    both = seeking.select("g", "set_no", F.lit(True).alias("open"), F.lit(False).alias("goal")).unionByName(held)
-    return both.groupBy("g", "set_no").agg(F.max("open").alias("open"), F.max("goal").alias("goal"))
+def difference_postings(measured: DataFrame, percent: int) -> DataFrame:
+    """(g, set_no, open, size, n, at, first): each set under the rarest elements of its difference from the pivot.
 
+    ``n`` is the size of the difference, ``at`` the element's place in it from 1, and ``first`` says that the place is early enough for the smaller of two.
+    """
+    some = measured.filter("not linked").select("c").distinct()
+    rows = measured.join(some, "c", "left_semi").select(
+        "c", "u", "size", F.size("apart").cast("long").alias("n"), (~F.col("linked")).alias("open"), F.explode("apart").alias("e")
+    )
+    shared = rows.groupBy("c", "e").agg(F.count("*").alias("often"), F.max("open").alias("any")).filter("often > 1 and any").drop("any")
+    own = Window.partitionBy("c", "u")
+    ranked = rows.join(shared, ["c", "e"]).select(
+        "*", (F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("often", "e"))).alias("at")  # what stands alone is rarer: it comes first
+    )
+    apart = most_apart(F.col("size") + F.floor(F.col("size") * 100 / percent), percent)
+    placed = ranked.select(
+        F.xxhash64("c", "e").alias("g"), F.col("u").alias("set_no"), "open", "size", "n", "at",
+        (F.col("at") <= F.least("n", F.col("n") - F.ceil((2 * F.col("n") - apart) / 2) + 1)).alias("first"), apart.alias("apart"),
+    )
+    return placed.filter(F.col("at") <= F.col("apart") + 1).drop("apart")
 
-def apart(pairs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The pairs (a, b) that ``labels`` does not connect yet."""
-    of_a, of_b = (labels.select(F.col("node").alias(v), F.col("label").alias(f"{v}_label")) for v in "ab")
-    open_ = pairs.join(of_a, "a", "left").join(of_b, "b", "left")
-    return open_.filter(F.coalesce("a_label", "a") != F.coalesce("b_label", "b")).select("a", "b")
 
+def difference_pairs(postings: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) of the lists that can have enough in common from the element on."""
+    a, b = (postings.select(*[F.col(c).alias(f"{v}_{c}") for c in postings.columns]) for v in "ab")
+    ordered = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_set_no") < F.col("b_set_no")))
+    need = F.ceil((F.col("a_n") + F.col("b_n") - most_apart(F.col("a_size") + F.col("b_size"), percent)) / 2)
+    room = 1 + F.least(F.col("a_n") - F.col("a_at"), F.col("b_n") - F.col("b_at"))
+    met = (F.col("a_g") == F.col("b_g")) & F.col("a_first") & ordered & (F.col("a_open") | F.col("b_open")) & (room >= need)
+    return a.join(b, met).select(F.col("a_set_no").alias("a"), F.col("b_set_no").alias("b")).distinct()
 
-def group_links(groups: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int, small: int = 8, rounds: int = 3) -> DataFrame:
+
+def group_links(groups: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int, small: int = 8, long: int = 1000, rounds: int = 3) -> DataFrame:
     """Links (a, b) that connect all sets which the similar ones of ``pairs`` (a, b) and similar pairs within ``groups`` (g, set_no) connect.
 
     ``sets`` holds (set_no, size, members, central) of each. A group may hold any
     number of sets: it is never brought into one task. Two different groups may
     by accident have one g; that only adds candidates. No groups, no pairs: no links.
     """
-    about = sets.select("set_no", "size", "central")
-    yes, no = F.lit(True), F.lit(False)
-    groups = groups.select("g", "set_no", yes.alias("open"), yes.alias("goal"), no.alias("least"))
+    central = sets.select("set_no", "central")
+    groups = groups.select("g", "set_no", F.lit(True).alias("open"))
     links, every = [], [pairs.select("a", "b")]
-    for turn in range(rounds + 1):
-        groups = materialize(groups.join(about, "set_no"), "family-groups")
-        first = F.struct(F.when(F.col("least"), -F.col("size")).otherwise(F.col("central")), -F.col("set_no"))
-        # Where the smallest is the pivot, that is the smallest of those sought.
-        heads = groups.groupBy("g").agg(
-            F.count("*").alias("n"), F.max("open").alias("any"), F.max("goal").alias("all"),
-            F.min(F.when(F.col("goal"), F.col("size"))).alias("low"), F.max_by("set_no", F.when(F.col("goal"), first)).alias("c"),
+    least = small
+    for turn in range(rounds):
+        heads = groups.join(central, "set_no").groupBy("g").agg(
+            F.count("*").alias("n"), F.max("open").alias("any"), F.max_by("set_no", F.struct("central", -F.col("set_no"))).alias("c")
         )
-        heads = materialize(heads.filter("n > 1 and any and all"), "family-heads")
-        few = heads if turn == rounds else heads.filter(F.col("n") <= small)
-        every.append(group_pairs(groups.join(few.select("g"), "g", "left_semi")))
-        large = heads.filter(F.col("n") > small).select("g", "low", "c")
-        if turn == rounds or not large.head(1):
+        heads = materialize(heads.filter("n > 1 and any"), "family-heads")
+        if least == small:
+            every.append(group_pairs(groups.join(heads.filter(F.col("n") <= small).select("g"), "g", "left_semi")))
+        large = heads.filter(F.col("n") > least)
+        if not large.head(1):
             break
-        rays = (
-            groups.join(large, "g").filter("set_no != c").groupBy(F.col("set_no").alias("u"), "c")
-            .agg(F.min("low").alias("low"), F.max("open").alias("open"), F.max("goal").alias("goal"))
-        )
+        rays = groups.join(large.select("g", "c"), "g").filter("set_no != c").select(F.col("set_no").alias("u"), "c").distinct()
         measured = materialize(stars(rays, sets, percent), "family-stars")
         links.append(measured.filter("linked").select(F.col("u").alias("a"), F.col("c").alias("b")))
-        groups = residual_groups(measured).withColumn("least", no).unionByName(loose_groups(groups, large, measured).withColumn("least", yes))
-    known = links[0] if links else None
-    for more in links[1:]:
-        known = known.unionByName(more)
+        postings = materialize(difference_postings(measured, percent), "family-differences")
+        lists = postings.groupBy("g").agg(F.count("*").alias("n"))
+        least = long
+        if turn + 1 < rounds:
+            every.append(difference_pairs(postings.join(lists.filter(F.col("n") <= long).select("g"), "g", "left_semi"), percent))
+            groups = materialize(postings.join(lists.filter(F.col("n") > long).select("g"), "g", "left_semi").select("g", "set_no", "open"), "family-groups")
+        else:
+            every.append(difference_pairs(postings, percent))
     found = every[0]
     for more in every[1:]:
         found = found.unionByName(more)
-    found = found.distinct()
-    if known is None:
-        return verified(found, sets, percent)
-    known = materialize(known, "family-links")
-    return verified(apart(found, connected_components(known)), sets, percent).unionByName(known)
+    found = verified(found.distinct(), sets, percent)
+    for more in links:
+        found = found.unionByName(more)
+    return found

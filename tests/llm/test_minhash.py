@@ -85,8 +85,8 @@ def test_groups_without_a_middle(spark):
     none = spark.createDataFrame([], "a long, b long")
     from hiremill.llm.components import connected_components
 
-    for rounds in (1, 3):
-        labels = {r.node: r.label for r in connected_components(group_links(groups, none, table, 80, small=2, rounds=rounds)).collect()}
+    for rounds, long in ((1, 5), (3, 5), (2, 100)):
+        labels = {r.node: r.label for r in connected_components(group_links(groups, none, table, 80, small=2, long=long, rounds=rounds)).collect()}
         parent = list(range(60))
         for i in range(60):
             for j in range(i):
