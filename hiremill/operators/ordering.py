@@ -1,17 +1,15 @@
-"""Order over a whole table without sorting it in one task.
-
-Rows are cut into chunks that follow the order of a key. The cut points come
-from a sample picked by hash, so every evaluation and every retried task agrees
-on them. The sample only places the cuts; all rows are numbered.
-"""
+"""Order over a whole table without sorting it in one task, and chunks of a hot key's records."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hiremill.session import materialize
+
 SAMPLES_PER_CHUNK = 16
-ROWS_PER_CHUNK = 100_000
+#: Spark's row ids hold the partition from this bit on, and the row's place in it below.
+PLACE_BITS = 33
 
 
 # A key is first placed among every 16th cut point, then among the 16 that follow it.
@@ -39,39 +37,27 @@ def chunk_of(key: Column, table: Column) -> Column:
     return passed + below(F.slice(table["cuts"], passed + 1, CUTS_PER_GROUP))
 
 
-def cut_points(df: DataFrame, key: Column, chunks: int) -> Column:
-    """The cut table for about ``chunks`` even chunks of ``key``, as a scalar subquery.
-
-    The sample is the ``16 * chunks`` keys of smallest hash (a bounded top-k).
-    """
-    keyed = df.select(key.alias("k"))
-    sample = keyed.orderBy(F.xxhash64("k"), "k").limit(SAMPLES_PER_CHUNK * chunks)
-    return sample.agg(cut_table(F.collect_list("k"))).scalar()
-
-
 def number_rows(df: DataFrame, *order: Column | str, name: str = "row_index", chunks: int | None = None) -> DataFrame:
     """Add the 0-based position of each row in the order of ``order`` (a unique key).
 
-    Chunks are sorted in parallel; the start of a chunk is the row count of the
-    chunks before it. The rows are counted first, for chunks of about
-    ``ROWS_PER_CHUNK``. The only single-task window runs over the chunk counts, a
-    hundred-thousandth of the rows.
+    Spark's range partitioner deals the rows out, each partition is sorted where it is and
+    written, so its boundaries are drawn once; a row's position is its place in its partition
+    plus the row counts of the partitions before. Only these counts meet in one task.
+    ``chunks`` fixes the number of partitions; else it is that of any shuffle, small ones joined.
     """
-    if chunks is None:
-        chunks = max(1, -(-df.count() // ROWS_PER_CHUNK))
-    parts = [(F.col(c) if isinstance(c, str) else c).alias(f"k{i}") for i, c in enumerate(order)]
-    key = parts[0] if len(parts) == 1 else F.struct(*parts)
-    placed = df.withColumns({"_key": key, "_cuts": cut_points(df, key, chunks)})
-    chunked = placed.withColumn("_chunk", chunk_of(F.col("_key"), F.col("_cuts"))).drop("_cuts")
-    before = Window.orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    keys = [(F.col(c) if isinstance(c, str) else c).alias(f"_k{i}") for i, c in enumerate(order)]
+    names = [f"_k{i}" for i in range(len(keys))]
+    keyed = df.select("*", *keys)
+    dealt = keyed.repartitionByRange(chunks, *names) if chunks else keyed.repartitionByRange(*names)
+    sorted_rows = dealt.sortWithinPartitions(*names).drop(*names).withColumn("_id", F.monotonically_increasing_id())
+    placed = materialize(sorted_rows, "ordered").select(
+        "*", F.shiftright("_id", PLACE_BITS).alias("_part"), F.col("_id").bitwiseAND(F.lit((1 << PLACE_BITS) - 1)).alias("_place")
+    )
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
-        chunked.groupBy("_chunk")
+        placed.groupBy("_part")
         .agg(F.count("*").alias("_rows"))
-        .select("_chunk", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
-    )
-    within = F.row_number().over(Window.partitionBy("_chunk").orderBy("_key"))
-    return (
-        chunked.join(starts, "_chunk")
-        .withColumn(name, F.col("_start") + within - 1)
-        .drop("_key", "_chunk", "_start")
+        .select(F.col("_part").alias("_of"), F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start"))
     )
+    numbered = placed.join(starts, F.col("_part") == F.col("_of"))
+    return numbered.withColumn(name, F.col("_start") + F.col("_place")).drop("_id", "_part", "_place", "_of", "_start")

@@ -97,21 +97,30 @@ def tag_prompts(batches: DataFrame, chars: int = PROMPT_CHARS) -> DataFrame:
     return grouped.select("batch_id", F.concat(F.lit(TAG_PROMPT), body).alias("prompt"))
 
 
+def attempt(model: Model, prompt: str, check: Callable[[object], bool]) -> tuple[int, str | None, str | None]:
+    """One call: ``(tokens, answer, error)``; tokens count even if the answer is no use."""
+    tokens = 0
+    try:
+        answer, reported = model(prompt)
+        tokens = reported if reported is not None else len(prompt.split()) * 4
+        parsed = json.loads(answer)
+        if not check(parsed):
+            raise ValueError("answer has the wrong form")
+        return tokens, json.dumps(parsed, ensure_ascii=False), None
+    except Exception as exc:  # a failed call must not end the job
+        return tokens, None, f"{type(exc).__name__}: {exc}"
+
+
 def _ask(model: Model, prompt: str, check: Callable[[object], bool], wait: float) -> tuple[int, int, str | None, str | None]:
-    """Up to three attempts; tokens of an attempt count even if its answer is no use."""
+    """Up to three attempts."""
     tokens, error = 0, None
-    for attempt in range(1, MAX_ATTEMPTS + 1):
-        try:
-            answer, reported = model(prompt)
-            tokens += reported if reported is not None else len(prompt.split()) * 4
-            parsed = json.loads(answer)
-            if not check(parsed):
-                raise ValueError("answer has the wrong form")
-            return attempt, tokens, json.dumps(parsed, ensure_ascii=False), None
-        except Exception as exc:  # a failed call must not end the job
-            error = f"{type(exc).__name__}: {exc}"
-            if attempt < MAX_ATTEMPTS and wait:
-                time.sleep(wait)
+    for number in range(1, MAX_ATTEMPTS + 1):
+        used, answer, error = attempt(model, prompt, check)
+        tokens += used
+        if error is None:
+            return number, tokens, answer, None
+        if number < MAX_ATTEMPTS and wait:
+            time.sleep(wait)
     return MAX_ATTEMPTS, tokens, None, error
 
 

@@ -294,6 +294,20 @@ _BODIES = {
             FROM (SELECT *, CAST(doc_key AS BIGINT) > (SELECT max(event_id) // 2 FROM events) AS late FROM staged)
             WINDOW w AS (PARTITION BY late, source_id ORDER BY doc_key))""",
     "arrivals_stream": FINAL.format(actions="first_actions", prior="nothing"),
+    "bucket_load": FINAL.format(actions="actions", prior="prior"),
+    "bucket_changes": "SELECT * FROM actions",
+    "bucket_profile": "SELECT source_id, content_hash, quality FROM labelled WHERE quality = 'HIGH'",
+    "stateful_actions": "SELECT * FROM actions",
+    "paced_tag_log": """SELECT batch_id, CASE WHEN low % 3 = 2 OR (low % 3 = 1 AND low % 2 = 1) THEN 1 ELSE 3 END::BIGINT AS calls,
+        CASE WHEN low % 3 = 0 THEN 0 WHEN low % 3 = 1 AND low % 2 = 0 THEN 21 ELSE 11 END::BIGINT AS tokens, 1::BIGINT AS answers,
+        low % 3 = 2 OR (low % 3 = 1 AND low % 2 = 1) AS ok, true AS in_turn
+        FROM (SELECT batch_id, min(source_id::BIGINT) AS low FROM batches GROUP BY batch_id)""",
+    "gap_counts": """SELECT resume_id, (SELECT count(*) FROM demand) - count(skill) AS gap_count
+        FROM (SELECT resume_id FROM cvs) LEFT JOIN possessed USING (resume_id) GROUP BY resume_id""",
+    "conversation_gap_counts": """SELECT conv_id, (SELECT count(*) FROM demand) - count(DISTINCT skill) AS gap_count
+        FROM resumes LEFT JOIN possessed USING (resume_id) GROUP BY conv_id""",
+    "asked_gaps": f"""SELECT resume_id, skill, demand FROM gap
+        WHERE resume_id IN (SELECT message_id FROM ({route_of("messages")}) WHERE route = 'skill_gap')""",
     "quality_split_high": "SELECT * FROM labelled WHERE quality = 'HIGH'",
     "quarantine": "SELECT * FROM labelled WHERE quality = 'LOW'",
     "quality_counts": """SELECT count(*) FILTER (quality = 'HIGH') AS high,

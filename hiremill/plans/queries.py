@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hiremill.functions import labels, skills, text
-from hiremill.operators import dashboard, decode, gaps, quality, routing, runs, silver, tagging, upsert
-from hiremill.plans import fixtures, medallion
-from hiremill.schemas import JOBS, RATE_LIMITS, conform
+from hiremill.operators import bitmaps, dashboard, decode, gaps, pacing, quality, routing, runs, silver, tagging, upsert
+from hiremill.plans import fixtures, incremental, medallion
+from hiremill.schemas import JOBS, RATE_LIMITS, SILVER, conform
 from hiremill.session import materialize, scratch_path
 from hiremill.sources import files, scripts
 from hiremill.sources.snapshots import expire_snapshots, read_snapshot, write_snapshot
-from hiremill.streaming import arrivals, messages
+from hiremill.streaming import arrivals, messages, states
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -720,3 +720,110 @@ def message_stream(spark, sf):
     out = scratch_path(spark, "routed")
     messages.route_stream(fixtures.turns_to_messages(turns), out, f"{out}-checkpoint").awaitTermination()
     return spark.read.parquet(out).select("message_id", "route")
+
+
+# --- kept up to date: buckets, state, paced calls, bitmaps ----------------------------
+
+
+def _event_parts(spark, sf, parts=2):
+    """The arriving records in ``parts`` of equal event numbers, in order."""
+    events = fixtures.event_changes(spark, sf)
+    step = fixtures.table(spark, sf, "events").agg(F.ceil((F.max("event_id") + 1) / parts).alias("step")).first()["step"]
+    part = F.floor(F.col("doc_key").cast("bigint") / step)
+    return [events.filter(part == i) for i in range(parts)]
+
+
+def _bucket_load(spark, sf):
+    """The prior jobs in buckets, the events loaded in two batches, and the second of them again."""
+    table = incremental.jobs_table(spark, scratch_path(spark, "buckets"), 16)
+    incremental.put_table(table, fixtures.prior_jobs(spark, sf), "prior")
+    first, second = _event_parts(spark, sf)
+    for name, records in (("first", first), ("second", second), ("second", second)):
+        incremental.load_batch(table, records, name)
+    return table
+
+
+@query
+def bucket_load(spark, sf):
+    return _bucket_load(spark, sf).read()
+
+
+@query
+def bucket_changes(spark, sf):
+    return _bucket_load(spark, sf).changes()
+
+
+@query
+def bucket_profile(spark, sf):
+    """Jobs labelled and split bucket by bucket: what stays."""
+    root = scratch_path(spark, "buckets")
+    table, low = (incremental.jobs_table(spark, f"{root}/{name}", 16) for name in ("jobs", "low"))
+    incremental.put_table(table, upsert.stage(fixtures.jobs(spark, sf)), "jobs")
+    incremental.label_table(table, low, "profile")
+    return table.read().select("source_id", "content_hash", "quality")
+
+
+@query
+def stateful_actions(spark, sf):
+    """Actions by a stream with keyed state: four arrivals, each a start from the checkpoint the one before left."""
+    root = scratch_path(spark, "states")
+    for part in _event_parts(spark, sf, 4):
+        part.write.mode("append").parquet(f"{root}/arrived")
+        records = arrivals.read_silver_stream(spark, f"{root}/arrived")
+        actions = states.upsert_actions_stream(records, fixtures.prior_jobs(spark, sf))
+        states.write_actions(actions, f"{root}/actions", f"{root}/checkpoint").awaitTermination()
+    return spark.read.parquet(f"{root}/actions")
+
+
+PACED_RPM = 12_000
+
+
+@query
+def paced_tag_log(spark, sf):
+    """A failing model asked at a bounded rate, in slices: half the prompts, a restart with all, and one with them laid out again."""
+    root = scratch_path(spark, "paced")
+    asked = materialize(tagging.tag_prompts(tagging.tag_batches(tagging.untagged_jobs(fixtures.postings(spark, sf)))), "prompts")
+    half = asked.agg(F.max("batch_id") / 2).scalar()
+    early = F.col("batch_id") <= half
+    for part in (asked.filter(early), asked.filter(~early), asked):
+        pacing.lay_out_prompts(part, f"{root}/prompts", slice_rows=50)
+        pacing.answer_slices(
+            spark, f"{root}/prompts", f"{root}/answers", f"{root}/checkpoint", failing_model, tagging.is_tag_answer,
+            asked.schema["batch_id"], rpm=PACED_RPM, lanes=2, retry_wait=0.01,
+        ).awaitTermination()
+    log = spark.read.parquet(f"{root}/answers")
+    in_turn = pacing.calls_in_slots(log, PACED_RPM).select(F.col("most") <= 1).scalar()
+    done = log.groupBy("batch_id").agg(
+        F.sum("attempts").alias("calls"), F.sum("tokens").alias("tokens"), F.count("*").alias("answers"), F.max(F.col("error").isNull()).alias("ok")
+    )
+    return done.withColumn("in_turn", in_turn)
+
+
+def _bitmaps(spark, sf):
+    """The ranked market, the résumés, and the bitmaps of what each lists."""
+    demand, cvs, possessed = _market(spark, sf)
+    ranked = gaps.ranked_demand(demand)
+    return ranked, cvs, materialize(bitmaps.held_bitmaps(ranked, possessed, "resume_id"), "bitmaps")
+
+
+@query
+def gap_counts(spark, sf):
+    ranked, cvs, held = _bitmaps(spark, sf)
+    return bitmaps.gap_counts(cvs, held, ranked.agg(F.count("*")).scalar(), "resume_id")
+
+
+@query
+def conversation_gap_counts(spark, sf):
+    """Of each conversation the number of skills that none of its résumés lists."""
+    ranked, cvs, held = _bitmaps(spark, sf)
+    conv = F.substring_index("resume_id", "-", 1).cast("bigint").alias("conv_id")
+    joined = bitmaps.joined_bitmaps(held.select(conv, "bucket", "held"), "conv_id")
+    return bitmaps.gap_counts(cvs.select(conv), joined, ranked.agg(F.count("*")).scalar(), "conv_id")
+
+
+@query
+def asked_gaps(spark, sf):
+    """All gaps of the résumés whose messages ask for them; none is written out for others."""
+    ranked, _, held = _bitmaps(spark, sf)
+    asking = routing.route_messages(fixtures.messages(spark, sf)).filter("route = 'skill_gap'").select(F.col("message_id").alias("resume_id"))
+    return bitmaps.written_gaps(ranked, asking, held, "resume_id").select("resume_id", "skill", "demand")
