@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 CHUNK = 1 << 20
 
@@ -43,3 +47,18 @@ def byte_chunks(text: str, overlap: int = 0) -> Iterator[np.ndarray]:
 
 def sigmoid(z):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -50.0, 50.0)))
+
+
+def map_frames(df: DataFrame, run: Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]], schema: str) -> DataFrame:
+    """``mapInPandas`` that keeps integers beside a NULL: there they are Python numbers, never floats.
+
+    ``run`` must not put such a column into a frame without ``dtype=object``.
+    """
+    fields = to_arrow_schema(StructType.fromDDL(schema))
+
+    def arrow(batches):
+        frames = (batch.to_pandas(integer_object_nulls=True) for batch in batches)
+        for frame in run(frames):
+            yield pa.RecordBatch.from_pandas(frame, schema=fields, preserve_index=False)
+
+    return df.mapInArrow(arrow, schema)

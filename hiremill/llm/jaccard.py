@@ -43,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hiremill.llm.common import table
+from hiremill.llm.common import map_frames, table
 from hiremill.llm.components import connected_components
 from hiremill.session import materialize
 
@@ -298,12 +298,12 @@ def document_sets(docs: DataFrame, flags: bytes, words: int, id_col: str) -> Dat
                 out.append((doc, len(s), key, s.tobytes() if wanted else None))
             doc, n, key, members = zip(*out) if out else ((),) * 4
             yield pd.DataFrame(  # ids of 64 bits must not pass through a float column
-                {"doc_id": doc, "n_shingles": n, "set_id": pd.array(key, dtype="Int64"), "members": pd.Series(members, dtype=object)}
+                {"doc_id": pd.Series(doc, dtype=object), "n_shingles": n, "set_id": pd.Series(key, dtype=object), "members": pd.Series(members, dtype=object)}
             )
 
     kind = docs.schema[id_col].dataType.simpleString()
     picked = docs.select(F.col(id_col).alias("doc_id"), "text")
-    return picked.mapInPandas(run, f"doc_id {kind}, n_shingles long, set_id long, members binary")
+    return map_frames(picked, run, f"doc_id {kind}, n_shingles long, set_id long, members binary")
 
 
 def measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:

@@ -46,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hiremill.llm.common import table
+from hiremill.llm.common import map_frames, table
 from hiremill.session import materialize
 
 LENGTH = 2048
@@ -160,11 +160,11 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, tex
                     start, n = at.get(source, 0), len(ids) // 4 + 1
                     at[source] = start + n
                     rows.append((pdf["doc_id"].iat[i], source, task, start, n, ids + end))
-                yield pd.DataFrame(rows, columns=["doc_id", "source", "task", "start", "n", "ids"])
+                yield pd.DataFrame(rows, columns=["doc_id", "source", "task", "start", "n", "ids"], dtype=object)
 
     kind = docs.schema[id_col].dataType.simpleString()
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(source_col).cast("string").alias("source"))
-    return picked.mapInPandas(run, f"doc_id {kind}, source string, task int, start long, n long, ids binary")
+    return map_frames(picked, run, f"doc_id {kind}, source string, task int, start long, n long, ids binary")
 
 
 class Rounds:
@@ -348,8 +348,8 @@ def pack_documents(
                 low = high
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return placed.mapInPandas(
-        run, f"doc_id {kind}, source string, start long, length long, ids binary, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
+    return map_frames(
+        placed, run, f"doc_id {kind}, source string, start long, length long, ids binary, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
     )
 
 

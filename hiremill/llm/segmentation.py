@@ -33,7 +33,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hiremill.llm.common import table
+from hiremill.llm.common import map_frames, table
 
 N_BEST = 3
 CACHE = 500_000
@@ -299,7 +299,7 @@ def encode_documents(
 
     kind = docs.schema[id_col].dataType.simpleString()
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return picked.mapInPandas(run, f"doc_id {kind}, scores array<double>, ids array<binary>")
+    return map_frames(picked, run, f"doc_id {kind}, scores array<double>, ids array<binary>")
 
 
 def decode_documents(encoded: DataFrame, model_path: str | None = None) -> DataFrame:
@@ -312,7 +312,7 @@ def decode_documents(encoded: DataFrame, model_path: str | None = None) -> DataF
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "text": [segmenter.decode(i) for i in pdf["best"]]})
 
     kind = encoded.schema["doc_id"].dataType.simpleString()
-    return encoded.select("doc_id", F.col("ids")[0].alias("best")).mapInPandas(run, f"doc_id {kind}, text string")
+    return map_frames(encoded.select("doc_id", F.col("ids")[0].alias("best")), run, f"doc_id {kind}, text string")
 
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -329,8 +329,8 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
                     best = found[0][1]
                     same = segmenter.decode(best) == (text or "").replace(SPACE, " ")
                     rows.append((doc, len(best) // 4, zlib.crc32(best), found[0][0], [s for s, _ in found], [zlib.crc32(i) for _, i in found], same))
-                yield pd.DataFrame(rows, columns=["doc_id", "n_pieces", "ids_crc32", "score", "n_best_scores", "n_best_crc32", "round_trip"])
+                yield pd.DataFrame(rows, columns=["doc_id", "n_pieces", "ids_crc32", "score", "n_best_scores", "n_best_crc32", "round_trip"], dtype=object)
 
-    return docs.mapInPandas(
-        run, "doc_id long, n_pieces long, ids_crc32 long, score double, n_best_scores array<double>, n_best_crc32 array<long>, round_trip boolean"
+    return map_frames(
+        docs, run, "doc_id long, n_pieces long, ids_crc32 long, score double, n_best_scores array<double>, n_best_crc32 array<long>, round_trip boolean"
     )

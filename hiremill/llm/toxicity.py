@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hiremill.llm.common import fold, sample_by_hash, sigmoid, table
+from hiremill.llm.common import fold, map_frames, sample_by_hash, sigmoid, table
 from hiremill.session import materialize
 
 PER_CLASS = 8000
@@ -196,8 +196,8 @@ def score_toxicity(docs: DataFrame, model: dict | None, id_col: str = "doc_id",
             yield pd.DataFrame({"doc_id": pdf["doc_id"], "score": score, "worst_start": start, "worst_end": end, "worst_score": worst})
 
     kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInPandas(
-        run, f"doc_id {kind}, score double, worst_start long, worst_end long, worst_score double"
+    return map_frames(
+        docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), run, f"doc_id {kind}, score double, worst_start long, worst_end long, worst_score double"
     )
 
 
