@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from hiremill.llm.common import byte_chunks, fold, sigmoid, table
 
 DIMS = 4096
-PER_LANGUAGE = 800
+#: Rows to fit on, of a language and in all: 6400 rows of 4096 single-precision numbers are 105 MB on the driver.
+PER_LANGUAGE, MOST_ROWS = 800, 6400
 UNKNOWN = "und"
 
 
@@ -51,15 +52,17 @@ def profiles(texts) -> np.ndarray:
 
 def linear_svm(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, rounds: int = 120) -> np.ndarray:
     """Weights and bias minimising squared hinge + L2 by accelerated gradient steps; classes weigh the same."""
-    weight = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1))
-    w = np.zeros(x.shape[1] + 1)
-    ahead, step = w.copy(), 1.0 / (4.0 + penalty)
+    # All in the type of x: weights of another would make a copy of x in every round.
+    y = y.astype(x.dtype)
+    weight = np.where(y > 0, 0.5 / max((y > 0).sum(), 1), 0.5 / max((y < 0).sum(), 1)).astype(x.dtype)
+    w = np.zeros(x.shape[1] + 1, dtype=x.dtype)
+    ahead, step = w.copy(), x.dtype.type(1.0 / (4.0 + penalty))
     for i in range(rounds):
-        slack = np.maximum(0.0, 1.0 - y * (x @ ahead[:-1] + ahead[-1]))
+        slack = np.maximum(x.dtype.type(0), 1 - y * (x @ ahead[:-1] + ahead[-1]))
         pull = weight * slack * y
-        grad = penalty * ahead - 2.0 * np.append(pull @ x, pull.sum())
+        grad = x.dtype.type(penalty) * ahead - 2 * np.append(pull @ x, pull.sum())
         new = ahead - step * grad
-        ahead = new + (i / (i + 3.0)) * (new - w)
+        ahead = new + x.dtype.type(i / (i + 3.0)) * (new - w)
         w = new
     return w
 
@@ -69,7 +72,7 @@ def one_versus_one(x: np.ndarray, y: np.ndarray, labels: list) -> dict:
     rows = []
     for a, b in pairs:
         use = np.isin(y, [labels[a], labels[b]])
-        rows.append(linear_svm(x[use], np.where(y[use] == labels[a], 1.0, -1.0)))
+        rows.append(linear_svm(x if use.all() else x[use], np.where(y[use] == labels[a], 1.0, -1.0)))
     return {"labels": list(labels), "pairs": pairs, "w": np.array(rows, dtype=np.float32).reshape(len(pairs), DIMS + 1)}
 
 
@@ -103,10 +106,11 @@ def families(centroids: np.ndarray, count: int) -> list[list[int]]:
 
 
 def fit(x: np.ndarray, y: np.ndarray) -> dict:
+    """The model; ``x`` is centred where it is."""
     languages = sorted(set(y))
     # What all texts have in common tells no language from another: profiles are centred.
     mean = np.mean([x[y == v].mean(axis=0) for v in languages], axis=0)
-    x = x - mean
+    x -= mean
     centroids = np.stack([x[y == v].mean(axis=0) for v in languages])
     groups = families(centroids, max(1, round(len(languages) ** 0.5)))
     family_of = {languages[i]: g for g, members in enumerate(groups) for i in members}
@@ -131,12 +135,13 @@ def predict(model: dict, x: np.ndarray) -> tuple[list[str], np.ndarray]:
     return list(names), score
 
 
-def train_language_model(rows: DataFrame, per_language: int = PER_LANGUAGE) -> dict | None:
-    """Fit on a sample of ``rows`` (doc_id, text, lang): about ``per_language`` of each language, chosen by hash of the id."""
+def train_language_model(rows: DataFrame, per_language: int = PER_LANGUAGE, most_rows: int = MOST_ROWS) -> dict | None:
+    """Fit on a sample of ``rows`` (doc_id, text, lang): about ``per_language`` of each language and ``most_rows`` in all, chosen by hash of the id."""
     usable = rows.filter(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select("doc_id", "text", "lang")
     counts = {r["lang"]: r["n"] for r in rows.filter(F.col("lang").isNotNull()).groupBy("lang").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return None
+    per_language = min(per_language, most_rows / len(counts))
     share = F.create_map(*[F.lit(v) for k, n in sorted(counts.items()) for v in (k, min(1.0, per_language / n))])[F.col("lang")]
     chosen = usable.filter(F.pmod(F.xxhash64("doc_id", F.lit(5)), F.lit(1 << 30)) < share * (1 << 30))
 
@@ -147,8 +152,10 @@ def train_language_model(rows: DataFrame, per_language: int = PER_LANGUAGE) -> d
     got = sorted(chosen.mapInPandas(featurise, "lang string, x binary").collect(), key=lambda r: (r["lang"], bytes(r["x"])))
     if not got:
         return None
-    x = np.stack([np.frombuffer(r["x"], dtype=np.float16).astype(np.float32) for r in got])
-    y = np.array([r["lang"] for r in got], dtype=object)
+    x, y = np.empty((len(got), DIMS), dtype=np.float32), np.array([r["lang"] for r in got], dtype=object)
+    for i, r in enumerate(got):
+        x[i] = np.frombuffer(r["x"], dtype=np.float16)
+    del got
     return fit(x, y)
 
 
