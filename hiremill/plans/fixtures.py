@@ -111,14 +111,19 @@ def html_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def mhtml_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``html_pages`` as MIME archives; some hold plain text only."""
     plain = F.col("doc_key").cast("bigint") % 23 == 0
+    return html_pages(spark, sf_dir).select("doc_key", archive_of("html", F.when(plain, "plain").otherwise("html")).alias("content"))
+
+
+def archive_of(html: str, kind: Column | None = None) -> Column:
+    """A MIME archive with one text part of that kind, HTML by default."""
     archive = F.concat(
         F.lit('MIME-Version: 1.0\r\nContent-Type: multipart/related; boundary="edge"\r\n\r\n--edge\r\nContent-Type: text/'),
-        F.when(plain, "plain").otherwise("html"),
+        F.lit("html") if kind is None else kind,
         F.lit('; charset="utf-8"\r\nContent-Transfer-Encoding: base64\r\n\r\n'),
-        F.base64(F.encode("html", "UTF-8")),
+        F.base64(F.encode(html, "UTF-8")),
         F.lit("\r\n--edge--\r\n"),
     )
-    return html_pages(spark, sf_dir).select("doc_key", F.encode(archive, "UTF-8").alias("content"))
+    return F.encode(archive, "UTF-8")
 
 
 def native_pages(spark: SparkSession, sf_dir: str) -> DataFrame:

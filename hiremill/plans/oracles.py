@@ -308,6 +308,17 @@ _BODIES = {
         FROM resumes LEFT JOIN possessed USING (resume_id) GROUP BY conv_id""",
     "asked_gaps": f"""SELECT resume_id, skill, demand FROM gap
         WHERE resume_id IN (SELECT message_id FROM ({route_of("messages")}) WHERE route = 'skill_gap')""",
+    "kept_company_counts": f"""SELECT company, count(*) AS count FROM ({FINAL.format(actions="actions", prior="prior")})
+        WHERE company IS NOT NULL AND company <> '' GROUP BY company""",
+    "kept_skill_demand": f"""SELECT skill, count(*) AS demand FROM ({skill_rows(
+        "(" + FINAL.format(actions="actions", prior="prior") + ")", "source_id", "tech_stack")}) GROUP BY skill""",
+    "kept_overview": f"""SELECT count(*) AS jobs, round(sum(length(coalesce(description, ''))) / count(*), 6) AS mean_chars,
+        min(length(description)) AS shortest FROM ({FINAL.format(actions="actions", prior="prior")})""",
+    "bronze_replaced": """SELECT coalesce(CAST(n.page_id AS VARCHAR), s.doc_key) AS doc_key,
+        CASE WHEN n.page_id IS NOT NULL THEN n.html WHEN s.doc_id % 23 <> 0 THEN s.html END AS html,
+        CASE WHEN n.page_id IS NULL AND s.doc_id % 23 = 0 THEN 'no_html' END AS error_kind
+        FROM page_sources s FULL JOIN (SELECT * FROM pages WHERE page_id % 5 = 0) n ON n.page_id = s.doc_id""",
+    "keyed_lookup": "SELECT source_id, content_hash FROM prior WHERE source_id IN (SELECT source_id FROM staged)",
     "quality_split_high": "SELECT * FROM labelled WHERE quality = 'HIGH'",
     "quarantine": "SELECT * FROM labelled WHERE quality = 'LOW'",
     "quality_counts": """SELECT count(*) FILTER (quality = 'HIGH') AS high,

@@ -9,11 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hiremill.functions import labels, skills, text
-from hiremill.operators import bitmaps, dashboard, decode, gaps, pacing, quality, routing, runs, silver, tagging, upsert
+from hiremill.operators import bitmaps, dashboard, decode, gaps, maintained, pacing, quality, routing, runs, silver, tagging, upsert
 from hiremill.plans import fixtures, incremental, medallion
 from hiremill.schemas import JOBS, RATE_LIMITS, SILVER, conform
 from hiremill.session import materialize, scratch_path
-from hiremill.sources import files, scripts
+from hiremill.sources import files, keyed, scripts
 from hiremill.sources.snapshots import expire_snapshots, read_snapshot, write_snapshot
 from hiremill.streaming import arrivals, messages, states
 
@@ -827,3 +827,52 @@ def asked_gaps(spark, sf):
     ranked, _, held = _bitmaps(spark, sf)
     asking = routing.route_messages(fixtures.messages(spark, sf)).filter("route = 'skill_gap'").select(F.col("message_id").alias("resume_id"))
     return bitmaps.written_gaps(ranked, asking, held, "resume_id").select("resume_id", "skill", "demand")
+
+
+def _kept_measures(spark, sf):
+    """Measures of the jobs: those of the prior table, then kept by the changes of two loads; the jobs are never scanned for them."""
+    root = scratch_path(spark, "measures")
+    table, kept = incremental.jobs_table(spark, f"{root}/jobs", 16), incremental.measures_table(spark, f"{root}/kept", 16)
+    prior = conform(fixtures.prior_jobs(spark, sf), JOBS)
+    incremental.put_table(table, prior, "prior")
+    standing = table.read().withColumn("bucket", incremental.bucket_of(table.buckets, *table.keys))
+    own = maintained.measures(standing.withColumn("sign", F.lit(1))).unionByName(maintained.shortest_by_bucket(standing.limit(0), standing))
+    kept.replace("prior", list(range(kept.buckets)), own, spark.createDataFrame([], incremental.CHANGES))
+    for i, records in enumerate(_event_parts(spark, sf)):
+        incremental.load_batch(table, records, f"load-{i}", kept)
+    return kept.read()
+
+
+@query
+def kept_company_counts(spark, sf):
+    return maintained.counts_of(_kept_measures(spark, sf), "company", "company", "count")
+
+
+@query
+def kept_skill_demand(spark, sf):
+    return maintained.counts_of(_kept_measures(spark, sf), "skill", "skill", "demand")
+
+
+@query
+def kept_overview(spark, sf):
+    return maintained.overview(_kept_measures(spark, sf)).select("jobs", F.round("mean_chars", 6).alias("mean_chars"), "shortest")
+
+
+@query
+def bronze_replaced(spark, sf):
+    """Archives in two ingests, of which the second brings some again with another text: each stands once, as it came last."""
+    table = incremental.bronze_table(spark, scratch_path(spark, "bronze"), 16)
+    pages = fixtures.mhtml_pages(spark, sf).withColumn("modified", F.lit(None).cast("timestamp"))
+    again = F.col("doc_key").cast("bigint") % 5 == 0
+    native = fixtures.native_pages(spark, sf).select("doc_key", fixtures.archive_of("html").alias("content"), F.lit(None).cast("timestamp").alias("modified"))
+    incremental.ingest_archives(table, pages, "first")
+    incremental.ingest_archives(table, native.filter(again), "second")
+    return table.read().select("doc_key", "html", "error_kind")
+
+
+@query
+def keyed_lookup(spark, sf):
+    """The stored hashes of the keys that arrive, from a table sorted by key with Bloom filters."""
+    path = scratch_path(spark, "keyed")
+    keyed.write_keyed(fixtures.prior_jobs(spark, sf).select("source_id", "content_hash"), path, "source_id")
+    return keyed.lookup(spark, path, fixtures.event_changes(spark, sf), "source_id")
