@@ -28,6 +28,7 @@ whole. An empty table gives no rows; extra columns are not read.
 from __future__ import annotations
 
 from collections import Counter
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -44,7 +45,7 @@ LEAST_DOCUMENTS, MOST_TERMS, SCALE = 3, 200, 1_000_000_000
 #: Terms of a shard, cells (groups x slots) of a shard, bytes of the shards of a round.
 SHARD_TERMS, CELLS, ROUND_BYTES = 4096, 1 << 20, 128 << 20
 #: Terms counted in a task before they leave, and slots.
-HELD_TERMS, HELD_SLOTS = 300_000, 4_000_000
+HELD_TERMS, HELD_SLOTS = 400_000, 8_000_000
 #: Bytes outside terms become spaces; A-Z become a-z.
 TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 97 <= b <= 122 or b >= 128 else 32 for b in range(256))
 PIECE = 1 << 20
@@ -115,9 +116,8 @@ class PerfectHash:
 
     @staticmethod
     def _place(keys: np.ndarray, level: int, size: int) -> np.ndarray:
-        with np.errstate(over="ignore"):
-            x = (keys ^ U(level * 0x9E3779B97F4A7C15 % 2**64)) * U(0xBF58476D1CE4E5B9)
-            x = (x ^ (x >> U(29))) * U(0x94D049BB133111EB)
+        x = (keys ^ U(level * 0x9E3779B97F4A7C15 % 2**64)) * U(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> U(29))) * U(0x94D049BB133111EB)
         return ((x >> U(32)) * U(size) >> U(32)).astype(np.int64)
 
     @classmethod
@@ -178,31 +178,36 @@ def shard_tables(vocabulary: DataFrame, languages: DataFrame) -> DataFrame:
 
 
 class Vocabulary:
-    """The shards of a round: which slot a language's term has, if it is a kept one."""
+    """The shards of a round: which slot a language's term has, if it is a kept one. A language's slots of all its shards follow each other."""
 
     def __init__(self, rows: list[tuple], shards: dict[str, int]):
         self.shards = shards
         self.of = {(lang, shard): (seed, PerfectHash.unpacked(packed), terms) for lang, shard, seed, packed, terms in rows}
-
-    def found(self, lang: str, words: list[bytes]):
-        """(shard, places among ``words``, their slots) for each shard that has some."""
-        if not words or not self.shards.get(lang):
-            return
-        keys = np.fromiter(map(term_hash, words), dtype=np.uint64, count=len(words))
+        self.held = {lang: sorted(s for of, s in self.of if of == lang) for lang in shards}
+        self.starts = {lang: np.cumsum([0, *(len(self.of[lang, s][2]) for s in held)]) for lang, held in self.held.items()}
+
+    def size(self, lang: str) -> int:
+        return int(self.starts[lang][-1]) if lang in self.starts else 0
+
+    def slots(self, lang: str, words: list[bytes]) -> np.ndarray:
+        """The slot of each word among the language's, -1 if it is not a kept term of the round."""
+        out = np.full(len(words), -1, dtype=np.int64)
+        if not words or not self.size(lang):
+            return out
+        keys = np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(42)), dtype=np.uint64, count=len(words))
         shard = np.mod(keys.view(np.int64), self.shards[lang])
         order = np.argsort(shard, kind="stable")
-        edges = np.flatnonzero(np.diff(shard[order], prepend=-1))
-        for low, high in zip(edges.tolist(), [*edges[1:].tolist(), len(order)]):
-            number = int(shard[order[low]])
-            if (entry := self.of.get((lang, number))) is None:
+        numbers = shard[order]
+        for number, start in zip(self.held[lang], self.starts[lang].tolist()):
+            at = order[np.searchsorted(numbers, number) : np.searchsorted(numbers, number, side="right")]
+            if not len(at):
                 continue
-            at = order[low:high]
-            seed, perfect, terms_by_slot = entry
+            seed, perfect, terms_by_slot = self.of[lang, number]
             own = keys[at] if not seed else np.array([term_hash(words[i], seed) for i in at], dtype=np.uint64)
-            slots = perfect.slot(own)
-            same = pc.equal(terms_by_slot.take(pa.array(slots)), pa.array([words[i] for i in at.tolist()], pa.binary())).to_numpy(zero_copy_only=False)
-            if same.any():
-                yield number, at[same], slots[same]
+            slot = perfect.slot(own)
+            same = pc.equal(terms_by_slot.take(pa.array(slot)), pa.array([words[i] for i in at.tolist()], pa.binary())).to_numpy(zero_copy_only=False)
+            out[at[same]] = start + slot[same]
+        return out
 
 
 CELL_ROW = "lang string, source string, shard long, slots binary, counts binary"
@@ -228,41 +233,49 @@ def slot_counts(texts: DataFrame, rows: list[tuple], shards: dict[str, int]) ->
 
     def run(batches):
         vocabulary = Vocabulary(*held.value)
-        counted: dict[tuple[str, str], Counter] = {}
-        dense: dict[tuple[str, str, int], np.ndarray] = {}
-        size = cells = 0
+        counted: dict[str, dict[str, Counter]] = {}
+        dense: dict[tuple[str, str], np.ndarray] = {}
+        size = 0
+
+        def out():
+            rows = []
+            for (lang, source), counts in dense.items():
+                starts = vocabulary.starts[lang]
+                some = np.unique(np.searchsorted(starts, np.flatnonzero(counts), side="right") - 1)
+                rows += [(lang, source, vocabulary.held[lang][s], counts[starts[s] : starts[s + 1]]) for s in some.tolist()]
+            dense.clear()
+            return cell_batch(rows)
 
         def add():
-            more = 0
-            for (lang, source), counts in counted.items():
-                words = list(counts)
-                times = np.fromiter(counts.values(), dtype=np.int64, count=len(words))
-                for shard, places, slots in vocabulary.found(lang, words):
-                    key = (lang, source, shard)
-                    if key not in dense:
-                        dense[key] = np.zeros(len(vocabulary.of[lang, shard][2]), dtype=np.int64)
-                        more += len(dense[key])
-                    dense[key][slots] += times[places]
+            """Counts to slots: the words of a language are looked up once for all its groups."""
+            for lang, groups in counted.items():
+                if not vocabulary.size(lang):
+                    continue
+                words = list(set().union(*groups.values()))
+                slot_of = dict(zip(words, vocabulary.slots(lang, words).tolist()))
+                for source, counts in groups.items():
+                    slots = np.fromiter(map(slot_of.__getitem__, counts), dtype=np.int64, count=len(counts))
+                    times = np.fromiter(counts.values(), dtype=np.int64, count=len(counts))
+                    if (lang, source) not in dense:
+                        if sum(map(len, dense.values())) + vocabulary.size(lang) > HELD_SLOTS and dense:
+                            yield out()
+                        dense[lang, source] = np.zeros(vocabulary.size(lang), dtype=np.int64)
+                    dense[lang, source][slots[slots >= 0]] += times[slots >= 0]
             counted.clear()
-            return more
 
         for batch in batches:
             langs, sources, data = (batch.column(c) for c in ("lang", "source", "text"))
             for i in range(batch.num_rows):
-                counts = counted.setdefault((langs[i].as_py(), sources[i].as_py()), Counter())
+                counts = counted.setdefault(langs[i].as_py(), {}).setdefault(sources[i].as_py(), Counter())
                 before = len(counts)
                 for piece in terms(data[i].as_py()):
                     counts.update(piece)
                 size += len(counts) - before
                 if size > HELD_TERMS:
-                    cells += add()
+                    yield from add()
                     size = 0
-                    if cells > HELD_SLOTS:
-                        yield cell_batch([(*k, v) for k, v in dense.items()])
-                        dense.clear()
-                        cells = 0
-        add()
-        yield cell_batch([(*k, v) for k, v in dense.items()])
+        yield from add()
+        yield out()
 
     return texts.mapInArrow(run, CELL_ROW)
 
