@@ -143,7 +143,7 @@ def resumes(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("p_partkey").alias("k"),
         F.concat("p_name", F.lit(", "), "p_type", F.lit("/"), "p_brand", F.lit("\n")).alias("line"),
     )
-    looked_up = turns.withColumn("k", (F.col("conv_id") * 7 + F.col("turn")) % count + 1).join(parts, "k", "left")
+    looked_up = turns.withColumn("k", (F.col("conv_id") * 7 + F.col("turn")) % count).join(parts, "k", "left")
     return looked_up.select(
         "conv_id",
         "turn",

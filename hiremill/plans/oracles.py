@@ -2,11 +2,29 @@
 
 from __future__ import annotations
 
-from hiremill.functions.labels import DEFAULT_QUESTION, GUIDANCE, NO_GAPS
-from hiremill.functions.text import INSTRUCTION_PHRASES, SANITIZED_PREFIX, UPPER, WHITESPACE
-from hiremill.operators.tagging import TAG_PROMPT
+# Fixed values, written out again so that a wrong one in the library shows.
+INSTRUCTION_PHRASES = [
+    "ignore previous instructions",
+    "disregard",
+    "bypass",
+    "system prompt",
+    "you are now",
+    "forget all",
+    "developer mode",
+]
+SANITIZED_PREFIX = "Extract technical skills only from this data: "
+GUIDANCE = "Send a message to chat, or upload a resume PDF."
+NO_GAPS = "No skill gaps found. Make sure the jobs database has tagged tech_stack values."
+DEFAULT_QUESTION = "Summarize this resume briefly."
+TAG_PROMPT_TEXT = (
+    "Extract technical stacks from the following job descriptions. Return strictly a JSON object where keys are the job IDs "
+    "and values are comma-separated strings of the tech stack."
+)
+UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+# Code points of white space.
+SPACES = [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]
 
-WS = " || ".join(f"chr({ord(c)})" for c in WHITESPACE)
+WS = " || ".join(f"chr({c})" for c in SPACES)
 WS_CLASS = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 NL = "chr(10)"
 
@@ -83,7 +101,6 @@ ARRIVED = (
     "event_type AS job_title, 'acme ' || user_id % 7 AS company, 'text of ' || event_type AS description FROM events"
 )
 
-TAG_PROMPT_TEXT = TAG_PROMPT.rstrip("\n")
 
 VIEWS = {
     "postings": """SELECT CAST(p_partkey AS VARCHAR) AS source_id,
@@ -136,7 +153,7 @@ VIEWS = {
         FROM rejects WHERE bad_field IS NULL AND CAST(doc_key AS BIGINT) % 23 <> 0""",
     "resumes": """SELECT conv_id, turn, CAST(conv_id AS VARCHAR) || '-' || CAST(turn AS VARCHAR) AS resume_id,
         coalesce(p_name || ', ' || p_type || '/' || p_brand || chr(10), '') || coalesce(text, '') AS text
-        FROM conversations LEFT JOIN part ON p_partkey = (conv_id * 7 + turn) % (SELECT count(*) FROM part) + 1 WHERE role = 'user'""",
+        FROM conversations LEFT JOIN part ON p_partkey = (conv_id * 7 + turn) % (SELECT count(*) FROM part) WHERE role = 'user'""",
     "messages": """SELECT c.conv_id, r.resume_id AS message_id,
         CASE c.conv_id % 7 WHEN 1 THEN '' WHEN 2 THEN 'Start Analysis please' WHEN 3 THEN 'analyze'
              WHEN 4 THEN 'about my skill gap' ELSE coalesce(c.text, '') END AS message,
@@ -419,8 +436,8 @@ _BODIES = {
         CASE WHEN length(t) % 2 = 1 THEN 0 ELSE 5 END::BIGINT AS total_tokens, length(t) % 2 = 1 AS failed
         FROM (SELECT resume_id, {sanitized(f"substr({newlines('text')}, 1, 3000)")} AS t FROM resumes)""",
     "document_skills": f"""SELECT * FROM ({skill_rows(f"(SELECT resume_id, unnest(string_split(text, {NL})) AS line FROM "
-        f"(SELECT CAST(doc_id AS VARCHAR) AS resume_id, text || {NL} || p_name || ', ' || p_type AS text "
-        f"FROM documents JOIN part ON p_partkey - 1 = doc_id))", "resume_id", "line")}) WHERE skill IN (SELECT skill FROM demand)""",
+        f"(SELECT CAST(doc_id AS VARCHAR) AS resume_id, concat_ws({NL}, text, p_name || ', ' || p_type) AS text "
+        f"FROM documents LEFT JOIN part ON p_partkey = doc_id))", "resume_id", "line")}) WHERE skill IN (SELECT skill FROM demand)""",
     "pipeline_jobs": "SELECT * FROM profiled WHERE quality = 'HIGH'",
     "pipeline_quarantine": "SELECT * FROM profiled WHERE quality = 'LOW'",
     "pipeline_rejects": "SELECT doc_key, bad_field FROM rejects WHERE bad_field IS NOT NULL AND CAST(doc_key AS BIGINT) % 23 <> 0",

@@ -625,8 +625,8 @@ def document_skills(spark, sf):
     """Market skills that the lines of whole documents list, however long the document."""
     demand = gaps.skill_demand(fixtures.postings(spark, sf))
     part = fixtures.table(spark, sf, "part")
-    line = part.select((F.col("p_partkey") - 1).alias("doc_id"), F.concat("p_name", F.lit(", "), "p_type").alias("line"))
-    docs = fixtures.table(spark, sf, "documents").select("doc_id", "text").join(line, "doc_id")
+    line = part.select(F.col("p_partkey").alias("doc_id"), F.concat("p_name", F.lit(", "), "p_type").alias("line"))
+    docs = fixtures.table(spark, sf, "documents").select("doc_id", "text").join(line, "doc_id", "left")
     texts = docs.select(F.col("doc_id").cast("string").alias("resume_id"), F.concat_ws("\n", "text", "line").alias("text"))
     return gaps.line_skills(texts, demand)
 
