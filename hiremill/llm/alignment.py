@@ -26,10 +26,13 @@ tests compare both over every code point.
 
 from __future__ import annotations
 
+import gc
+import hashlib
 import json
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 import tiktoken
 from pyspark import Broadcast
@@ -40,8 +43,9 @@ from hiremill.llm.common import table
 from hiremill.session import materialize
 
 MOST_PAIRS = 4_000_000
-#: Long texts are tokenised in pieces of about so many characters, windows of more tokens or beyond so many are not remembered.
-PIECE, WINDOW, REMEMBERED = 1 << 18, 64, 100_000
+#: Long texts are tokenised in pieces of about so many characters, texts of so many are aligned at once, and so many windows remembered.
+PIECE, AT_ONCE, REMEMBERED = 1 << 18, 1 << 19, 60_000
+LINKS_AT_ONCE = 300_000
 #: Fixed value: the pattern by which byte-level BPE vocabularies of this kind split a text.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
@@ -104,73 +108,99 @@ def cut(text: str) -> list[str]:
     return [*out, text[at:]]
 
 
+def code_type(size_a: int, size_b: int) -> np.dtype:
+    """The smaller integer type that holds all codes a * size_b + b."""
+    return np.dtype(np.int32 if size_a * size_b < 1 << 31 else np.int64)
+
+
 class Aligner:
+    """Aligns documents by their windows: ``known`` has the alignment of each window met, by its two tuples of ids."""
+
     def __init__(self, a: ByteTokenizer, b: PieceTokenizer):
         self.a, self.b, self.size_b = a, b, len(b.entries)
+        self.code = code_type(len(a.entries), len(b.entries))
         self._length = [np.array([len(x) for x in side.entries]) for side in (a, b)]
         self._spaced = [np.array([x[:1] == b" " for x in side.entries]) for side in (a, b)]
-        self._known: dict = {}
-
-    def window(self, a: list[int], b: list[int]) -> tuple[bytes, int, bytes]:
-        """The groups of a window, their number, and the linked pairs' codes (a * size_b + b)."""
-        groups, links = [], []
-        first_a = first_b = j = 0
-        at_a = at_b = 0
-        for i, x in enumerate(a):
-            at_a += len(self.a.entries[x])
-            while at_b < at_a:
-                at_b += len(self.b.entries[b[j]])
-                j += 1
-            if at_a == at_b:
-                groups.append(",".join(map(str, a[first_a : i + 1])) + "|" + ",".join(map(str, b[first_b:j])))
-                links.append(x * self.size_b + b[j - 1])
-                first_a, first_b = i + 1, j
-        return ";".join(groups).encode(), len(groups), np.array(links, dtype=np.int64).tobytes()
-
-    def _piece(self, text: str) -> tuple[int, int, list[tuple[bytes, int, bytes]]] | None:
-        """Tokens of A and of B, and the windows of a text that begins with a space."""
+        # What is written for a token inside a group and for one at its end, of A and of B.
+        self._written = [b"%d%s" % (i, mark) for side, marks in ((a, b",|"), (b, b",;")) for mark in (marks[:1], marks[1:]) for i in range(len(side.entries))]
+        self._known: dict[tuple[bytes, bytes], tuple[bytes, bytes]] = {}
+
+    def _windows(self, text: str) -> tuple[int, int, list[tuple[bytes, bytes]]] | None:
+        """Tokens of A and of B, and the windows' ids, of a text that begins with a space; None if its bytes are not the tokens'."""
         data = text.encode("utf-8", "surrogatepass")
         ids = [self.a.ids(text), self.b.ids(text[1:])]
         if any(b"".join(map(side.entries.__getitem__, own)) != data for side, own in zip((self.a, self.b), ids)):
             return None
-        tokens, starts = [], []
-        for own, length, spaced in zip(ids, self._length, self._spaced):
-            tokens.append(own := np.array(own, dtype=np.int32))
-            start = np.cumsum(length[own]) - length[own]
-            starts.append((start, spaced[own]))
+        tokens = [np.array(own, dtype=np.int32) for own in ids]
+        starts = [np.cumsum(length[own]) - length[own] for own, length in zip(tokens, self._length)]
         both = np.zeros(len(data) + 1, dtype=np.int8)
-        for start, spaced in starts:
-            both[start[spaced]] += 1
-        edges = [np.append(np.flatnonzero(both[start] == 2), len(own)).tolist() for (start, _), own in zip(starts, tokens)]
-        raw_a, raw_b = (own.tobytes() for own in tokens)
-        known, found = self._known, []
-        last_a = last_b = 0
-        for i, j in zip(*edges):
-            if i > last_a:
-                key = (raw_a[4 * last_a : 4 * i], raw_b[4 * last_b : 4 * j])
-                if (got := known.get(key)) is None:
-                    got = self.window(ids[0][last_a:i], ids[1][last_b:j])
-                    if i - last_a <= WINDOW and j - last_b <= WINDOW:
-                        if len(known) >= REMEMBERED:
-                            known.clear()
-                        known[key] = got
-                found.append(got)
-                last_a, last_b = i, j
-        return len(ids[0]), len(ids[1]), found
+        for own, start, spaced in zip(tokens, starts, self._spaced):
+            both[start[spaced[own]]] += 1
+        edges = [(np.append(np.flatnonzero(both[start] == 2), len(own)) * 4).tolist() for own, start in zip(tokens, starts)]
+        a, b = (own.tobytes() for own in tokens)
+        if edges[0][0] or edges[1][0]:  # the text does not begin with an anchor
+            edges = [[0, *e] for e in edges]
+        cuts = zip(edges[0], edges[0][1:], edges[1], edges[1][1:])
+        return len(ids[0]), len(ids[1]), [(a[i:j], b[k:m]) for i, j, k, m in cuts]
+
+    def learn(self, windows: list[tuple[bytes, bytes]]) -> None:
+        """Align windows, all in one go: each starts and ends where both tokenisers do, so side by side they align as each for itself."""
+        a, b = (np.frombuffer(b"".join([w[side] for w in windows]), dtype=np.int32) for side in (0, 1))
+        end_a, end_b = (np.cumsum(length[own]) for own, length in zip((a, b), self._length))
+        ended = np.zeros(int(end_a[-1]) + 1, dtype=np.int8)
+        ended[end_a] += 1
+        ended[end_b] += 1
+        last_a, last_b = ended[end_a] == 2, ended[end_b] == 2
+        # Groups one after the other, in each first A's tokens, then B's.
+        group_a, group_b = (np.cumsum(last) - last for last in (last_a, last_b))
+        place_a = np.arange(len(a)) + np.append(0, np.flatnonzero(last_b) + 1)[group_a]
+        place_b = np.arange(len(b)) + (np.flatnonzero(last_a) + 1)[group_b]
+        codes = np.empty(len(a) + len(b), dtype=np.int64)
+        codes[place_a] = a + np.where(last_a, len(self.a.entries), 0)
+        codes[place_b] = 2 * len(self.a.entries) + b + np.where(last_b, self.size_b, 0)
+        written = list(map(self._written.__getitem__, codes.tolist()))
+        links, width = (a[last_a].astype(np.int64) * self.size_b + b[last_b]).astype(self.code).tobytes(), self.code.itemsize
+        to_b = np.cumsum([len(w[1]) // 4 for w in windows])
+        to_all = (np.cumsum([len(w[0]) // 4 for w in windows]) + to_b).tolist()
+        to_link = np.cumsum(last_b)[to_b - 1].tolist()
+        at = done = 0
+        for window, high, linked in zip(windows, to_all, to_link):
+            self._known[window] = (b"".join(written[at:high]), links[width * done : width * linked])
+            at, done = high, linked
+
+    def documents(self, texts: list[str | None]) -> list[tuple[int, int, int, bytes, np.ndarray]]:
+        """Of each text: tokens of A, of B, groups, the groups written out, the links' codes; zeros without tokens."""
+        # Many small tuples, none in a cycle: the collector would walk through all that are remembered again and again.
+        collecting = gc.isenabled()
+        gc.disable()
+        try:
+            return self._documents(texts)
+        finally:
+            if collecting:
+                gc.enable()
+
+    def _documents(self, texts: list[str | None]) -> list[tuple[int, int, int, bytes, np.ndarray]]:
+        found = []
+        for text in texts:
+            parts = [self._windows(piece) for piece in cut(" " + text)] if text else []
+            parts = [] if None in parts else parts
+            found.append((sum(p[0] for p in parts), sum(p[1] for p in parts), [w for p in parts for w in p[2]]))
+        needed = set().union(*(windows for _, _, windows in found))
+        known = self._known
+        if new := [w for w in needed if w not in known]:
+            if len(known) + len(new) > REMEMBERED:
+                known.clear()
+                new = list(needed)
+            self.learn(new)
+        out = []
+        for n_a, n_b, windows in found:
+            own = list(map(known.__getitem__, windows))
+            links = np.frombuffer(b"".join([w[1] for w in own]), dtype=self.code)
+            out.append((n_a, n_b, len(links), b"".join([w[0] for w in own])[:-1], links))
+        return out
 
     def document(self, text: str | None) -> tuple[int, int, int, bytes, np.ndarray]:
-        """(tokens of A, of B, groups, the groups written out, the links' codes); zeros without tokens."""
-        n_a = n_b = 0
-        windows: list[tuple[bytes, int, bytes]] = []
-        for piece in cut(" " + text) if text else ():
-            if (got := self._piece(piece)) is None:
-                n_a = n_b = 0
-                windows = []
-                break
-            n_a, n_b = n_a + got[0], n_b + got[1]
-            windows += got[2]
-        links = np.frombuffer(b"".join([w[2] for w in windows]), dtype=np.int64)
-        return n_a, n_b, sum(w[1] for w in windows), b";".join([w[0] for w in windows]), links
+        return self.documents([text])[0]
 
 
 _ALIGNERS: dict[tuple[str, str], Aligner] = {}
@@ -187,30 +217,29 @@ def align_documents(docs: DataFrame, path_a: str, path_b: str, id_col: str = "do
     """doc_id, n_a, n_b, n_groups, groups (text, or with ``digest`` its SHA-256 in hex, '' without tokens), links (codes a * pieces of B + b)."""
 
     def run(batches):
-        import hashlib
-
         both = aligner(path_a, path_b)
         for batch in batches:
-            at, rows, n = 0, [], 0
-            texts = batch.column("text")
-            for i in range(batch.num_rows):
-                n_a, n_b, n_groups, groups, links = both.document(texts[i].as_py())
+            at, texts, size = 0, [], 0
+            for i, text in enumerate(batch.column("text")):
+                texts.append(text.as_py())
+                size += len(texts[-1] or "")
+                if size < AT_ONCE and i + 1 < batch.num_rows:
+                    continue
+                rows = both.documents(texts)
                 if digest:
-                    groups = hashlib.sha256(groups).hexdigest().encode() if n_a else b""
-                rows.append((n_a, n_b, n_groups, groups, links))
-                n += len(links) + len(groups) // 8
-                if n > 2_000_000 or i + 1 == batch.num_rows:  # what leaves at once is bounded as well
-                    counts = [pa.array([r[k] for r in rows], pa.int64()) for k in range(3)]
-                    ends = np.cumsum([0, *(len(r[4]) for r in rows)]).astype(np.int32)
-                    links_out = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([r[4] for r in rows])))
-                    groups_out = pa.array([r[3] for r in rows], pa.binary()).cast(pa.string())
-                    yield pa.RecordBatch.from_arrays(
-                        [batch.column("doc_id").slice(at, len(rows)), *counts, groups_out, links_out], ["doc_id", "n_a", "n_b", "n_groups", "groups", "links"]
-                    )
-                    at, rows, n = i + 1, [], 0
+                    rows = [(*r[:3], hashlib.sha256(r[3]).hexdigest().encode() if r[0] else b"", r[4]) for r in rows]
+                counts = [pa.array([r[k] for r in rows], pa.int64()) for k in range(3)]
+                ends = np.cumsum([0, *(len(r[4]) for r in rows)]).astype(np.int32)
+                links = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([r[4] for r in rows])))
+                groups = pa.array([r[3] for r in rows], pa.binary()).cast(pa.string())
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(at, len(rows)), *counts, groups, links], ["doc_id", "n_a", "n_b", "n_groups", "groups", "links"]
+                )
+                at, texts, size = i + 1, [], 0
 
     kind = docs.schema[id_col].dataType.simpleString()
-    schema = f"doc_id {kind}, n_a long, n_b long, n_groups long, groups string, links array<bigint>"
+    code = "int" if code_type(len(ByteTokenizer(path_a).entries), len(PieceTokenizer(path_b).entries)) == np.int32 else "bigint"
+    schema = f"doc_id {kind}, n_a long, n_b long, n_groups long, groups string, links array<{code}>"
     return docs.select(F.col(id_col).alias("doc_id"), "text").mapInArrow(run, schema)
 
 
@@ -239,12 +268,17 @@ def count_links(aligned: DataFrame, counts: DataFrame, most_pairs: int = MOST_PA
     def run(batches):
         pairs, times, best = held.value
         for batch in batches:
-            links = batch.column("links")
-            ends, flat = links.offsets.to_numpy(), links.values.to_numpy()
-            at = np.searchsorted(pairs, flat)
-            sums = [np.append(0, np.cumsum(x, dtype=np.int64)) for x in (np.ones(len(flat), np.int64), best[at], times[at])]
-            added = [pa.array(x[ends[1:]] - x[ends[:-1]]) for x in sums]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in keep), *added], [*keep, "n_links", "n_best", "count_sum"])
+            sizes = pc.list_value_length(batch.column("links")).to_numpy()
+            # As many rows at a time as have a bounded number of links.
+            part = np.cumsum(sizes) // LINKS_AT_ONCE
+            edges = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), batch.num_rows] if batch.num_rows else [0]
+            for low, high in zip(edges, edges[1:]):
+                rows = batch.slice(low, high - low)
+                flat, ends = rows.column("links").flatten().to_numpy(), np.append(0, np.cumsum(sizes[low:high]))
+                at = np.searchsorted(pairs, flat)
+                sums = [x[ends[1:]] - x[ends[:-1]] for x in (np.append(0, np.cumsum(y[at], dtype=np.int64)) for y in (best, times))]
+                added = [pa.array(x) for x in (sizes[low:high].astype(np.int64), *sums)]
+                yield pa.RecordBatch.from_arrays([*(rows.column(c) for c in keep), *added], [*keep, "n_links", "n_best", "count_sum"])
 
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in aligned.schema.fields if f.name != "links"]
     return aligned.mapInArrow(run, ", ".join([*kinds, "n_links long", "n_best long", "count_sum long"]))
