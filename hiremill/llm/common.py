@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -45,6 +47,12 @@ def byte_chunks(text: str, overlap: int = 0) -> Iterator[np.ndarray]:
         at += CHUNK - overlap
 
 
+def worker_memory(name: str) -> dict:
+    """A dict that lives as long as the Python process: the library's code is sent anew with each task, this module is not."""
+    memory = sys.modules.setdefault("hiremill_worker_memory", types.ModuleType("hiremill_worker_memory"))
+    return vars(memory).setdefault(name, {})
+
+
 def sigmoid(z):
     return 1.0 / (1.0 + np.exp(-np.clip(z, -50.0, 50.0)))
 

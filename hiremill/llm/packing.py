@@ -46,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hiremill.llm.common import map_frames, table
+from hiremill.llm.common import map_frames, table, worker_memory
 from hiremill.session import materialize
 
 LENGTH = 2048
@@ -147,7 +147,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, tex
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         # What a Python worker has learned serves its later tasks as well.
-        encoders = vars(public_tokenizers).setdefault("word_encoders", {})
+        encoders = worker_memory("word_encoders")
         encoder = encoders.get(tokenizer_path) or encoders.setdefault(tokenizer_path, WordEncoder(tokenizer_path))
         task, at = TaskContext.get().partitionId(), {}
         end = np.array([end_id], dtype="<u4").tobytes()
@@ -328,7 +328,7 @@ def pack_documents(
         return row[piece], first[piece] + more, size, place
 
     def run(batches):
-        vars(public_tokenizers).pop("word_encoders", None)  # no word is looked up from here on
+        worker_memory("word_encoders").clear()  # no word is looked up from here on
         for pdf in batches:
             starts, sizes = pdf["start"].to_numpy(np.int64), pdf["n"].to_numpy(np.int64)
             queues = pdf["queue"].to_numpy(np.int64)

@@ -11,7 +11,8 @@ No piece reaches over the start of a word, nor over a character that only bytes
 can write; there the lattice narrows to one node. Its parts are searched one by
 one and remembered. The N best of the whole differ from the best in at most those
 N - 1 parts with the smallest loss for their second-best path (found by forward and
-backward scores); the A* lists of these are merged exactly.
+backward scores); the A* lists of these are merged exactly, list by list, of which never
+more than the N best sums are kept.
 
 Characters without a piece become byte pieces, with a score below all others.
 Equal scores go to the path with the longer last piece, then to the earlier part.
@@ -25,7 +26,6 @@ from __future__ import annotations
 import heapq
 import re
 import zlib
-from itertools import product
 
 import numpy as np
 import pandas as pd
@@ -33,7 +33,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hiremill.llm.common import map_frames, table
+from hiremill.llm.common import map_frames, table, worker_memory
 
 N_BEST = 3
 CACHE = 500_000
@@ -43,6 +43,23 @@ SPACE = "▁"
 NONE = float("inf")
 
 
+def best_sums(lists: list[list[tuple[float, bytes]]], most: int) -> list[tuple[float, tuple]]:
+    """The ``most`` choices of one item from each list (best first) with the largest sums; equal sums keep the order of the lists.
+
+    List by list: the j-th item goes only with the first ``most // j`` choices so far, since
+    all those before both are as good. So a list adds some ``most * log(most)`` sums.
+    """
+    kept: list[tuple[float, tuple, tuple]] = [(0, (), ())]
+    for items in lists:
+        sums = [
+            (-(score + items[j][0]), (*places, j), (*way, items[j]))
+            for i, (score, places, way) in enumerate(kept)
+            for j in range(min(len(items), most // (i + 1)))
+        ]
+        kept = [(-minus, places, way) for minus, places, way in heapq.nsmallest(most, sums)]
+    return [(score, way) for score, _, way in kept]
+
+
 class Segmenter:
     def __init__(self, model_path: str, n_best: int = N_BEST):
         from sentencepiece import SentencePieceProcessor
@@ -259,7 +276,7 @@ class Segmenter:
                 paths = self.lists[parts[i]] = self.best_paths(parts[i])
             lists.append(paths)
         same = total - sum(scores[i] for i in at)
-        ways = sorted((-(same + sum(c[0] for c in way)), k, way) for k, way in enumerate(product(*lists)))[: self.n_best]
+        ways = [(-(same + score), k, way) for k, (score, way) in enumerate(best_sums(lists, self.n_best))]
         edges = np.cumsum([0, *map(len, ids)])
         out = []
         for minus, _, way in ways:
@@ -278,7 +295,7 @@ class Segmenter:
 
 def _worker_segmenter(path: str, n_best: int) -> Segmenter:
     """What a Python worker has learned serves its later tasks as well."""
-    made = vars(public_tokenizers).setdefault("segmenters", {})
+    made = worker_memory("segmenters")
     return made.get((path, n_best)) or made.setdefault((path, n_best), Segmenter(path, n_best))
 
 

@@ -1,8 +1,11 @@
+import random
+from itertools import product
+
 import numpy as np
 import public_tokenizers
 import pytest
 
-from hiremill.llm.segmentation import SPACE, Segmenter, decode_documents, encode_documents, op1_sentencepiece
+from hiremill.llm.segmentation import SPACE, Segmenter, best_sums, decode_documents, encode_documents, op1_sentencepiece
 from tests.llm.helpers import EDGES, SF, documents
 
 PATH = public_tokenizers.path("piece_bpe_32k.model")
@@ -36,6 +39,22 @@ def test_the_best_of_all_paths(segmenter, text):
     assert segmenter.decode(got[0][1]) == text
 
 
+def test_best_sums_are_those_of_the_product():
+    rng = random.Random(3)
+    for most in (1, 2, 3, 5, 8):
+        for _ in range(40):
+            lists = [sorted(((-rng.randrange(4), bytes([k, j])) for j in range(rng.randint(1, most))), key=lambda c: -c[0]) for k in range(rng.randint(1, 4))]
+            every = sorted((-sum(c[0] for c in way), k, way) for k, way in enumerate(product(*lists)))[:most]
+            assert best_sums(lists, most) == [(-minus, way) for minus, _, way in every]
+
+
+def test_many_paths_of_one_line():
+    """The product of these lists would hold 40 ** 39 choices."""
+    line = " ".join(f"wordless{i} unthinkably" for i in range(40))
+    (few,), (many,) = Segmenter(PATH, 4).encode([line]), Segmenter(PATH, 40).encode([line])
+    assert many[:4] == few and len({i for _, i in many}) == 40 and [s for s, _ in many] == sorted((s for s, _ in many), reverse=True)
+
+
 def test_arrays_and_single_parts_agree(segmenter):
     parts = [f"{SPACE}{w}" for w in "the house of stone and water where nobody ever lived in peace for very long until today arrived".split()]
     same = [p + c for p in parts for c in "abcdefghij"]
