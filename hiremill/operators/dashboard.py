@@ -81,7 +81,8 @@ def other_companies(jobs: DataFrame, top_n: int = TOP_COMPANIES) -> DataFrame:
     )
 
 
-def _shown_fields() -> list[Column]:
+def shown_fields() -> list[Column]:
+    """What a page shows of a job; NULL as empty."""
     return [
         or_empty("job_title").alias("job_title"),
         or_empty("company").alias("company"),
@@ -93,7 +94,7 @@ def other_companies_page(
     jobs: DataFrame, limit: int = PAGE_ROWS, offset: int = 0, top_n: int = TOP_COMPANIES
 ) -> DataFrame:
     rows = other_companies(jobs, top_n).orderBy(*_page_order("company", "job_title"))
-    return (rows.offset(offset) if offset else rows).limit(limit).select(*_shown_fields())
+    return (rows.offset(offset) if offset else rows).limit(limit).select(*shown_fields())
 
 
 def _page_order(*columns: str) -> list[Column]:
@@ -101,33 +102,35 @@ def _page_order(*columns: str) -> list[Column]:
     return [F.asc_nulls_first(c) for c in (*columns, "source_id")]
 
 
-def _cleaned(query: str) -> str:
+def cleaned(query: str) -> str:
+    """A search as it is looked for: without the white space around it."""
     return query.strip(WHITESPACE)
 
 
-def _asks_for_others(query: str) -> bool:
-    return _cleaned(query).lower() in ("other", "others")
+def asks_for_others(query: str) -> bool:
+    """Does a search ask for the companies outside the top list?"""
+    return cleaned(query).lower() in ("other", "others")
 
 
 def matching_jobs(jobs: DataFrame, query: str) -> DataFrame:
     """Jobs a keyword finds in title, company or description; ``other`` finds the small companies."""
-    if _asks_for_others(query):
+    if asks_for_others(query):
         return other_companies(jobs)
-    pattern = f"%{_cleaned(query)}%"
+    pattern = f"%{cleaned(query)}%"
     return jobs.filter(
         like_ascii("job_title", pattern) | like_ascii("company", pattern) | like_ascii("description", pattern)
     )
 
 
 def _matching_page(jobs: DataFrame, query: str, limit: int) -> tuple[DataFrame, list[str]]:
-    order = ["company", "job_title"] if _asks_for_others(query) else ["job_title"]
+    order = ["company", "job_title"] if asks_for_others(query) else ["job_title"]
     return matching_jobs(jobs, query).orderBy(*_page_order(*order)).limit(limit), order
 
 
 def search_jobs(jobs: DataFrame, query: str, limit: int = PAGE_ROWS) -> DataFrame:
     """First page of matches: in title order, for ``other`` in company and title order."""
     page, _ = _matching_page(jobs, query, limit)
-    return page.select(*_shown_fields())
+    return page.select(*shown_fields())
 
 
 def search_total(jobs: DataFrame, query: str) -> DataFrame:
@@ -137,7 +140,7 @@ def search_total(jobs: DataFrame, query: str) -> DataFrame:
 def search_response(jobs: DataFrame, query: str, limit: int = PAGE_ROWS) -> DataFrame:
     """One row ``(results, total, shown)``; ``results`` is the page, at most ``limit`` entries."""
     page, order = _matching_page(jobs, query, limit)
-    entry = F.struct(F.struct(*order, "source_id").alias("rank"), F.struct(*_shown_fields()).alias("entry"))
+    entry = F.struct(F.struct(*order, "source_id").alias("rank"), F.struct(*shown_fields()).alias("entry"))
     listed = page.agg(F.array_sort(F.collect_list(entry)).alias("rows"))
     return listed.select(
         F.transform("rows", lambda r: r["entry"]).alias("results"),

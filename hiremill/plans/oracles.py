@@ -376,6 +376,10 @@ _BODIES = {
             (SELECT {PAGE}, job_title AS t, source_id AS s FROM postings WHERE {HIT} {BY_TITLE})) AS results,
         (SELECT count(*) FROM postings WHERE {HIT}) AS total,
         (SELECT count(*) FROM (SELECT 1 FROM postings WHERE {HIT} LIMIT 100)) AS shown""",
+    "indexed_search": f"SELECT {PAGE} FROM postings WHERE {HIT} {BY_TITLE}",
+    "indexed_total": f"SELECT count(*) AS total FROM raw_jobs WHERE {found('%keit das%_zu%')}",
+    "other_companies_at": f"SELECT {PAGE} FROM others {BY_COMPANY} LIMIT 50 OFFSET 25",
+    "other_companies_after": f"SELECT {PAGE} FROM others {BY_COMPANY} LIMIT 50 OFFSET 25",
     "other_companies_page": f"SELECT {PAGE} FROM others {BY_COMPANY} LIMIT 50 OFFSET 25",
     "other_companies_total": "SELECT count(*) AS count FROM others",
     "skill_demand": "SELECT * FROM demand",

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hiremill.functions import labels, skills, text
-from hiremill.operators import bitmaps, dashboard, decode, gaps, maintained, pacing, quality, routing, runs, silver, tagging, upsert
+from hiremill.operators import bitmaps, dashboard, decode, gaps, maintained, pacing, paging, quality, routing, runs, search, silver, tagging, upsert
 from hiremill.plans import fixtures, incremental, medallion
 from hiremill.schemas import JOBS, RATE_LIMITS, SILVER, conform
 from hiremill.session import materialize, scratch_path
@@ -28,6 +28,7 @@ LIMITS = [
     ("gemini-3.1-flash-lite", 15, 250000, 500),
 ]
 KEYWORD = "wid_et"
+PATTERN = " KEIT das%_zu "
 
 
 def query(fn: Query) -> Query:
@@ -876,3 +877,51 @@ def keyed_lookup(spark, sf):
     path = scratch_path(spark, "keyed")
     keyed.write_keyed(fixtures.prior_jobs(spark, sf).select("source_id", "content_hash"), path, "source_id")
     return keyed.lookup(spark, path, fixtures.event_changes(spark, sf), "source_id")
+
+
+# --- searched and paged without a scan -----------------------------------------------
+
+
+def _index(spark, jobs):
+    path = scratch_path(spark, "index")
+    search.write_index(jobs, path, buckets=16, files=8)
+    return path
+
+
+@query
+def indexed_search(spark, sf):
+    path = _index(spark, fixtures.postings(spark, sf))
+    return dashboard.search_jobs(search.candidates(spark, path, KEYWORD), KEYWORD)
+
+
+@query
+def indexed_total(spark, sf):
+    """Matches in whole documents of a pattern with wildcards."""
+    path = _index(spark, upsert.stage(fixtures.jobs(spark, sf)))
+    return dashboard.search_total(search.candidates(spark, path, PATTERN), PATTERN)
+
+
+OTHERS_ORDER = ["company", "job_title", "source_id"]
+
+
+def _paged_others(spark, sf):
+    path = scratch_path(spark, "paged")
+    paging.write_pages(dashboard.other_companies(fixtures.postings(spark, sf)), path, OTHERS_ORDER, parts=8)
+    return path
+
+
+@query
+def other_companies_at(spark, sf):
+    """A page by its position, from the table kept in order."""
+    page = paging.page_at(spark, _paged_others(spark, sf), 25, 50)
+    return page.select(*dashboard.shown_fields())
+
+
+@query
+def other_companies_after(spark, sf):
+    """Three pages, each from the last row of the one before on; the third."""
+    path, page, shown = _paged_others(spark, sf), None, None
+    for rows in (10, 15, 50):
+        shown = page.tail(1)[0] if page is not None else None
+        page = paging.page_after(spark, path, OTHERS_ORDER, shown, rows)
+    return page.select(*dashboard.shown_fields())
