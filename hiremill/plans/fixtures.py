@@ -16,6 +16,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """The table as a stream of its files; like ``table``, of one file or a folder of them.
+
+    The braces make the path a pattern: as a plain path a stream takes a folder only.
+    """
+    return spark.readStream.schema(table(spark, sf_dir, name).schema).parquet(f"{sf_dir}/{{{name}.parquet}}")
+
+
 def first_line(c: str) -> Column:
     return F.substring_index(c, "\n", 1)
 

@@ -251,9 +251,7 @@ def snapshot_roundtrip(spark, sf):
 
 @query
 def arrivals_stream(spark, sf):
-    stream = spark.readStream.schema(fixtures.table(spark, sf, "events").schema)
-    events = stream.option("pathGlobFilter", "events.parquet").parquet(sf)
-    records = fixtures.events_to_records(events)
+    records = fixtures.events_to_records(fixtures.table_stream(spark, sf, "events"))
     root = scratch_path(spark, "arrivals")
     arrivals.load_stream(records, root, f"{root}-checkpoint").awaitTermination()
     return arrivals.loaded_jobs(spark, root)
@@ -716,10 +714,9 @@ def model_replies(spark, sf):
 
 @query
 def message_stream(spark, sf):
-    turns = spark.readStream.schema(fixtures.table(spark, sf, "conversations").schema)
-    turns = turns.option("pathGlobFilter", "conversations.parquet").parquet(sf)
+    routed = fixtures.turns_to_messages(fixtures.table_stream(spark, sf, "conversations"))
     out = scratch_path(spark, "routed")
-    messages.route_stream(fixtures.turns_to_messages(turns), out, f"{out}-checkpoint").awaitTermination()
+    messages.route_stream(routed, out, f"{out}-checkpoint").awaitTermination()
     return spark.read.parquet(out).select("message_id", "route")
 
 

@@ -174,3 +174,15 @@ def test_load_of_json_files(spark, tmp_path):
     json_output.write_records(jobs, str(tmp_path / "json"))
     lines = [json.loads(line) for f in (tmp_path / "json").glob("*.json") for line in f.read_text().splitlines()]
     assert {(r["source_id"], r["job_title"]) for r in lines} == {("1", "new"), ("2", "x")}
+
+
+def test_streams_of_tables_kept_as_folders(spark, tmp_path):
+    from hiremill.plans.queries import QUERIES
+
+    turns = [(c, t, role, f"text {c}") for c in range(1, 5) for t, role in ((0, "user"), (1, "assistant"))]
+    spark.createDataFrame(turns, "conv_id long, turn int, role string, text string").repartition(2).write.parquet(str(tmp_path / "conversations.parquet"))
+    events = [(i, i % 3, "click") for i in range(6)]
+    spark.createDataFrame(events, "event_id long, user_id long, event_type string").repartition(2).write.parquet(str(tmp_path / "events.parquet"))
+    routed = {r.message_id: r.route for r in QUERIES["message_stream"](spark, str(tmp_path)).collect()}
+    assert routed == {"1-0": "guidance", "2-0": "skill_gap", "3-0": "chat", "4-0": "skill_gap"}
+    assert {r.source_id for r in QUERIES["arrivals_stream"](spark, str(tmp_path)).collect()} == {"0", "1", "2"}
