@@ -105,3 +105,21 @@ def test_listings_are_checked_in_field_order(spark):
     rejects = {r.doc_key: r.bad_field for r in silver.rejected_listings(checked).collect()}
     assert rejects == {"2": "source_id", "3": "job_title", "4": "source_id"}
     assert tuple(silver.silver_summary(checked).first()) == (4, 1, 3, 2, 1, 0, 0)
+
+
+def test_a_batch_is_decoded_in_pieces_of_bounded_size():
+    import pyarrow as pa
+
+    pages = ["x" * 400_000, None, "é" * 300_000, "y" * 3_000_000, "", None, *["z" * 1000] * 2500]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(pages))), pa.array(pages)], names=["doc_key", "html"])
+    pieces = list(decode._pieces(iter([batch, batch.slice(0, 0)]), "html"))
+    assert [p for piece in pieces for p in piece.column("html").to_pylist()] == pages
+    assert [k for piece in pieces for k in piece.column("doc_key").to_pylist()] == list(range(len(pages)))
+    sizes = [[len((p or "").encode()) for p in piece.column("html").to_pylist()] for piece in pieces]
+    assert all(sum(s[1:]) <= decode.PIECE_BYTES for s in sizes)
+
+
+def test_keys_keep_their_type_and_pages_without_text_their_row(spark):
+    rows = [(2**60 + 1, "<p>a</p>"), (None, "<p>b</p>"), (3, None), (4, "")]
+    got = decode.extract(spark.createDataFrame(rows, "doc_key long, html string"), {"t": Selector(tag="p")})
+    assert sorted(map(tuple, got.collect()), key=str) == sorted([(2**60 + 1, "a"), (None, "b"), (3, None), (4, None)], key=str)
