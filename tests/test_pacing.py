@@ -113,3 +113,44 @@ def test_failures_are_logged_and_empty_prompts_make_no_call(spark):
     (row,) = paced_answers(prompts(spark, [1]), down, bool, "batch_id", 6000, 2, 0.0).collect()
     assert (row.attempts, row.tokens, row.answer, len(row.called_at)) == (3, 0, None, 3) and "down" in row.error
     assert paced_answers(prompts(spark, [1]).limit(0), down, bool, "batch_id", 6000, 2).collect() == []
+
+
+def test_a_lane_goes_on_while_a_failed_prompt_waits():
+    clock, tries = Clock(), {}
+
+    def model(prompt):
+        tries[prompt] = tries.get(prompt, 0) + 1
+        if prompt == "a" and tries[prompt] < 3:
+            raise TimeoutError("busy")
+        return "{}", 1
+
+    lane = Lane(0.5, 2, 0, clock, clock.sleep)
+    rows = list(pacing.lane_answers(lane, iter([(n, n) for n in "abcdefgh"]), model, lambda x: isinstance(x, dict), 2.0))
+    assert sorted(r[0] for r in rows) == list("abcdefgh") and {r[0]: r[1] for r in rows}["a"] == 3
+    slots = sorted(int(t // 0.5) for r in rows for t in r[5])
+    # Ten calls, a turn each second: without a pause but for those of the last tries.
+    assert len(set(slots)) == 10 and all(s % 2 == 0 for s in slots) and slots[-1] - slots[0] == 18
+    of_a = next(r[5] for r in rows if r[0] == "a")
+    assert all(y - x >= 2.0 for x, y in zip(of_a, of_a[1:]))
+
+
+def test_answers_are_read_once_for_all_new_slices(spark, tmp_path, monkeypatch):
+    root, reads, slices = str(tmp_path), [], []
+    real_in, real_paced = pacing.answers_in, paced_answers
+    monkeypatch.setattr(pacing, "answers_in", lambda *a: (reads.append(1), real_in(*a))[1])
+    monkeypatch.setattr(pacing, "paced_answers", lambda *a: (slices.append(a[0].count()), real_paced(*a))[1])
+
+    def run():
+        model = lambda prompt: ("{}", 1)
+        answer_slices(spark, f"{root}/p", f"{root}/a", f"{root}/c", model, lambda x: isinstance(x, dict), KEY, rpm=60000).awaitTermination()
+
+    # A key in two files is asked once; without a key each stands for itself.
+    for ids in ([1, 2, 3], [3, 4, None], [None, 5, 5]):
+        lay_out_prompts(prompts(spark, ids).coalesce(1), f"{root}/p", 50)
+    run()
+    assert len(reads) == 1 and sorted(slices) == [2, 3, 3]
+    log = [r.batch_id for r in spark.read.parquet(f"{root}/a").collect()]
+    assert sorted(x for x in log if x is not None) == [1, 2, 3, 4, 5, 5] and log.count(None) == 2
+    lay_out_prompts(prompts(spark, [1, 2]).coalesce(1), f"{root}/p", 50)
+    run()
+    assert spark.read.parquet(f"{root}/a").count() == 8
