@@ -6,11 +6,12 @@ similarity is at least ``percent`` / 100.
 
 **Signatures.** Sets are taken up in bands of size; band j serves the pairs
 whose larger set has a size in [low, high], and a smaller set that can still
-reach the threshold signs in the bands above its own as well. A similar pair
-differs in at most k = (100 - p) (s1 + s2) / (100 + p) elements, so if the hash
-domain is cut into n > k ranges, at least n - k ranges hold the same elements in
+reach the threshold signs in the bands above its own as well. Similar sets of s1 and s2
+elements differ in at most (100 - p) (s1 + s2) / (100 + p) of them: k for the
+largest sets of a band, and k' <= k for a set and the largest partner it can have there. The
+hash domain is cut into n > k ranges, of which at least n - k' hold the same elements in
 both. A signature is the hash of (band, range, elements in the range). Empty
-ranges are not signed: a set with e empty ranges keeps n - k - e shared ones for
+ranges are not signed: a set with e empty ranges keeps n - k' - e shared ones for
 certain, its *need*, and a set whose need is not positive signs again over
 another, remixed hash of its elements until it is. So every similar pair shares
 at least the larger need of the two, counted in one seed and band.
@@ -18,12 +19,10 @@ at least the larger need of the two, counted in one seed and band.
 **Candidates.** Signatures are sorted in their partitions. Groups of up to
 ``small`` sets give their pairs, of which those are verified that occur as
 often as the need says. Larger groups never give pairs: a pair met in them
-alone has nearly all of its signatures there (it is *saturated*). The saturated
-sets sign again over many more, hence smaller ranges, where what many texts have
-in common is a far smaller part of the need. What is saturated even so is
-all but made of common text, or one of a large family of copies. Each of these
-is measured against pivots of its groups; for what links with none of them, only
-sets that share some of the rarest elements outside the pivot remain possible.
+alone has at least its need of signatures there (both sets are *saturated*), and
+shares one of the rarest of them. A saturated set stays in the groups of its
+rarest signatures, and ``families.group_links`` links what is similar in a group by pivots,
+without its pairs.
 
 **Verification** is the exact set intersection. Links, not all pairs, leave:
 equal texts are joined by set id, components by ``connected_components``.
@@ -38,84 +37,32 @@ from __future__ import annotations
 import hashlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hiremill.llm.common import map_frames, table
+from hiremill.llm.common import table
 from hiremill.llm.components import connected_components
+from hiremill.llm.families import group_links
+from hiremill.llm.shingles import Shingler, binary_texts, mix
 from hiremill.session import materialize
 
 WORDS = 5
 PERCENT = 80
 SMALL = 24
-FLAG_BITS = 1 << 20
-COARSE, FINE = 1.2, 8.0
-PIVOTS = 2
+#: The filter of wanted sets has 16 bits for each, at most 32 MB.
+FILTER_BITS = 16
+MOST_FILTER_BITS = 1 << 28
+#: Ranges for each of the k + 1 that are needed, and how much larger the largest set of a band may be than its smallest.
+RANGES, RATIO = 1.08, 1.5
 SIGNATURE_ROW = "sig long, set_id long, place int, need int"
 U = np.uint64
-
-
-def mix(x: np.ndarray) -> np.ndarray:
-    """A bijective scrambling of 64-bit values."""
-    x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
-    return x ^ (x >> U(31))
-
-
-with np.errstate(over="ignore"):
-    _BYTE = mix(np.arange(1, 257, dtype=np.uint64) * U(0x9E3779B97F4A7C15))
-_BYTE[65:91] = _BYTE[97:123]  # A-Z count as a-z
-_SPACE = np.zeros(256, dtype=bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = 0x9E3779B97F4A7C15 | 1
 
 
-def _powers(n: int, base: int) -> np.ndarray:
-    out = np.full(n, U(base))
-    out[:1] = U(1)
-    return np.multiply.accumulate(out)
-
-
-def word_hashes(text: str) -> np.ndarray:
-    """A 64-bit hash of every word, read in pieces that end at white space."""
-    data = np.frombuffer(text.encode("utf-8", "surrogatepass"), dtype=np.uint8)
-    if not len(data):
-        return np.zeros(0, dtype=np.uint64)
-    space = _SPACE[data]
-    edge = np.flatnonzero(np.diff(np.concatenate(([True], space, [True])).astype(np.int8)))
-    begin, end = edge[0::2], edge[1::2]
-    if not len(begin):
-        return np.zeros(0, dtype=np.uint64)
-    out = []
-    low = 0
-    while low < len(begin):
-        high = max(low + 1, int(np.searchsorted(end, begin[low] + (1 << 18), side="right")))
-        a, b = begin[low:high], end[low:high]
-        part = data[a[0] : b[-1]]
-        power = _powers(int((b - a).max()), _BASE)
-        # Position of each byte within its word gives its power.
-        at = np.arange(a[0], b[-1]) - np.repeat(a, np.diff(np.append(a, b[-1])))
-        inside = ~space[a[0] : b[-1]]
-        value = np.where(inside, _BYTE[part] * power[np.minimum(at, len(power) - 1)], U(0))
-        out.append(mix(np.add.reduceat(value, a - a[0]) + (b - a).astype(np.uint64)))
-        low = high
-    return np.concatenate(out)
-
-
 def shingle_set(text: str | None, words: int = WORDS) -> np.ndarray:
     """The sorted distinct 64-bit shingle hashes; empty without a word."""
-    with np.errstate(over="ignore"):
-        w = word_hashes(text or "")
-        if not len(w):
-            return w
-        size = min(words, len(w))
-        n = len(w) - size + 1
-        total = np.full(n, U(size))
-        for i in range(size):
-            total = mix(total * U(_BASE) + w[i : i + n])
-    return np.unique(total)
+    return next(Shingler(words).sets([(text or "").encode("utf-8", "surrogatepass")]))
 
 
 def set_id(s: np.ndarray) -> int:
@@ -123,26 +70,31 @@ def set_id(s: np.ndarray) -> int:
 
 
 class Bands:
-    """Size bands: (k, n) of each, and those in which a set of some size signs."""
+    """Size bands: the largest size, k and n of each, and those in which a set of some size signs."""
 
-    def __init__(self, percent: int = PERCENT, fine: float = 1.2, ratio: float = 1.25):
+    def __init__(self, percent: int = PERCENT, fine: float = RANGES, ratio: float = RATIO):
         self.percent, self.fine, self.ratio = percent, fine, ratio
         self.edges, self.params = [1], []
 
+    def apart(self, total: int) -> int:
+        """In how many elements two similar sets of so many elements together differ at most."""
+        return (100 - self.percent) * total // (100 + self.percent)
+
     def _grow(self, size: int) -> None:
         while self.edges[-1] <= size:
             self.edges.append(max(self.edges[-1] + 1, int(np.ceil(self.edges[-1] * self.ratio))))
             high = self.edges[-1] - 1
-            k = (100 - self.percent) * 2 * high // (100 + self.percent)
-            self.params.append((k, int(np.ceil(self.fine * (k + 1))) + 2))
+            k = self.apart(2 * high)
+            self.params.append((high, k, int(np.ceil(self.fine * (k + 1))) + 2))
 
     def of(self, size: int) -> list[tuple[int, int, int]]:
-        """(band, k, n) from the band of ``size`` to that of the largest size it can link with."""
+        """(band, k of this size, n) from the band of ``size`` to that of the largest size it can link with."""
         most = 100 * size // self.percent
         self._grow(most)
         first = int(np.searchsorted(self.edges, size, side="right")) - 1
         last = int(np.searchsorted(self.edges, most, side="right")) - 1
-        return [(j, *self.params[j]) for j in range(first, last + 1) if self.params[j][0] > 0]
+        rows = [(j, *self.params[j]) for j in range(first, last + 1)]
+        return [(j, self.apart(size + min(high, most)), n) for j, high, k, n in rows if k > 0]
 
 
 def signatures(s: np.ndarray, bands: Bands) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -173,11 +125,10 @@ def signature_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
     """(sig, set_id, place, need), once for every set and task."""
 
     def run(batches):
-        bands, seen = Bands(percent), set()
-        for pdf in batches:
+        bands, shingler, seen = Bands(percent), Shingler(words), set()
+        for batch in batches:
             out, size = [], 0
-            for text in pdf["text"]:
-                s = shingle_set(text, words)
+            for s in shingler.sets(binary_texts(batch.column("text"))):
                 if not len(s) or (key := set_id(s)) in seen:
                     continue
                 seen.add(key)
@@ -187,29 +138,16 @@ def signature_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
                 out.append((sig.view(np.int64), np.full(len(sig), key, dtype=np.int64), place, need))
                 size += len(sig)
                 if size > 100_000:
-                    yield _signature_frame(out)
+                    yield _signature_batch(out)
                     out, size = [], 0
             if out:
-                yield _signature_frame(out)
+                yield _signature_batch(out)
 
-    return docs.select("text").mapInPandas(run, SIGNATURE_ROW)
+    return docs.select(F.col("text").cast("binary").alias("text")).mapInArrow(run, SIGNATURE_ROW)
 
 
-def _signature_frame(out: list) -> pd.DataFrame:
-    return pd.DataFrame(dict(zip(("sig", "set_id", "place", "need"), map(np.concatenate, zip(*out)))))
-
-
-def fine_signature_rows(sets: DataFrame, percent: int) -> DataFrame:
-    """The same for given sets (set_id, members), over many small ranges."""
-
-    def run(batches):
-        bands = Bands(percent, FINE)
-        for pdf in batches:
-            for key, members in zip(pdf["set_id"], pdf["members"]):
-                sig, place, need = signatures(np.frombuffer(members, dtype=np.uint64), bands)
-                yield _signature_frame([(sig.view(np.int64), np.full(len(sig), key, dtype=np.int64), place, need)])
-
-    return sets.select("set_id", "members").mapInPandas(run, SIGNATURE_ROW)
+def _signature_batch(out: list) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["sig", "set_id", "place", "need"])
 
 
 def grouped_candidates(rows: DataFrame, small: int) -> DataFrame:
@@ -270,127 +208,47 @@ def grouped_candidates(rows: DataFrame, small: int) -> DataFrame:
     return ordered.mapInArrow(run, "sig long, a long, b long, place int, need int")
 
 
-def flag_array(ids: DataFrame, column: str) -> bytes:
-    """One bit for every hash bucket that an id of ``column`` falls into: 128 KB at any size."""
-    got = (
-        ids.select(F.pmod(F.col(column), F.lit(FLAG_BITS)).cast("int").alias("bucket"))
-        .groupBy(F.expr("bucket div 32").cast("int").alias("word"))
-        .agg(F.expr("bit_or(shiftleft(1L, bucket % 32))").alias("bits"))
-        .collect()
-    )
-    words = np.zeros(FLAG_BITS // 32, dtype=np.uint32)
-    for r in got:
-        words[r["word"]] = r["bits"]
-    return words.tobytes()
+def wanted_filter(wanted: DataFrame) -> bytes:
+    """A bit for every place of a wanted set_id: sized from their number, 32 MB at most. What passes by chance is left out by a join."""
+    bits = min(1 << max(16, (max(wanted.count(), 1) * FILTER_BITS - 1).bit_length()), MOST_FILTER_BITS)
+    slots = wanted.select(F.pmod("set_id", F.lit(bits)).alias("slot"))
+    part = slots.groupBy(F.expr("slot div 32").alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(slot % 32 as int)))").alias("bits")).toArrow()
+    filled = np.zeros(bits // 32, dtype=np.uint32)
+    filled[part.column("word").to_numpy()] = part.column("bits").to_numpy().astype(np.uint32)
+    return filled.tobytes()
 
 
-def document_sets(docs: DataFrame, flags: bytes, words: int, id_col: str) -> DataFrame:
-    """(doc_id, n_shingles, set_id, members): the members of flagged sets only."""
+def document_sets(docs: DataFrame, wanted: DataFrame, words: int, id_col: str) -> DataFrame:
+    """(doc_id, n_shingles, set_id, members): the members of sets that pass the filter of ``wanted``, once for every set and task."""
+    held = docs.sparkSession.sparkContext.broadcast(wanted_filter(wanted))
 
     def run(batches):
-        bits = np.frombuffer(flags, dtype=np.uint32)
-        for pdf in batches:
-            out = []
-            for doc, text in zip(pdf["doc_id"], pdf["text"]):
-                s = shingle_set(text, words)
+        filled, shingler, seen = np.frombuffer(held.value, dtype=np.uint32), Shingler(words), set()
+        bits = 32 * len(filled)
+        for batch in batches:
+            at, sizes, keys, members, held_bytes = 0, [], [], [], 0
+            for s in shingler.sets(binary_texts(batch.column("text"))):
                 key = set_id(s) if len(s) else None
-                wanted = key is not None and bits[(key % FLAG_BITS) // 32] >> np.uint32(key % FLAG_BITS % 32) & np.uint32(1)
-                out.append((doc, len(s), key, s.tobytes() if wanted else None))
-            doc, n, key, members = zip(*out) if out else ((),) * 4
-            yield pd.DataFrame(  # ids of 64 bits must not pass through a float column
-                {"doc_id": pd.Series(doc, dtype=object), "n_shingles": n, "set_id": pd.Series(key, dtype=object), "members": pd.Series(members, dtype=object)}
-            )
+                own = None
+                if key is not None and key not in seen and filled[key % bits // 32] >> np.uint32(key % 32) & np.uint32(1):
+                    own = s.tobytes()
+                    seen.add(key)
+                    if len(seen) > 2_000_000:  # only a saving
+                        seen.clear()
+                sizes.append(len(s))
+                keys.append(key)
+                members.append(own)
+                held_bytes += len(own or b"")
+                if held_bytes > 1 << 24 or at + len(sizes) == batch.num_rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("doc_id").slice(at, len(sizes)), pa.array(sizes, pa.int64()), pa.array(keys, pa.int64()), pa.array(members, pa.binary())],
+                        ["doc_id", "n_shingles", "set_id", "members"],
+                    )
+                    at, sizes, keys, members, held_bytes = at + len(sizes), [], [], [], 0
 
     kind = docs.schema[id_col].dataType.simpleString()
-    picked = docs.select(F.col(id_col).alias("doc_id"), "text")
-    return map_frames(picked, run, f"doc_id {kind}, n_shingles long, set_id long, members binary")
-
-
-def measured(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Of each pair (a, b): the elements in both, the two sizes, and whether the sets link."""
-
-    def run(batches):
-        for pdf in batches:
-            x, y = ([np.frombuffer(v, dtype=np.uint64) for v in pdf[c]] for c in "xy")
-            out = pdf[["a", "b"]].assign(
-                both=[len(np.intersect1d(u, v, assume_unique=True)) for u, v in zip(x, y)], a_size=list(map(len, x)), b_size=list(map(len, y))
-            )
-            yield out.assign(linked=100 * out["both"] >= percent * (out["a_size"] + out["b_size"] - out["both"]))
-
-    x, y = (sets.select(F.col("set_id").alias(f"{v}_id"), F.col("members").alias(v)) for v in "xy")
-    joined = pairs.join(x, F.col("a") == F.col("x_id")).join(y, F.col("b") == F.col("y_id"))
-    return joined.select("a", "b", "x", "y").mapInPandas(run, "a long, b long, both long, a_size long, b_size long, linked boolean")
-
-
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets really are that similar."""
-    return measured(pairs, sets, percent).filter("linked").select("a", "b")
-
-
-def elements(rows: DataFrame) -> DataFrame:
-    """(set_id, element) of the members, without those of ``without`` if it is a column."""
-    cut = "without" in rows.columns
-
-    def run(batches):
-        for pdf in batches:
-            for i, key in enumerate(pdf["set_id"]):
-                own = np.frombuffer(pdf["members"].iat[i], dtype=np.uint64)
-                if cut:
-                    own = np.setdiff1d(own, np.frombuffer(pdf["without"].iat[i], dtype=np.uint64), assume_unique=True)
-                yield pd.DataFrame({"set_id": np.full(len(own), key), "element": own.view(np.int64)})
-
-    return rows.mapInPandas(run, "set_id long, element long")
-
-
-def left_over_pairs(hot: DataFrame, near: DataFrame, sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of saturated sets that may link and are in different components.
-
-    ``near`` holds what each set has in common with its pivots. Take a set u and
-    the pivot h it has most in common with, but does not link with. A partner x
-    has at least p / (100 + p) of both sizes in common with u, and more than
-    ``both`` of it lies outside h, unless x is small. So u and x share one of the
-    rarest elements that u has outside h: the others are too few to make up what is needed.
-    Small partners, and sets that link with their pivots but not with each other,
-    are met in their signatures.
-    """
-    pivot = near.groupBy(F.col("a").alias("set_id")).agg(
-        F.max_by(F.struct("b", "both", "a_size", "linked"), F.struct("both", "b")).alias("h")
-    ).select("set_id", "h.*")
-    pivot = materialize(pivot, "jaccard-best-pivot")
-    open_ = pivot.filter(~F.col("linked")).select("set_id", F.col("b").alias("pivot"), "both", "a_size")
-    own, other = sets.select("set_id", "members"), sets.select(F.col("set_id").alias("pivot"), F.col("members").alias("without"))
-    outside = elements(open_.join(own, "set_id").join(other, "pivot").select("set_id", "members", "without"))
-    postings = materialize(elements(own.join(hot.select("set_id").distinct(), "set_id", "left_semi")), "jaccard-elements")
-    often = postings.groupBy("element").agg(F.count("*").alias("often"))
-    least = F.greatest(F.lit(1), F.ceil(F.col("a_size") * percent / 100) - F.col("both"))
-    rank = Window.partitionBy("set_id").orderBy("often", "element")
-    rare = (
-        outside.join(often, "element").withColumn("at", F.row_number().over(rank)).join(open_, "set_id")
-        .filter(F.col("at") <= F.col("a_size") - F.col("both") - least + 1).select("set_id", "element")
-    )
-    shared = rare.join(postings.withColumnRenamed("set_id", "with"), "element").select(F.col("set_id").alias("a"), F.col("with").alias("b"))
-
-    # The sizes up to which a partner need share nothing outside the pivot.
-    limit = F.floor(F.col("both") * (100 + percent) / percent - F.col("a_size"))
-    loose = open_.select("set_id", limit.alias("limit"), "a_size").filter(F.col("limit") * 100 >= F.col("a_size") * percent)
-    sized = hot.select("sig", F.col("set_id").alias("with")).join(pivot.select(F.col("set_id").alias("with"), F.col("a_size").alias("size")), "with")
-    small = (
-        hot.select("sig", "set_id").join(loose, "set_id").join(sized, "sig").filter((F.col("size") <= F.col("limit")) & (F.col("with") != F.col("set_id")))
-        .select(F.col("set_id").alias("a"), F.col("with").alias("b"))
-    )
-
-    label = labels.select(F.col("node").alias("set_id"), "label")
-    closed = hot.select("sig", "set_id").join(pivot.filter("linked").select("set_id"), "set_id", "left_semi").join(label, "set_id")
-    mixed = closed.groupBy("sig").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("sig")
-    closed = closed.join(mixed, "sig", "left_semi")
-    between = closed.join(closed.select("sig", F.col("set_id").alias("with"), F.col("label").alias("with_label")), "sig").filter("label < with_label")
-    between = between.select(F.col("set_id").alias("a"), F.col("with").alias("b"))
-
-    every = shared.unionByName(small).unionByName(between)
-    once = every.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a != b").distinct()
-    la, lb = (label.select(F.col("set_id").alias(x), F.col("label").alias(f"{x}_label")) for x in "ab")
-    apart = once.join(la, "a", "left").join(lb, "b", "left")
-    return apart.filter(F.coalesce("a_label", "a") != F.coalesce("b_label", "b")).select("a", "b")
+    picked = docs.select(F.col(id_col).alias("doc_id"), F.col("text").cast("binary").alias("text"))
+    return picked.mapInArrow(run, f"doc_id {kind}, n_shingles long, set_id long, members binary")
 
 
 def split_candidates(found: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
@@ -422,43 +280,26 @@ def split_candidates(found: DataFrame, name: str) -> tuple[DataFrame, DataFrame]
 
 
 def rarest(hot: DataFrame) -> DataFrame:
-    """(sig, set_id, lost) of each set's ``spare`` rarest signatures: two similar sets share one of them in both."""
+    """(sig, set_id, size) of each set's ``spare`` rarest signatures: two similar sets share one of them in both."""
     sizes = hot.groupBy("sig").agg(F.count("*").alias("size"))
     order = Window.partitionBy("set_id", "place").orderBy("size", "sig")
-    return hot.join(sizes, "sig").withColumn("at", F.row_number().over(order)).filter("at <= spare").select("sig", "set_id", "lost")
+    return hot.join(sizes, "sig").withColumn("at", F.row_number().over(order)).filter("at <= spare").select("sig", "set_id", "size")
 
 
 def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, small: int = SMALL, id_col: str = "doc_id") -> DataFrame:
     """doc_id, n_shingles, set_id and component_id: the smallest doc_id reachable over links, its own included."""
     found = materialize(grouped_candidates(signature_rows(docs, words, percent), small), "jaccard-candidates")
     pairs, hot = split_candidates(found, "jaccard")
-    saturated = hot.select("set_id").distinct()
-    wanted = pairs.select("a").unionByName(pairs.select(F.col("b").alias("a"))).unionByName(saturated.select(F.col("set_id").alias("a")))
-    sets = materialize(document_sets(docs, flag_array(wanted, "a"), words, id_col), "jaccard-sets")
-    distinct = materialize(
-        sets.filter(F.col("members").isNotNull()).groupBy("set_id").agg(F.first("members").alias("members")), "jaccard-members"
-    )
-    if hot.head(1):
-        again = fine_signature_rows(distinct.join(saturated, "set_id", "left_semi"), percent)
-        more, hot = split_candidates(materialize(grouped_candidates(again, small), "jaccard-fine"), "jaccard-fine")
-        pairs = pairs.unionByName(more)
     hot = materialize(rarest(hot), "jaccard-rarest")
-
-    # A few pivots of each group, first the set with most of its signatures in groups: the middle of a family of copies.
-    order = [F.struct(F.col("lost") if not i else F.lit(0), F.xxhash64("set_id", F.lit(i))) for i in range(PIVOTS)]
-    pivots = hot.groupBy("sig").agg(*[F.max_by("set_id", o).alias(f"pivot{i}") for i, o in enumerate(order)])
-    star = (
-        hot.join(pivots, "sig").select(F.col("set_id").alias("a"), F.explode(F.array(*[f"pivot{i}" for i in range(PIVOTS)])).alias("b"))
-        .filter("a != b").distinct()
-    )
-    near = materialize(measured(star, distinct, percent), "jaccard-pivots")
-    links = verified(pairs.distinct(), distinct, percent).unionByName(near.filter("linked").select("a", "b"))
-    links = materialize(links, "jaccard-links")
-    labels = connected_components(links)
-    if hot.head(1):
-        more = materialize(verified(left_over_pairs(hot, near, distinct, labels, percent), distinct, percent), "jaccard-more")
-        if more.head(1):
-            labels = connected_components(materialize(links.unionByName(more), "jaccard-links"))
+    central = hot.groupBy("set_id").agg(F.sum(F.log2("size")).alias("central"))
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+    wanted = materialize(ends.join(central, "set_id", "full"), "jaccard-wanted")
+    sets = materialize(document_sets(docs, wanted, words, id_col), "jaccard-sets")
+    members = sets.filter(F.col("members").isNotNull()).join(wanted.select("set_id"), "set_id", "left_semi")
+    members = members.groupBy("set_id").agg(F.first("members").alias("members"), F.first("n_shingles").alias("size"))
+    members = materialize(members.join(wanted, "set_id").withColumnRenamed("set_id", "set_no"), "jaccard-members")
+    groups = hot.select(F.col("sig").alias("g"), F.col("set_id").alias("set_no"))
+    labels = connected_components(group_links(groups, pairs, members, percent))
 
     per_set = sets.filter(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("first_doc"))
     classed = per_set.join(labels, per_set["set_id"] == labels["node"], "left").select(

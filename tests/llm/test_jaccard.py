@@ -116,3 +116,34 @@ def test_components(spark):
             parent[b] = a
     got = {r.node: r.label for r in connected_components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {x: root(x) for x in parent}
+
+
+def test_sets_sign_half_as_often_as_they_have_elements():
+    rng, bands = np.random.default_rng(5), Bands()
+    sets = [np.unique(rng.integers(0, 2**64 - 1, size, dtype=np.uint64)) for size in range(50, 1500, 10)]
+    assert sum(len(signatures(s, bands)[0]) for s in sets) <= 0.53 * sum(map(len, sets))
+
+
+def test_large_families_are_measured_against_few_pivots(spark, monkeypatch):
+    from hiremill.llm import families, jaccard
+
+    rng, written = random.Random(11), []
+
+    def counted(df, label):
+        made = materialize(df, label)
+        if label in ("family-stars", "jaccard-pivots", "jaccard-fine"):
+            written.append(made.count())
+        return made
+
+    materialize = jaccard.materialize
+    monkeypatch.setattr(jaccard, "materialize", counted)
+    monkeypatch.setattr(families, "materialize", counted)
+    base = [f"w{rng.randrange(500)}" for _ in range(150)]
+    rows = []
+    for i in range(150):
+        own = list(base)
+        for _ in range(rng.randint(1, 6)):
+            own[rng.randrange(len(own))] = f"z{rng.randrange(10**6)}"
+        rows.append((i, " ".join(own)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(documents(spark, rows).repartition(3)).collect()}
+    assert got == brute(rows) and 0 < sum(written) <= 10 * len(rows)
