@@ -42,6 +42,8 @@ import zlib
 import numpy as np
 import pandas as pd
 import public_tokenizers
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -58,8 +60,10 @@ GROUP = 256
 MOST_ROUNDS = 1 << 31
 CACHE = 500_000
 ROWS_OUT = 10_000
-#: A word of Latin-1 letters with the signs behind it; an apostrophe may belong to the letters.
-PLAIN = re.compile(r"(?m)^([A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@\[-`{-~]*)$")
+#: Documents and bytes of text that are encoded at once.
+DOCS_AT_ONCE, BYTES_AT_ONCE = 1000, 4 << 20
+#: A word of Latin-1 letters with the signs behind it, or any other, of which it keeps nothing; an apostrophe may belong to the letters.
+PLAIN = re.compile(r"(?m)^(?:([A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@\[-`{-~]*)$|.*$)")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -74,8 +78,9 @@ class WordEncoder:
 
     Made for vocabularies that drop white space and mark word ends: their
     normaliser and pre-tokeniser work within what stands between white space, so
-    a text's ids are those of its words in turn (words are cut at space, line end
-    and tab; rarer white space is left to the tokeniser). A word of Latin-1
+    a text's ids are those of its words in turn (words are cut at ASCII white space;
+    rarer white space is left to the tokeniser). Texts are cut and their words numbered as Arrow
+    columns, so only the distinct ones of many texts are looked up. A word of Latin-1
     letters is one unit for them, and so is the run of signs behind it. Such words go
     to the bare merge model, many in one call: their last ids show where each ends.
     Any other tokeniser gets the texts as they are.
@@ -113,32 +118,53 @@ class WordEncoder:
         data = ids.tobytes()
         return [data[a:b] for a, b in zip([0, *ends], ends)]
 
-    def _learn(self, words: set[str]) -> None:
+    def _learn(self, words: list[str]) -> None:
         known = self.known
         pairs = PLAIN.findall("\n".join(words))
         lows = [core.lower() for core, _ in pairs]
-        made = [core + tail for core, tail in pairs]
-        parts = {tail: b"" for _, tail in pairs}
-        odd = list(words.difference(made) | parts.keys())
+        odd = list({tail for _, tail in pairs} | {w for w, (core, _) in zip(words, pairs) if not core})
         parts = dict(zip(odd, self._whole(odd)))
-        known.update((w, parts[w]) for w in words.difference(made))
-        if cores := list(set(lows).difference(known)):
-            parts.update(zip(cores, self._plain(cores)))
-        known.update(zip(made, [(parts.get(low) or known[low]) + parts[tail] for low, (_, tail) in zip(lows, pairs)]))
+        if cores := list({low for low in lows if low and low not in known}):
+            plain = dict(zip(cores, self._plain(cores)))
+            ids = [((plain.get(low) or known[low]) + parts[tail] if tail else plain.get(low) or known[low]) if low else parts[w] for w, low, (_, tail) in zip(words, lows, pairs)]
+        else:
+            ids = [known[low] + parts[tail] if low else parts[w] for w, low, (_, tail) in zip(words, lows, pairs)]
+        known.update(zip(words, ids))
+
+    def flat(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts, one after the other, each with ``end`` behind it if given; and how many of each text."""
+        if not len(texts):
+            return np.zeros(0, dtype="<u4"), np.zeros(0, dtype=np.int64)
+        words = pc.ascii_split_whitespace(texts) if self.by_word else texts
+        edges = words.offsets.to_numpy() if self.by_word else np.arange(len(texts) + 1)
+        numbered = (words.flatten() if self.by_word else texts).dictionary_encode()
+        distinct, number = numbered.dictionary.to_pylist(), numbered.indices.to_numpy()
+        if self.by_word:
+            known = self.known
+            if new := [w for w in distinct if w not in known]:
+                if len(known) + len(new) > CACHE:
+                    known.clear()
+                    new = distinct
+                self._learn(new)
+            entries = list(map(known.__getitem__, distinct))
+        else:
+            entries = self._whole(distinct)
+        if end is not None:
+            number = np.insert(number, edges[1:] - edges[0], len(entries))
+            entries.append(np.array([end], dtype="<u4").tobytes())
+            edges = edges + np.arange(len(edges))
+        sizes = np.fromiter(map(len, entries), dtype=np.int64, count=len(entries)) // 4
+        starts = np.cumsum(sizes) - sizes
+        n = sizes[number]
+        to = np.append(0, np.cumsum(n))
+        ids = np.frombuffer(b"".join(entries), dtype="<u4")[np.repeat(starts[number] - to[:-1], n) + np.arange(to[-1])]
+        return ids, np.diff(to[edges - edges[0]])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text, 32 bits little-endian each."""
-        if not self.by_word:
-            return self._whole(texts)
-        words = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        needed = set().union(*words)
-        if new := needed - self.known.keys():
-            if len(self.known) + len(new) > CACHE:
-                self.known.clear()
-                new = needed
-            self._learn(new)
-        get = self.known.__getitem__
-        return [b"".join(map(get, w)) for w in words]
+        ids, sizes = self.flat(pa.array(texts, pa.string()))
+        data, ends = ids.tobytes(), (4 * np.cumsum(sizes)).tolist()
+        return [data[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, text_col: str, source_col: str) -> DataFrame:
@@ -150,21 +176,30 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, tex
         encoders = worker_memory("word_encoders")
         encoder = encoders.get(tokenizer_path) or encoders.setdefault(tokenizer_path, WordEncoder(tokenizer_path))
         task, at = TaskContext.get().partitionId(), {}
-        end = np.array([end_id], dtype="<u4").tobytes()
-        for pdf in batches:
-            texts = ["" if t is None else t for t in pdf["text"]]
-            for low in range(0, len(texts), 200):
-                rows = []
-                for i, ids in enumerate(encoder.encode(texts[low : low + 200]), low):
-                    source = pdf["source"].iat[i]
-                    start, n = at.get(source, 0), len(ids) // 4 + 1
-                    at[source] = start + n
-                    rows.append((pdf["doc_id"].iat[i], source, task, start, n, ids + end))
-                yield pd.DataFrame(rows, columns=["doc_id", "source", "task", "start", "n", "ids"], dtype=object)
+        for batch in batches:
+            texts = pc.fill_null(batch.column("text"), "")
+            bytes_to = np.cumsum(pc.binary_length(texts).to_numpy())
+            low = 0
+            while low < batch.num_rows:  # a bounded number of bytes at a time, one text at least
+                before = bytes_to[low - 1] if low else 0
+                high = max(low + 1, min(low + DOCS_AT_ONCE, int(np.searchsorted(bytes_to, before + BYTES_AT_ONCE, side="right"))))
+                ids, sizes = encoder.flat(texts.slice(low, high - low), end_id)
+                starts, sources = [], batch.column("source").slice(low, high - low)
+                for source, n in zip(sources.to_pylist(), sizes.tolist()):
+                    starts.append(at.get(source, 0))
+                    at[source] = starts[-1] + n
+                offsets = pa.py_buffer(np.append(0, 4 * np.cumsum(sizes)).astype(np.int32))
+                held = pa.Array.from_buffers(pa.binary(), len(sizes), [None, offsets, pa.py_buffer(ids)])
+                tasks = pa.array(np.full(len(sizes), task, dtype=np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(low, high - low), sources, tasks, pa.array(starts, pa.int64()), pa.array(sizes), held],
+                    ["doc_id", "source", "task", "start", "n", "ids"],
+                )
+                low = high
 
     kind = docs.schema[id_col].dataType.simpleString()
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(source_col).cast("string").alias("source"))
-    return map_frames(picked, run, f"doc_id {kind}, source string, task int, start long, n long, ids binary")
+    return picked.mapInArrow(run, f"doc_id {kind}, source string, task int, start long, n long, ids binary")
 
 
 class Rounds:

@@ -101,3 +101,30 @@ def test_sources_without_a_queue_of_their_own_are_mixed(spark, monkeypatch, grou
 def test_query(spark):
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     check(rows, op7_packing(spark, SF).collect(), 2048)
+
+
+def test_a_word_is_looked_up_once_for_many_texts():
+    class Counting(dict):
+        asked = 0
+
+        def __getitem__(self, word):
+            self.asked += 1
+            return super().__getitem__(word)
+
+    encoder = WordEncoder(PATH)
+    encoder.known = Counting()
+    texts = ["the quick brown fox, the quick dog!", "  the brown DOG\tfox,\r\n", ""] * 200
+    got = encoder.encode(texts)
+    want = Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)
+    assert got == [np.array(e.ids, dtype="<u4").tobytes() for e in want]
+    assert encoder.known.asked <= 40
+
+
+def test_texts_of_a_batch_are_cut_at_any_size(spark, monkeypatch):
+    rows = [(i, words(200, i % 70, i)) for i in range(90)] + [(90, None), (91, "a'b it's ÉTÉ ΣΑΣ é"), (92, "x" * 3000)]
+    df = spark.createDataFrame([(d, t, f"s{d % 3}") for d, t in rows], "doc_id long, text string, source string").coalesce(1)
+    whole = sorted(tuple(r) for r in pack_documents(df, length=256).collect())
+    check(rows, pack_documents(df, length=256).collect(), 256)
+    monkeypatch.setattr(packing, "DOCS_AT_ONCE", 7)
+    monkeypatch.setattr(packing, "BYTES_AT_ONCE", 500)
+    assert sorted(tuple(r) for r in pack_documents(df, length=256).collect()) == whole
