@@ -6,8 +6,9 @@ bytes of the tokens, joined, must be the text's on both sides.
 
 **Anchors.** Where a token of A and one of B that both begin with a space start at the same
 byte, both tokenisers have ended a token before: the document is cut there into windows
-of token ids. **Windows** are short and recur, so the alignment of one (its pair of id
-tuples) is remembered. Inside, byte offsets at which both end a token close a group:
+of token ids. **Windows** are short and recur: of many windows at a time, each pair of id
+tuples is aligned once, and its groups and links are dealt to all windows that
+are the same. Inside, byte offsets at which both end a token close a group:
 ``a1,a2|b1``, decimal ids in order. The two tokens that end there are linked.
 
 **Counts.** A link's count is that of its id pair over all documents; the best of a B id are the A
@@ -26,7 +27,6 @@ tests compare both over every code point.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import json
 
@@ -40,10 +40,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hiremill.llm.common import table
+from hiremill.llm.shingles import mix
 from hiremill.session import materialize
 
 MOST_PAIRS = 4_000_000
-#: Long texts are tokenised in pieces of about so many characters, texts of so many are aligned at once, and so many windows remembered.
+#: Long texts are tokenised in pieces of about so many characters, texts of so many are aligned at once, and so many windows compared.
 PIECE, AT_ONCE, REMEMBERED = 1 << 18, 1 << 19, 60_000
 LINKS_AT_ONCE = 300_000
 #: Fixed value: the pattern by which byte-level BPE vocabularies of this kind split a text.
@@ -113,39 +114,69 @@ def code_type(size_a: int, size_b: int) -> np.dtype:
     return np.dtype(np.int32 if size_a * size_b < 1 << 31 else np.int64)
 
 
+def spans(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of each span, one span after the other."""
+    return np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+
+
 class Aligner:
-    """Aligns documents by their windows: ``known`` has the alignment of each window met, by its two tuples of ids."""
+    """Aligns documents by their windows: of those met together, each pair of id tuples once."""
 
     def __init__(self, a: ByteTokenizer, b: PieceTokenizer):
         self.a, self.b, self.size_b = a, b, len(b.entries)
         self.code = code_type(len(a.entries), len(b.entries))
+        self._entries = [pa.array(side.entries, pa.large_binary()) for side in (a, b)]
         self._length = [np.array([len(x) for x in side.entries]) for side in (a, b)]
         self._spaced = [np.array([x[:1] == b" " for x in side.entries]) for side in (a, b)]
         # What is written for a token inside a group and for one at its end, of A and of B.
-        self._written = [b"%d%s" % (i, mark) for side, marks in ((a, b",|"), (b, b",;")) for mark in (marks[:1], marks[1:]) for i in range(len(side.entries))]
-        self._known: dict[tuple[bytes, bytes], tuple[bytes, bytes]] = {}
-
-    def _windows(self, text: str) -> tuple[int, int, list[tuple[bytes, bytes]]] | None:
-        """Tokens of A and of B, and the windows' ids, of a text that begins with a space; None if its bytes are not the tokens'."""
-        data = text.encode("utf-8", "surrogatepass")
-        ids = [self.a.ids(text), self.b.ids(text[1:])]
-        if any(b"".join(map(side.entries.__getitem__, own)) != data for side, own in zip((self.a, self.b), ids)):
-            return None
-        tokens = [np.array(own, dtype=np.int32) for own in ids]
-        starts = [np.cumsum(length[own]) - length[own] for own, length in zip(tokens, self._length)]
-        both = np.zeros(len(data) + 1, dtype=np.int8)
-        for own, start, spaced in zip(tokens, starts, self._spaced):
+        written = [b"%d%s" % (i, mark) for side, marks in ((a, b",|"), (b, b",;")) for mark in (marks[:1], marks[1:]) for i in range(len(side.entries))]
+        self._written = pa.array(written, pa.large_binary())
+        self._written_length = np.array([len(x) for x in written])
+
+    def _bytes(self, side: int, own: np.ndarray) -> bytes:
+        return self._entries[side].take(pa.array(own)).buffers()[2].to_pybytes() if len(own) else b""
+
+    def _tokens(self, text: str | None) -> list[tuple[np.ndarray, np.ndarray, int]]:
+        """Ids of A and of B, and the bytes, of the pieces of a text; none if the bytes of a piece are not its tokens'."""
+        out = []
+        for piece in cut(" " + text) if text else []:
+            data = piece.encode("utf-8", "surrogatepass")
+            ids = [np.array(own, dtype=np.int32) for own in (self.a.ids(piece), self.b.ids(piece[1:]))]
+            if any(int(length[own].sum()) != len(data) or self._bytes(side, own) != data for side, (own, length) in enumerate(zip(ids, self._length))):
+                return []
+            out.append((*ids, len(data)))
+        return out
+
+    def _windows(self, a: np.ndarray, b: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First token of A and of B of each window; a text's piece begins one, with an anchor or without."""
+        starts = [np.cumsum(length[own]) - length[own] for own, length in zip((a, b), self._length)]
+        both = np.zeros(int(max(x[-1] for x in starts)) + 1, dtype=np.int8)
+        for own, start, spaced in zip((a, b), starts, self._spaced):
             both[start[spaced[own]]] += 1
-        edges = [(np.append(np.flatnonzero(both[start] == 2), len(own)) * 4).tolist() for own, start in zip(tokens, starts)]
-        a, b = (own.tobytes() for own in tokens)
-        if edges[0][0] or edges[1][0]:  # the text does not begin with an anchor
-            edges = [[0, *e] for e in edges]
-        cuts = zip(edges[0], edges[0][1:], edges[1], edges[1][1:])
-        return len(ids[0]), len(ids[1]), [(a[i:j], b[k:m]) for i, j, k, m in cuts]
-
-    def learn(self, windows: list[tuple[bytes, bytes]]) -> None:
-        """Align windows, all in one go: each starts and ends where both tokenisers do, so side by side they align as each for itself."""
-        a, b = (np.frombuffer(b"".join([w[side] for w in windows]), dtype=np.int32) for side in (0, 1))
+        both[begins] = 2
+        first_a, first_b = (np.flatnonzero(both[start] == 2) for start in starts)
+        return first_a, first_b
+
+    @staticmethod
+    def distinct(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of windows side by side: the numbers of those that differ, and the place of each window among them."""
+        key = np.zeros(len(n_a), dtype=np.uint64)
+        with np.errstate(over="ignore"):
+            for own, n, seed in ((a, n_a, 0x9E3779B97F4A7C15), (b, n_b, 0xC2B2AE3D27D4EB4F)):
+                first = np.cumsum(n) - n
+                at = (np.arange(len(own)) - np.repeat(first, n)).astype(np.uint64)
+                key += mix(np.add.reduceat(mix(own.astype(np.uint64) + (at << np.uint64(32)) + np.uint64(seed)), first))
+        _, kept, same = np.unique(key, return_index=True, return_inverse=True)
+        like = kept[same]
+        equal = (n_a[like] == n_a).all() and (n_b[like] == n_b).all()
+        equal = equal and all((own[spans((np.cumsum(n) - n)[like], n)] == own).all() for own, n in ((a, n_a), (b, n_b)))
+        return (kept, same) if equal else (np.arange(len(n_a)), np.arange(len(n_a)))  # two that differ have one key: none is shared
+
+    def align(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What is written for windows, the links' codes, and the number of links of each window.
+
+        Each starts and ends where both tokenisers do, so side by side they align as each for itself.
+        """
         end_a, end_b = (np.cumsum(length[own]) for own, length in zip((a, b), self._length))
         ended = np.zeros(int(end_a[-1]) + 1, dtype=np.int8)
         ended[end_a] += 1
@@ -155,49 +186,45 @@ class Aligner:
         group_a, group_b = (np.cumsum(last) - last for last in (last_a, last_b))
         place_a = np.arange(len(a)) + np.append(0, np.flatnonzero(last_b) + 1)[group_a]
         place_b = np.arange(len(b)) + (np.flatnonzero(last_a) + 1)[group_b]
-        codes = np.empty(len(a) + len(b), dtype=np.int64)
+        codes = np.empty(len(a) + len(b), dtype=np.int32)
         codes[place_a] = a + np.where(last_a, len(self.a.entries), 0)
         codes[place_b] = 2 * len(self.a.entries) + b + np.where(last_b, self.size_b, 0)
-        written = list(map(self._written.__getitem__, codes.tolist()))
-        links, width = (a[last_a].astype(np.int64) * self.size_b + b[last_b]).astype(self.code).tobytes(), self.code.itemsize
-        to_b = np.cumsum([len(w[1]) // 4 for w in windows])
-        to_all = (np.cumsum([len(w[0]) // 4 for w in windows]) + to_b).tolist()
-        to_link = np.cumsum(last_b)[to_b - 1].tolist()
-        at = done = 0
-        for window, high, linked in zip(windows, to_all, to_link):
-            self._known[window] = (b"".join(written[at:high]), links[width * done : width * linked])
-            at, done = high, linked
+        links = (a[last_a].astype(np.int64) * self.size_b + b[last_b]).astype(self.code)
+        return codes, links, np.add.reduceat(last_b.astype(np.int64), np.cumsum(n_b) - n_b)
+
+    def _aligned(self, a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same as ``align``, each pair of id tuples aligned once."""
+        kept, same = self.distinct(a, b, n_a, n_b)
+        own_a, own_b = (own[spans((np.cumsum(n) - n)[kept], n[kept])] for own, n in ((a, n_a), (b, n_b)))
+        codes, links, n_links = self.align(own_a, own_b, n_a[kept], n_b[kept])
+        n_codes = n_a[kept] + n_b[kept]
+        every = [own[spans((np.cumsum(n) - n)[same], n[same])] for own, n in ((codes, n_codes), (links, n_links))]
+        return *every, n_links[same]
 
     def documents(self, texts: list[str | None]) -> list[tuple[int, int, int, bytes, np.ndarray]]:
         """Of each text: tokens of A, of B, groups, the groups written out, the links' codes; zeros without tokens."""
-        # Many small tuples, none in a cycle: the collector would walk through all that are remembered again and again.
-        collecting = gc.isenabled()
-        gc.disable()
-        try:
-            return self._documents(texts)
-        finally:
-            if collecting:
-                gc.enable()
-
-    def _documents(self, texts: list[str | None]) -> list[tuple[int, int, int, bytes, np.ndarray]]:
-        found = []
-        for text in texts:
-            parts = [self._windows(piece) for piece in cut(" " + text)] if text else []
-            parts = [] if None in parts else parts
-            found.append((sum(p[0] for p in parts), sum(p[1] for p in parts), [w for p in parts for w in p[2]]))
-        needed = set().union(*(windows for _, _, windows in found))
-        known = self._known
-        if new := [w for w in needed if w not in known]:
-            if len(known) + len(new) > REMEMBERED:
-                known.clear()
-                new = list(needed)
-            self.learn(new)
-        out = []
-        for n_a, n_b, windows in found:
-            own = list(map(known.__getitem__, windows))
-            links = np.frombuffer(b"".join([w[1] for w in own]), dtype=self.code)
-            out.append((n_a, n_b, len(links), b"".join([w[0] for w in own])[:-1], links))
-        return out
+        found = [self._tokens(text) for text in texts]
+        pieces = [p for own in found for p in own]
+        if not pieces:
+            return [(0, 0, 0, b"", np.zeros(0, dtype=self.code))] * len(texts)
+        a, b = (np.concatenate([p[side] for p in pieces]) for side in (0, 1))
+        first_a, first_b = self._windows(a, b, np.cumsum([0, *(p[2] for p in pieces[:-1])]))
+        parts = []
+        for low in range(0, len(first_a), REMEMBERED):
+            high = min(low + REMEMBERED, len(first_a))
+            edges = [np.append(first[low:high], first[high] if high < len(first) else len(own)) for own, first in ((a, first_a), (b, first_b))]
+            parts.append(self._aligned(*(own[e[0] : e[-1]] for own, e in zip((a, b), edges)), *map(np.diff, edges)))
+        codes, links, n_links = map(np.concatenate, zip(*parts))
+        written = self._written.take(pa.array(codes)).buffers()[2].to_pybytes()
+        # Where the tokens, the written groups and the links of each text end.
+        n_a, n_b = (np.array([sum(len(p[side]) for p in own) for own in found]) for side in (0, 1))
+        to_text = np.append(0, np.cumsum(self._written_length[codes]))[np.append(0, np.cumsum(n_a + n_b))].tolist()
+        to_window = np.searchsorted(first_a, np.append(0, np.cumsum(n_a)))
+        to_link = np.append(0, np.cumsum(n_links))[to_window].tolist()
+        return [
+            (i, j, q - p, written[x : max(y - 1, x)], links[p:q])
+            for i, j, x, y, p, q in zip(n_a.tolist(), n_b.tolist(), to_text, to_text[1:], to_link, to_link[1:])
+        ]
 
     def document(self, text: str | None) -> tuple[int, int, int, bytes, np.ndarray]:
         return self.documents([text])[0]

@@ -114,3 +114,31 @@ def test_ids_are_those_of_the_file_over_all_code_points(plain):
 def test_empty_table(spark):
     assert aligned_counts(documents(spark, []), A, B).collect() == []
     assert align_documents(documents(spark, []), A, B).collect() == []
+
+
+def test_windows_cost_no_calls_of_their_own():
+    import sys
+
+    both = alignment.Aligner(ByteTokenizer(A), PieceTokenizer(B))
+    text, calls = " ".join(f"word{i} other{i}" for i in range(3000)), []
+    both.document(text[:50])
+    sys.setprofile(lambda frame, event, arg: calls.append(event))
+    try:
+        both.document(text)
+    finally:
+        sys.setprofile(None)
+    assert len(calls) < 1500
+
+
+def test_windows_are_aligned_once_and_never_shared_by_accident(monkeypatch):
+    both = alignment.Aligner(ByteTokenizer(A), PieceTokenizer(B))
+    texts = ["the cat and the dog 12345 " * 30, None, "▁marked", "the unbelievable cat", ""]
+    want, seen = both.documents(texts), []
+    align = both.align
+    both.align = lambda a, b, n_a, n_b: seen.append(len(n_a)) or align(a, b, n_a, n_b)
+    both.documents(texts)
+    assert sum(seen) <= 15
+    monkeypatch.setattr(alignment, "mix", lambda x: x * 0)
+    for x, y in zip(want, both.documents(texts)):
+        assert x[:4] == y[:4] and (x[4] == y[4]).all()
+    assert sum(seen) > 150
