@@ -58,10 +58,10 @@ MAX_QUEUES = 256
 #: Queues of one order within the shared queue.
 GROUP = 256
 MOST_ROUNDS = 1 << 31
-CACHE = 500_000
+CACHE = 200_000
 ROWS_OUT = 10_000
 #: Documents and bytes of text that are encoded at once.
-DOCS_AT_ONCE, BYTES_AT_ONCE = 1000, 4 << 20
+DOCS_AT_ONCE, BYTES_AT_ONCE = 500, 2 << 20
 #: A word of Latin-1 letters with the signs behind it, or any other, of which it keeps nothing; an apostrophe may belong to the letters.
 PLAIN = re.compile(r"(?m)^(?:([A-Za-z\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([!-&(-/:-@\[-`{-~]*)$|.*$)")
 
@@ -80,7 +80,8 @@ class WordEncoder:
     normaliser and pre-tokeniser work within what stands between white space, so
     a text's ids are those of its words in turn (words are cut at ASCII white space;
     rarer white space is left to the tokeniser). Texts are cut and their words numbered as Arrow
-    columns, so only the distinct ones of many texts are looked up. A word of Latin-1
+    columns, so only the distinct ones of many texts are looked up, and what is remembered lies in
+    columns as well: a Python object for each word and its ids took ten times the memory. A word of Latin-1
     letters is one unit for them, and so is the run of signs behind it. Such words go
     to the bare merge model, many in one call: their last ids show where each ends.
     Any other tokeniser gets the texts as they are.
@@ -90,7 +91,8 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.words, self.ids = pa.array([], pa.string()), np.zeros(0, dtype="<u4")
+        self.sizes, self.again = np.zeros(0, dtype=np.int32), np.zeros(0, dtype=bool)
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         suffix = spec["model"].get("end_of_word_suffix")
@@ -102,6 +104,12 @@ class WordEncoder:
             self.ends = np.zeros(self.tokenizer.get_vocab_size(), dtype=bool)
             self.ends[[i for t, i in spec["model"]["vocab"].items() if t.endswith(suffix)]] = True
 
+    def _forget(self) -> None:
+        """Of the remembered words only those stay that were met again since the last time; none if these are over half of what may be held."""
+        keep = self.again if 2 * self.again.sum() <= CACHE else np.zeros(len(self.again), dtype=bool)
+        self.words, self.ids, self.sizes = self.words.filter(pa.array(keep)), self.ids[np.repeat(keep, self.sizes)], self.sizes[keep]
+        self.again = np.zeros(len(self.sizes), dtype=bool)
+
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -118,18 +126,34 @@ class WordEncoder:
         data = ids.tobytes()
         return [data[a:b] for a, b in zip([0, *ends], ends)]
 
-    def _learn(self, words: list[str]) -> None:
-        known = self.known
+    def _word_ids(self, words: list[str]) -> list[bytes]:
+        """Ids of words without white space, each once."""
         pairs = PLAIN.findall("\n".join(words))
         lows = [core.lower() for core, _ in pairs]
-        odd = list({tail for _, tail in pairs} | {w for w, (core, _) in zip(words, pairs) if not core})
-        parts = dict(zip(odd, self._whole(odd)))
-        if cores := list({low for low in lows if low and low not in known}):
-            plain = dict(zip(cores, self._plain(cores)))
-            ids = [((plain.get(low) or known[low]) + parts[tail] if tail else plain.get(low) or known[low]) if low else parts[w] for w, low, (_, tail) in zip(words, lows, pairs)]
-        else:
-            ids = [known[low] + parts[tail] if low else parts[w] for w, low, (_, tail) in zip(words, lows, pairs)]
-        known.update(zip(words, ids))
+        odd = list({tail for _, tail in pairs if tail} | {w for w, low in zip(words, lows) if not low})
+        parts = dict(zip(odd, self._whole(odd))) | {"": b""}
+        cores = list({low for low in lows if low})
+        plain = dict(zip(cores, self._plain(cores))) if cores else {}
+        return [plain[low] + parts[tail] if low else parts[w] for w, low, (_, tail) in zip(words, lows, pairs)]
+
+    def _remembered(self, words: pa.Array) -> np.ndarray:
+        """The numbers of distinct words among the remembered ones; those that are not there yet are learned."""
+        at = pc.index_in(words, value_set=self.words)
+        if len(self.words) + at.null_count > CACHE:
+            self._forget()
+            at = pc.index_in(words, value_set=self.words)
+        unknown = pc.is_null(at).to_numpy(zero_copy_only=False)
+        at = pc.fill_null(at, 0).to_numpy().copy()
+        self.again[at[~unknown]] = True
+        if unknown.any():
+            new = words.filter(pa.array(unknown))
+            ids = self._word_ids(new.to_pylist())
+            at[unknown] = np.arange(len(self.words), len(self.words) + len(new))
+            self.words = pa.concat_arrays([self.words, new])
+            self.ids = np.concatenate([self.ids, np.frombuffer(b"".join(ids), dtype="<u4")])
+            self.sizes = np.append(self.sizes, np.fromiter(map(len, ids), dtype=np.int32, count=len(ids)) // 4)
+            self.again = np.append(self.again, np.zeros(len(new), dtype=bool))
+        return at
 
     def flat(self, texts: pa.Array, end: int | None = None) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, one after the other, each with ``end`` behind it if given; and how many of each text."""
@@ -138,26 +162,25 @@ class WordEncoder:
         words = pc.ascii_split_whitespace(texts) if self.by_word else texts
         edges = words.offsets.to_numpy() if self.by_word else np.arange(len(texts) + 1)
         numbered = (words.flatten() if self.by_word else texts).dictionary_encode()
-        distinct, number = numbered.dictionary.to_pylist(), numbered.indices.to_numpy()
+        number, distinct = numbered.indices.to_numpy(), numbered.dictionary
+        del words, numbered
         if self.by_word:
-            known = self.known
-            if new := [w for w in distinct if w not in known]:
-                if len(known) + len(new) > CACHE:
-                    known.clear()
-                    new = distinct
-                self._learn(new)
-            entries = list(map(known.__getitem__, distinct))
+            number = self._remembered(distinct)[number]
+            held, sizes = self.ids, self.sizes
         else:
-            entries = self._whole(distinct)
+            entries = self._whole(distinct.to_pylist())
+            held, sizes = np.frombuffer(b"".join(entries), dtype="<u4"), np.fromiter(map(len, entries), dtype=np.int64, count=len(entries)) // 4
+        starts = np.cumsum(sizes, dtype=np.int64) - sizes
         if end is not None:
-            number = np.insert(number, edges[1:] - edges[0], len(entries))
-            entries.append(np.array([end], dtype="<u4").tobytes())
+            number = np.insert(number, edges[1:] - edges[0], len(sizes))
             edges = edges + np.arange(len(edges))
-        sizes = np.fromiter(map(len, entries), dtype=np.int64, count=len(entries)) // 4
-        starts = np.cumsum(sizes) - sizes
+            starts, sizes, held = np.append(starts, len(held)), np.append(sizes, 1), np.append(held, np.array([end], dtype="<u4"))
         n = sizes[number]
-        to = np.append(0, np.cumsum(n))
-        ids = np.frombuffer(b"".join(entries), dtype="<u4")[np.repeat(starts[number] - to[:-1], n) + np.arange(to[-1])]
+        to = np.append(0, np.cumsum(n, dtype=np.int64))
+        kind = np.int32 if max(int(to[-1]), len(held)) < 1 << 31 else np.int64
+        at = np.repeat((starts[number] - to[:-1]).astype(kind), n)
+        at += np.arange(to[-1], dtype=kind)
+        ids = held[at]
         return ids, np.diff(to[edges - edges[0]])
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -196,6 +219,7 @@ def tokenize(docs: DataFrame, tokenizer_path: str, end_id: int, id_col: str, tex
                     ["doc_id", "source", "task", "start", "n", "ids"],
                 )
                 low = high
+            pa.default_memory_pool().release_unused()  # two of these workers share an executor's memory with its JVM
 
     kind = docs.schema[id_col].dataType.simpleString()
     picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(source_col).cast("string").alias("source"))

@@ -1,8 +1,11 @@
+import gc
+import tracemalloc
 import zlib
 from collections import defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -128,3 +131,32 @@ def test_texts_of_a_batch_are_cut_at_any_size(spark, monkeypatch):
     monkeypatch.setattr(packing, "DOCS_AT_ONCE", 7)
     monkeypatch.setattr(packing, "BYTES_AT_ONCE", 500)
     assert sorted(tuple(r) for r in pack_documents(df, length=256).collect()) == whole
+
+
+def test_what_is_remembered_takes_few_bytes_a_word():
+    encoder, n = WordEncoder(PATH), 40_000
+    encoder.encode(["warm up"])
+    rng = np.random.default_rng(3)
+    letters = rng.integers(97, 123, (n, 12), dtype=np.uint8)
+    texts = [b" ".join(row.tobytes() for row in part).decode() for part in np.array_split(letters, 20)]
+    tracemalloc.start()
+    try:
+        arrow = pa.total_allocated_bytes()
+        for text in texts:
+            encoder.encode([text])
+        gc.collect()
+        held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - arrow
+    finally:
+        tracemalloc.stop()
+    assert held <= 80 * n
+    assert encoder.encode(texts) == [np.array(e.ids, dtype="<u4").tobytes() for e in Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)]
+
+
+def test_words_are_learned_once_and_again_after_they_were_forgotten(monkeypatch):
+    encoder, asked, texts = WordEncoder(PATH), [], ["the quick, brown fox", "the lazy dog's it's", "É\x85é  the 日本 fox\t", ""]
+    learn = encoder._word_ids
+    monkeypatch.setattr(encoder, "_word_ids", lambda words: asked.extend(words) or learn(words))
+    want = [np.array(e.ids, dtype="<u4").tobytes() for e in Tokenizer.from_file(PATH).encode_batch(texts, add_special_tokens=False)]
+    assert [x for _ in range(3) for t in texts for x in encoder.encode([t])] == want * 3 and len(asked) == len(set(asked))
+    monkeypatch.setattr(packing, "CACHE", 4)
+    assert [x for _ in range(3) for t in texts for x in encoder.encode([t])] == want * 3
