@@ -297,7 +297,9 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     sets = materialize(document_sets(docs, wanted, words, id_col), "jaccard-sets")
     members = sets.filter(F.col("members").isNotNull()).join(wanted.select("set_id"), "set_id", "left_semi")
     members = members.groupBy("set_id").agg(F.first("members").alias("members"), F.first("n_shingles").alias("size"))
-    members = materialize(members.join(wanted, "set_id").withColumnRenamed("set_id", "set_no"), "jaccard-members")
+    # The middle of a family has most of its marks in common: the share counts, as their number grows with the set.
+    members = members.join(wanted, "set_id").select(F.col("set_id").alias("set_no"), "members", "size", (F.col("central") / F.col("size")).alias("central"))
+    members = materialize(members, "jaccard-members")
     groups = hot.select(F.col("sig").alias("g"), F.col("set_id").alias("set_no"))
     labels = connected_components(group_links(groups, pairs, members, percent))
 

@@ -147,3 +147,42 @@ def test_large_families_are_measured_against_few_pivots(spark, monkeypatch):
         rows.append((i, " ".join(own)))
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(documents(spark, rows).repartition(3)).collect()}
     assert got == brute(rows) and 0 < sum(written) <= 10 * len(rows)
+
+
+def test_sets_of_a_family_are_measured_about_once_and_those_of_one_component_are_not_compared(spark, monkeypatch):
+    from hiremill.llm import families, jaccard
+
+    rng, written = random.Random(23), defaultdict(int)
+
+    def counted(df, label):
+        made = materialize(df, label)
+        written[label] += made.count()
+        return made
+
+    materialize = jaccard.materialize
+    monkeypatch.setattr(jaccard, "materialize", counted)
+    monkeypatch.setattr(families, "materialize", counted)
+    base = [f"w{rng.randrange(500)}" for _ in range(150)]
+    rows = []
+    for i in range(400):  # some are near the base, some only near another, some near none
+        own = list(base)
+        for _ in range(rng.randint(1, 14)):
+            own[rng.randrange(len(own))] = f"z{rng.randrange(60)}"
+        rows.append((i, " ".join(own)))
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_components(documents(spark, rows).repartition(3)).collect()}
+    assert got == brute(rows)
+    assert 0 < written["family-stars"] <= 2 * len(rows) and written["family-differences"] <= 30 * len(rows)
+
+
+def test_parities_never_differ_in_more_bits_than_the_sets_in_elements():
+    from hiremill.llm.families import apart_at_least, parity
+
+    rng, tight = np.random.default_rng(9), 0
+    for size in (1, 2, 5, 31, 32, 33, 100, 450, 3000, 200_000):
+        for _ in range(8):
+            a = np.unique(rng.integers(0, 2**64 - 1, size, dtype=np.uint64))
+            b = np.unique(np.concatenate([a[int(rng.integers(0, len(a))) :], rng.integers(0, 2**64 - 1, int(rng.integers(0, size)), dtype=np.uint64)]))
+            apart, found = len(np.setxor1d(a, b)), apart_at_least(parity(a), parity(b))
+            assert found <= apart and apart_at_least(parity(a), parity(a)) == 0
+            tight += 2 * found > apart
+    assert tight >= 40
