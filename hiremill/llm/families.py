@@ -18,7 +18,7 @@ component alone have are dropped. What the family has in common is gone there as
 are a copy's own changes that another family has, and of these the rarest stand first: by the prefix
 filter, the smaller of U and X has a common element among its first |U| - D' + 1, with the D' of a partner of its
 own size, and the larger among its first H + 1. Elements too late in both orders for D common ones to follow give no
-pair. A list of over ``long`` sets that share an element is a group again, with a pivot of its own. After ``rounds``
+pair. A list of over ``long`` sets that share an element is a group again, with a pivot of its own, unless they are one component by then. After ``rounds``
 only texts at the threshold to most of a family are left, and lists give their pairs at any length.
 
 **Pairs** are first measured by *parities*: a set toggles one bit for each of its elements, so two sets differ in at least
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hiremill.llm.components import connected_components
+from hiremill.llm.components import labelled, merged_labels
 from hiremill.session import materialize
 
 #: Bits of a set's parities: at least two for each element, a power of two within these bounds.
@@ -141,22 +141,20 @@ def may_link(pairs: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
     return met.select("a", "b", "x", "y", most.alias("most")).mapInArrow(run, "a long, b long")
 
 
-def labelled(rows: DataFrame, labels: DataFrame, node: str, name: str) -> DataFrame:
-    """``rows`` with the component of ``node`` as ``name``: what links with nothing is its own."""
-    own = labels.select(F.col("node").alias("labelled_node"), F.col("label").alias("found_label"))
-    return rows.join(own, F.col(node) == F.col("labelled_node"), "left").withColumn(name, F.coalesce("found_label", node)).drop("labelled_node", "found_label")
+def connecting(near: DataFrame, links: DataFrame, labels: DataFrame | None, sets: DataFrame, percent: int) -> tuple[DataFrame, DataFrame]:
+    """(labels, links): ``labels`` after ``links`` and part of the similar pairs of ``near`` (a, b), and further ones that connect all they do.
 
-
-def connecting(near: DataFrame, links: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """``links`` and as many of the similar pairs of ``near`` (a, b) as connect what all of them do: pairs within a component are not measured."""
+    Pairs that the new labels hold in one component are not measured.
+    """
+    if not near.head(1):
+        return merged_labels(labels, links), near
     both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
     first = both.groupBy("a").agg(F.min("b").alias("b")).select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     first = materialize(first, "family-first")
-    links = links.unionByName(materialize(verified(first, sets, percent), "family-links"))
-    labels = connected_components(links)
+    labels = merged_labels(labels, links.unionByName(materialize(verified(first, sets, percent), "family-links")))
     rest = near.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(first, ["a", "b"], "left_anti")
     rest = labelled(labelled(rest, labels, "a", "a_label"), labels, "b", "b_label").filter("a_label != b_label")
-    return links.unionByName(materialize(verified(rest, sets, percent), "family-links"))
+    return labels, materialize(verified(rest, sets, percent), "family-links")
 
 
 def group_pairs(groups: DataFrame) -> DataFrame:
@@ -217,37 +215,53 @@ def difference_pairs(postings: DataFrame, percent: int) -> DataFrame:
     return a.join(b, met).select(F.col("a_set_no").alias("a"), F.col("b_set_no").alias("b")).distinct()
 
 
-def group_links(groups: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int, small: int = 8, long: int = 1000, rounds: int = 3) -> DataFrame:
-    """Links (a, b) that connect all sets which the similar ones of ``pairs`` (a, b) and similar pairs within ``groups`` (g, set_no) connect.
+def several_classes(groups: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of the ``groups`` (g, set_no, open) whose sets are not all of one component."""
+    seen = labelled(groups, labels, "set_no", "label").groupBy("g").agg(F.min("label").alias("least"), F.max("label").alias("most"))
+    return groups.join(seen.filter("least != most").select("g"), "g", "left_semi")
+
+
+def group_labels(groups: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int, small: int = 8, long: int = 1000, rounds: int = 3) -> DataFrame:
+    """(node, label): the components that the similar ones of ``pairs`` (a, b) and similar pairs within ``groups`` (g, set_no) make.
 
+    The label is the smallest set_no; sets without links have none.
     ``sets`` holds (set_no, size, members, central) of each. A group may hold any
     number of sets: it is never brought into one task. Two different groups may
-    by accident have one g; that only adds candidates. No groups, no pairs: no links.
+    by accident have one g; that only adds candidates. No groups, no pairs: no labels.
     """
     central = sets.select("set_no", "central")
     sketches = materialize(parities(sets), "family-parities")
     groups = groups.select("g", "set_no", F.lit(True).alias("open"))
     heads = group_heads(groups, central)
     found = pairs.select("a", "b").unionByName(group_pairs(groups.join(heads.filter(F.col("n") <= small).select("g"), "g", "left_semi")))
-    links, least = None, small
+    labels, least = None, small
     for turn in range(rounds):
         large = heads.filter(F.col("n") > least)
-        if turn and not large.head(1):
+        some = bool(large.head(1))
+        if turn and not some:
             break
         rays = groups.join(shared_pivots(groups, large), "g").filter("set_no != c").select(F.col("set_no").alias("u"), "c").distinct()
         measured = materialize(stars(rays, sets, percent), "family-stars")
-        linked = measured.filter("linked").select(F.col("u").alias("a"), F.col("c").alias("b"))
-        links = linked if links is None else links.unionByName(linked)
-        if not turn:
-            links = connecting(materialize(may_link(found.distinct(), sketches, percent), "family-near"), links, sets, percent)
-        if not large.head(1):
-            break
-        postings = materialize(difference_postings(measured, connected_components(links), percent), "family-differences")
+        links = measured.filter("linked").select(F.col("u").alias("a"), F.col("c").alias("b"))
+        if turn:
+            labels = merged_labels(labels, links)
+        else:
+            labels, links = connecting(materialize(may_link(found.distinct(), sketches, percent), "family-near"), links, labels, sets, percent)
+        if not some:
+            return merged_labels(labels, links)
+        postings = materialize(difference_postings(measured, labels, percent), "family-differences")
         lists = postings.groupBy("g").agg(F.count("*").alias("n"))
         last = turn + 1 == rounds
         met = postings if last else postings.join(lists.filter(F.col("n") <= long).select("g"), "g", "left_semi")
-        links = connecting(materialize(may_link(difference_pairs(met, percent), sketches, percent), "family-near"), links, sets, percent)
+        labels = merged_labels(*connecting(materialize(may_link(difference_pairs(met, percent), sketches, percent), "family-near"), links, labels, sets, percent))
         if not last:
-            groups = materialize(postings.join(lists.filter(F.col("n") > long).select("g"), "g", "left_semi").select("g", "set_no", "open"), "family-groups")
+            groups = postings.join(lists.filter(F.col("n") > long).select("g"), "g", "left_semi").select("g", "set_no", "open")
+            groups = materialize(several_classes(groups, labels), "family-groups")
             heads, least = group_heads(groups, central), long
-    return links
+    return labels
+
+
+def group_links(groups: DataFrame, pairs: DataFrame, sets: DataFrame, percent: int, small: int = 8, long: int = 1000, rounds: int = 3) -> DataFrame:
+    """Links (a, b) from each set to the smallest of its component, as ``group_labels`` finds them."""
+    labels = group_labels(groups, pairs, sets, percent, small, long, rounds)
+    return labels.filter("node != label").select(F.col("node").alias("a"), F.col("label").alias("b"))

@@ -21,11 +21,11 @@ at least the larger need of the two, counted in one seed and band.
 often as the need says. Larger groups never give pairs: a pair met in them
 alone has at least its need of signatures there (both sets are *saturated*), and
 shares one of the rarest of them. A saturated set stays in the groups of its
-rarest signatures, and ``families.group_links`` links what is similar in a group by pivots,
+rarest signatures, and ``families.group_labels`` links what is similar in a group by pivots,
 without its pairs.
 
 **Verification** is the exact set intersection. Links, not all pairs, leave:
-equal texts are joined by set id, components by ``connected_components``.
+equal texts are joined by set id, classes by their components.
 
 NULL, empty and blank texts have no set and link with nothing. Texts with fewer
 words than a shingle are one shingle. Repeated rows share a component by
@@ -42,8 +42,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hiremill.llm.common import table
-from hiremill.llm.components import connected_components
-from hiremill.llm.families import group_links
+from hiremill.llm.families import group_labels
 from hiremill.llm.shingles import Shingler, binary_texts, mix
 from hiremill.session import materialize
 
@@ -301,7 +300,7 @@ def jaccard_components(docs: DataFrame, words: int = WORDS, percent: int = PERCE
     members = members.join(wanted, "set_id").select(F.col("set_id").alias("set_no"), "members", "size", (F.col("central") / F.col("size")).alias("central"))
     members = materialize(members, "jaccard-members")
     groups = hot.select(F.col("sig").alias("g"), F.col("set_id").alias("set_no"))
-    labels = connected_components(group_links(groups, pairs, members, percent))
+    labels = group_labels(groups, pairs, members, percent)
 
     per_set = sets.filter(F.col("set_id").isNotNull()).groupBy("set_id").agg(F.min("doc_id").alias("first_doc"))
     classed = per_set.join(labels, per_set["set_id"] == labels["node"], "left").select(

@@ -18,7 +18,7 @@ so the long lists of common passages are skipped.
 **Merge.** Lists, split by size, of up to ``small`` sets give their pairs; of each,
 collisions are counted over both whole signatures (the longer lists are probed, not merged),
 and pairs under ``matches`` go. Longer lists are those of large families of copies;
-``families.group_links`` links their members without making the pairs of a list.
+``families.group_labels`` links their members without making the pairs of a list.
 
 **Confirmation** is the exact intersection of the full sets. Components of the links
 follow, with the smallest doc_id as the name.
@@ -39,8 +39,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from hiremill.llm.common import table
-from hiremill.llm.components import connected_components
-from hiremill.llm.families import group_links, group_pairs
+from hiremill.llm.families import group_labels, group_pairs
 from hiremill.llm.shingles import Shingler, binary_texts, mix
 from hiremill.session import materialize
 
@@ -101,15 +100,15 @@ def signed_documents(docs: DataFrame, words: int, coordinates: int, id_col: str)
 
 
 def prefix_postings(sets: DataFrame, matches: int) -> DataFrame:
-    """(value, set_no, central): each set under the rarest of its shared values; central is higher, the more common they are."""
-    rows = sets.select("set_no", F.explode("signature").alias("value"))
+    """(value, set_no, size, central): each set under the rarest of its shared values; central is higher, the more common they are."""
+    rows = sets.select("set_no", "size", F.explode("signature").alias("value"))
     often = rows.groupBy("value").agg(F.count("*").alias("often")).filter("often > 1")
     own = Window.partitionBy("set_no")
     ranked = rows.join(often, "value").select(
-        "value", "set_no", F.count("*").over(own).alias("left"), F.sum(F.log2("often")).over(own).alias("central"),
+        "value", "set_no", "size", F.count("*").over(own).alias("left"), F.sum(F.log2("often")).over(own).alias("central"),
         F.row_number().over(own.orderBy("often", "value")).alias("at"),
     )
-    return ranked.filter((F.col("left") >= matches) & (F.col("at") <= F.col("left") - matches + 1)).select("value", "set_no", "central")
+    return ranked.filter((F.col("left") >= matches) & (F.col("at") <= F.col("left") - matches + 1)).select("value", "set_no", "size", "central")
 
 
 def size_groups(postings: DataFrame, percent: int) -> DataFrame:
@@ -173,11 +172,11 @@ def with_set_members(docs: DataFrame, wanted: DataFrame, words: int) -> DataFram
     return wanted.join(found.groupBy("key").agg(F.first("members").alias("members")), "key")
 
 
-def minhash_links(docs: DataFrame, signed: DataFrame, words: int, percent: int, matches: int, small: int) -> tuple[DataFrame, DataFrame]:
-    """(sets, links): the distinct sets (set_no, key), and pairs (a, b) of them that link; all classes are connected by these."""
+def minhash_labels(docs: DataFrame, signed: DataFrame, words: int, percent: int, matches: int, small: int) -> tuple[DataFrame, DataFrame]:
+    """(sets, labels): the distinct sets (set_no, key), and the class (node, label) of those that link."""
     first = signed.filter(F.col("signature").isNotNull()).groupBy("key").agg(F.first("signature").alias("signature"), F.first("n_shingles").alias("size"))
     sets = materialize(first.withColumn("set_no", F.monotonically_increasing_id()), "minhash-sets")
-    postings = materialize(prefix_postings(sets, matches).join(sets.select("set_no", "size"), "set_no"), "minhash-postings")
+    postings = materialize(prefix_postings(sets, matches), "minhash-postings")
     groups = materialize(size_groups(postings, percent), "minhash-groups")
     small_groups = groups.filter(F.col("n") <= small).select("g", "set_no", F.lit(True).alias("open"))
     pairs = materialize(colliding(group_pairs(small_groups), sets, matches), "minhash-pairs")
@@ -186,7 +185,7 @@ def minhash_links(docs: DataFrame, signed: DataFrame, words: int, percent: int,
     in_play = pairs.select(F.col("a").alias("set_no")).unionByName(pairs.select(F.col("b").alias("set_no"))).unionByName(large.select("set_no")).distinct()
     wanted = materialize(sets.select("set_no", "key", "size").join(in_play, "set_no", "left_semi").join(central, "set_no"), "minhash-wanted")
     members = materialize(with_set_members(docs, wanted, words), "minhash-members")
-    return sets.select("set_no", "key"), group_links(large, pairs, members, percent, small)
+    return sets.select("set_no", "key"), group_labels(large, pairs, members, percent, small)
 
 
 def minhash_components(
@@ -195,8 +194,7 @@ def minhash_components(
 ) -> DataFrame:
     """doc_id, n_shingles, component_id (the smallest doc_id reachable over links, its own included), kept."""
     signed = materialize(signed_documents(docs, words, coordinates, id_col), "minhash-signed")
-    sets, links = minhash_links(docs, signed, words, percent, matches, small)
-    labels = connected_components(links)
+    sets, labels = minhash_labels(docs, signed, words, percent, matches, small)
     per_set = signed.filter(F.col("key").isNotNull()).groupBy("key").agg(F.min("doc_id").alias("first_doc")).join(sets, "key")
     # Only sets with links need a class; all others are their own.
     linked = labels.join(per_set, F.col("node") == F.col("set_no"))
