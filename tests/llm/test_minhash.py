@@ -120,3 +120,14 @@ def test_shingler_equals_plain_loop(n):
         assert len(got) == len(shingles(text, n)) and (np.diff(got.astype(object)) > 0).all()
     same = list(Shingler(n).sets([b"A b C d E", b"a B c D e", b"a B c D f"]))
     assert (same[0] == same[1]).all() and not np.array_equal(same[0], same[2])
+
+
+def test_components_are_not_searched_anew_for_links_within_them(spark, monkeypatch):
+    from hiremill.llm import components
+
+    written = []
+    materialize = components.materialize
+    monkeypatch.setattr(components, "materialize", lambda df, label: written.append(label) or materialize(df, label))
+    check(spark, [(i, t) for i, t in enumerate(family(40, 2, 5) + family(30, 2, 6))], small=3)
+    # One search for all links of the families; before, there was one for each step and one at the end.
+    assert 0 < written.count("component-links") <= 2 and written.count("component-labels") <= 4
